@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from quantarium.llm import token_prefix
+from quantarium.llm import packing, token_prefix
 
 QUERIES = {
+    "op1_packing": packing.op1_packing,
     "op9_token_counts": token_prefix.op9_token_counts,
 }
 
