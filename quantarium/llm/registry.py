@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from quantarium.llm import packing, token_prefix
+from quantarium.llm import decontaminate, language, packing, token_prefix
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
+    "op4_language": language.op4_language,
     "op9_token_counts": token_prefix.op9_token_counts,
+    "op10_decontamination": decontaminate.op10_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {}
