@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from quantarium.llm import decontaminate, language, packing, token_prefix
+from quantarium.llm import decontaminate, language, packing, quality, token_prefix
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
+    "op3_quality": quality.op3_quality,
     "op4_language": language.op4_language,
     "op9_token_counts": token_prefix.op9_token_counts,
     "op10_decontamination": decontaminate.op10_decontamination,

@@ -29,3 +29,18 @@ def decontamination(docs, items, window=10):
                     found.add(item)
         out.append((doc, len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit)))
     return out
+
+
+def quality(docs):
+    """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words) of each."""
+    out = []
+    for doc, text in docs:
+        text = text or ""
+        w = [x.decode() for x in WHITE.findall(text.encode())]
+        lines = [x for x in text.split("\n") if WHITE.search(x.encode())]
+        seen: dict = {}
+        for i in range(len(w) - 2):
+            seen.setdefault(tuple(w[i : i + 3]), []).append(i)
+        covered = {j for at in seen.values() if len(at) > 1 for i in at for j in range(i, i + 3)}
+        out.append((doc, len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered)))
+    return out
