@@ -1,0 +1,40 @@
+"""Connected components of an edge table by alternating large-star and small-star."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from quantarium.session import Scratch
+
+
+def _oriented(edges: DataFrame) -> DataFrame:
+    return edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+
+
+def large_star(edges: DataFrame) -> DataFrame:
+    """Join each node's larger neighbours to the smallest of its neighbours and itself."""
+    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+
+
+def small_star(edges: DataFrame) -> DataFrame:
+    """Join each node and its smaller neighbours to the smallest of them; edges run from larger to smaller."""
+    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    moved = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+
+
+def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """(node, root): the smallest node of its component, for each node of an edge; edges are (u, v)."""
+    now, mark, turn = scratch.keep(_oriented(edges), f"{name}-0"), None, 0
+    while True:
+        state = now.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u"))).first()
+        if tuple(state) == mark or not state[0]:
+            break
+        mark, turn = tuple(state), turn + 1
+        now = scratch.keep(small_star(large_star(now)), f"{name}-{turn}")
+        scratch.drop(f"{name}-{turn - 1}")
+    nodes = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    return nodes.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

@@ -44,3 +44,33 @@ def quality(docs):
         covered = {j for at in seen.values() if len(at) > 1 for i in at for j in range(i, i + 3)}
         out.append((doc, len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered)))
     return out
+
+
+def near_duplicates(docs, k=3, percent=85):
+    """(doc_id, n_shingles, component_id, kept) of each."""
+    sets = []
+    for _, text in docs:
+        w = WHITE.findall((text or "").encode().lower())
+        sets.append({tuple(w)} if 0 < len(w) < k else {tuple(w[i : i + k]) for i in range(len(w) - k + 1)})
+    root = {d: d for d, _ in docs}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    where: dict = {}
+    for i, s in enumerate(sets):
+        for g in s:
+            where.setdefault(g, []).append(i)
+    for i, s in enumerate(sets):
+        near: dict = {}
+        for g in s:
+            for j in where[g]:
+                if j < i:
+                    near[j] = near.get(j, 0) + 1
+        for j, n in near.items():
+            if 100 * n >= percent * (len(s) + len(sets[j]) - n):
+                a, b = sorted((find(docs[i][0]), find(docs[j][0])))
+                root[b] = a
+    return [(d, len(s), find(d), find(d) == d) for (d, _), s in zip(docs, sets)]
