@@ -74,3 +74,16 @@ def near_duplicates(docs, k=3, percent=85):
                 a, b = sorted((find(docs[i][0]), find(docs[j][0])))
                 root[b] = a
     return [(d, len(s), find(d), find(d) == d) for (d, _), s in zip(docs, sets)]
+
+
+def lm_base(docs):
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score) of each."""
+    import math
+    import zlib
+    from collections import Counter
+
+    tokens = [[*WHITE.findall((t or "").encode().lower()), None] for _, t in docs]
+    held = [zlib.crc32(str(d).encode()) % 7 == 2 for d, _ in docs]
+    counts = Counter(x for t, h in zip(tokens, held) if not h for x in t)
+    n, v = sum(counts.values()), len(counts)
+    return [(d, h, len(t), sum(counts[x] > 0 for x in t), n, sum(math.log10((counts[x] + 1) / (n + v + 1)) for x in t)) for (d, _), h, t in zip(docs, held, tokens)]
