@@ -28,12 +28,12 @@ from quantarium.llm import arrow_text
 from quantarium.session import ship_package
 
 MARK = "▁"
-#: Words whose tables a worker holds at once; a full store is emptied.
-HELD_WORDS = 400_000
+#: Words whose totals a worker holds in each of two generations.
+HELD_WORDS = 500_000
 #: A longer word is not held.
 HELD_LENGTH = 64
-#: Prefixes of words whose states are held.
-HELD_STATES = 600_000
+#: Prefixes of parts whose states a worker holds in each of two generations.
+HELD_STATES = 900_000
 
 
 class PieceVocabulary:
@@ -54,7 +54,14 @@ class PieceVocabulary:
         # the model's own treatment of the start of a text and of plain characters is checked, not assumed
         if model.encode("a", out_type=str) != [MARK + "a"] or model.encode("  a", out_type=str)[0][0] != MARK:
             raise ValueError("a model that starts a text with one word start is expected")
-        self.states: dict[str, tuple[int, str]] = {}
+        self.new: dict[str, int] = {}
+        self.old: dict[str, int] = {}
+        self.reach: dict[str, int] = {}
+        for p in self.ranks:
+            if len(p) > 1:
+                self.reach[p[-2:]] = max(self.reach.get(p[-2:], 1), len(p))
+        if self.longest > 31:
+            raise ValueError("pieces of at most 31 characters are expected")
         self.joins = lru_cache(maxsize=500_000)(self._joins)
 
     def merge(self, symbols: list[str]) -> list[str]:
@@ -75,37 +82,46 @@ class PieceVocabulary:
         """Tokens of a final piece: one, or the bytes of an unknown character."""
         return 1 if piece in self.ranks else len(piece.encode())
 
-    def state(self, word: str) -> tuple[int, str]:
-        """(tokens, last piece) of the word; states of its prefixes are shared with other words."""
-        states = self.states
-        known = len(word)
-        while known and word[:known] not in states:
+    def state(self, word: str) -> int:
+        """Tokens of the word; states of its prefixes are held and shared with other words.
+
+        A state is tokens * 32 + characters of the last piece. Two generations are held, each closed
+        under prefixes: a full one becomes the old one, and what is met again moves to the new one.
+        """
+        new, n = self.new, len(word)
+        known = n
+        while known and word[:known] not in new:
             known -= 1
-        if known < len(word):
-            if len(states) > HELD_STATES:
-                states.clear()
-                known = 0
-            ranks, longest = self.ranks, self.longest
-            for i in range(known + 1, len(word) + 1):
-                for k in range(max(0, i - longest), i):
-                    piece = word[k:i]
-                    if piece in ranks or k == i - 1:
-                        if k == 0:
-                            if self._alone(piece):
-                                states[piece] = (self.size(piece), piece)
-                                break
-                        else:
-                            count, last = states[word[:k]]
-                            if self.joins(last, piece):
-                                states[word[:i]] = (count + self.size(piece), piece)
-                                break
-        return states[word]
+        if known == n:
+            return new[word] >> 5
+        if len(new) > HELD_STATES:
+            self.old, self.new = new, {}
+            new, known = self.new, 0
+        old, ranks, reach, joins = self.old.get, self.ranks, self.reach, self.joins
+        i = known + 1
+        while i <= n and (held := old(word[:i])) is not None:
+            new[word[:i]] = held
+            i += 1
+        for i in range(i, n + 1):
+            for size in range(min(i, reach.get(word[i - 2 : i], 1) if i > 1 else 1), 0, -1):
+                piece = word[i - size : i]
+                if size == 1 or piece in ranks:
+                    if size == i:
+                        if self._alone(piece):
+                            new[piece] = self.size(piece) << 5 | size
+                            break
+                    else:
+                        before = new[word[: i - size]]
+                        if joins(word[i - size - (before & 31) : i - size], piece):
+                            new[word[:i]] = ((before >> 5) + (1 if piece in ranks else self.size(piece))) << 5 | size
+                            break
+        return new[word] >> 5
 
     def table(self, word: str) -> tuple[int, ...]:
         """Token counts of word[:1], word[:2], ... word."""
         if len(word) <= HELD_LENGTH:
             self.state(word)
-            return tuple(self.states[word[:i]][0] for i in range(1, len(word) + 1))
+            return tuple(self.new[word[:i]] >> 5 for i in range(1, len(word) + 1))
         return self._long_table(word)
 
     def _long_table(self, word: str) -> tuple[int, ...]:
@@ -136,9 +152,10 @@ class PrefixCounter:
     def __init__(self, vocabulary: PieceVocabulary):
         self.vocabulary = vocabulary
         self.totals: dict[str, int] = {}
+        self.old: dict[str, int] = {}
 
     def _size(self, part: str) -> int:
-        return self.vocabulary.state(part)[0] if len(part) <= HELD_LENGTH else self.vocabulary.table(part)[-1]
+        return self.vocabulary.state(part) if len(part) <= HELD_LENGTH else self.vocabulary.table(part)[-1]
 
     def _parts(self, word: str) -> list[str]:
         pairs = self.vocabulary.pairs
@@ -148,10 +165,12 @@ class PrefixCounter:
         return [word[i:j] for i, j in zip([0, *cuts], [*cuts, len(word)])]
 
     def _total(self, word: str) -> int:
-        total = sum(map(self._size, self._parts(word)))
+        total = self.old.get(word)
+        if total is None:
+            total = sum(map(self._size, self._parts(word)))
         if len(word) <= HELD_LENGTH:
             if len(self.totals) >= HELD_WORDS:
-                self.totals.clear()
+                self.old, self.totals = self.totals, {}
             self.totals[word] = total
         return total
 
@@ -179,6 +198,24 @@ class PrefixCounter:
             held = self.totals.get
             return sum(n if (n := held(w)) is not None else self._total(w) for w in words)
 
+    def fits(self, text: str, budget: int) -> int:
+        """PrefixTable.fits of the text, with tables only for the words where the budget may run out."""
+        before = start = 0
+        held = self.totals.get
+        for w in self.words(text):
+            if before + 4 * len(w) > budget:  # a prefix has at most a token a byte
+                sums = 0
+                place = start
+                for part in self._parts(w):
+                    for c in (table := self.vocabulary.table(part)):
+                        if before + sums + c > budget:
+                            return max(place - 1, 0)
+                        place += 1
+                    sums += table[-1]
+            before += n if (n := held(w)) is not None else self._total(w)
+            start += len(w)
+        return len(text)
+
     def prefix_table(self, text: str) -> PrefixTable:
         words = self.words(text) if text else []
         return PrefixTable([self.vocabulary.table(p) for w in words for p in self._parts(w)])
@@ -236,7 +273,7 @@ def token_counts(documents: DataFrame, model_path: str, budget: int = 4096, id_c
             for x in texts.to_pylist():
                 n = c.total(x or "")
                 tokens.append(n)
-                fit.append(len(x or "") if n <= budget else c.prefix_table(x).fits(budget))
+                fit.append(len(x or "") if n <= budget else c.fits(x, budget))
             t = np.array(tokens, dtype=np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(np.diff(offsets)), pa.array(t), pa.array(t > budget), pa.array(fit, pa.int64())],
