@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 BLOCK = 1 << 20
 U = np.uint64
 

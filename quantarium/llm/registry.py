@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from quantarium.llm import decontaminate, language, lm_scoring, near_duplicates, packing, quality, token_prefix
+from quantarium.llm import decontaminate, language, lm_scoring, near_duplicates, packing, quality, suffix_dedup, token_prefix
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
     "op3_quality": quality.op3_quality,
     "op4_language": language.op4_language,
+    "op5_suffix_dedup": suffix_dedup.op5_suffix_dedup,
     "op6_near_duplicates": near_duplicates.op6_near_duplicates,
     "op8_lm_scoring": lm_scoring.op8_lm_scoring,
     "op9_token_counts": token_prefix.op9_token_counts,

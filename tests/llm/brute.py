@@ -87,3 +87,24 @@ def lm_base(docs):
     counts = Counter(x for t, h in zip(tokens, held) if not h for x in t)
     n, v = sum(counts.values()), len(counts)
     return [(d, h, len(t), sum(counts[x] > 0 for x in t), n, sum(math.log10((counts[x] + 1) / (n + v + 1)) for x in t)) for (d, _), h, t in zip(docs, held, tokens)]
+
+
+def suffix_dedup(docs, span=50):
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of each."""
+    first: dict = {}
+    data = [(d, (t or "").encode()) for d, t in docs]
+    for d, b in data:
+        for i in range(len(b) - span + 1):
+            w = b[i : i + span]
+            if w not in first or d < first[w]:
+                first[w] = d
+    out = []
+    for d, b in data:
+        gone = bytearray(len(b))
+        for i in range(len(b) - span + 1):
+            if first[b[i : i + span]] < d:
+                gone[i : i + span] = b"\x01" * span
+        runs = sum(1 for i, g in enumerate(gone) if g and (i == 0 or not gone[i - 1]))
+        kept = bytes(x for x, g in zip(b, gone) if not g)
+        out.append((d, len(b), sum(gone), runs, hashlib.sha256(kept).hexdigest()))
+    return out
