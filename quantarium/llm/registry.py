@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from quantarium.llm import decontaminate, language, lm_scoring, near_duplicates, packing, quality, suffix_dedup, token_prefix
+import corpus_pipeline
+from quantarium.llm import decontaminate, html_text, language, lm_scoring, near_duplicates, packing, quality, quotation, suffix_dedup, token_prefix
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
+    "op2_quotation": quotation.op2_quotation,
     "op3_quality": quality.op3_quality,
     "op4_language": language.op4_language,
     "op5_suffix_dedup": suffix_dedup.op5_suffix_dedup,
     "op6_near_duplicates": near_duplicates.op6_near_duplicates,
+    "op7_html_text": html_text.op7_html_text,
     "op8_lm_scoring": lm_scoring.op8_lm_scoring,
     "op9_token_counts": token_prefix.op9_token_counts,
     "op10_decontamination": decontaminate.op10_decontamination,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL: dict[str, str] = {}

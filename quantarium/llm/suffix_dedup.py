@@ -429,8 +429,8 @@ def repeated_spans(documents: DataFrame, id_col: str = "doc_id", text_col: str =
     return found
 
 
-def drop_repeats(documents: DataFrame, carry: list[str] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """row (a struct of the carried columns), kept (remaining bytes), n_bytes, n_removed and spans (begin and end in turn) of each row."""
+def drop_repeats(documents: DataFrame, carry: list[str] | None = None, id_col: str = "doc_id", text_col: str = "text", as_text: bool = False) -> DataFrame:
+    """row (a struct of the carried columns), kept (remaining bytes, or text without characters cut in two), n_bytes, n_removed and spans (begin and end in turn) of each row."""
     carry = documents.columns if carry is None else carry
     found = repeated_spans(documents, id_col, text_col)
     text = F.coalesce(documents[text_col].cast("string"), F.lit(""))
@@ -449,9 +449,10 @@ def drop_repeats(documents: DataFrame, carry: list[str] | None = None, id_col: s
                 kept.append(b"".join(whole[a + x : a + y] for x, y in zip(edges[::2], edges[1::2])) if s else whole[a:b])
                 gone.append(sum(s[1::2]) - sum(s[::2]))
                 spans.append(s)
-            yield pa.RecordBatch.from_arrays([batch.column(0), _binary(kept), pa.array(np.diff(offsets)), pa.array(gone, pa.int64()), pa.array(spans, pa.list_(pa.int64()))], ["row", "kept", "n_bytes", "n_removed", "spans"])
+            out = pa.array([x.decode(errors="ignore") for x in kept], pa.string()) if as_text else _binary(kept)
+            yield pa.RecordBatch.from_arrays([batch.column(0), out, pa.array(np.diff(offsets)), pa.array(gone, pa.int64()), pa.array(spans, pa.list_(pa.int64()))], ["row", "kept", "n_bytes", "n_removed", "spans"])
 
-    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, kept binary, n_bytes long, n_removed long, spans array<long>")
+    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, kept {'string' if as_text else 'binary'}, n_bytes long, n_removed long, spans array<long>")
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
