@@ -81,7 +81,7 @@ def solve(demand: np.ndarray, capacity: int, tolerance: float = 5e-4, rounds: in
     bound = float(d @ (classes + 1)) / capacity  # the volume; Farley's bound may raise it
     done = 0
     for done in range(1, rounds + 1):  # noqa: B007
-        dual = cost @ inverse
+        dual = np.einsum("i,ij->j", cost, inverse)  # einsum: small products gain nothing from threads
         entering_cost = 1.0
         if dual.min() < -1e-9:  # a surplus column helps more than any pattern
             column = np.zeros(m)
@@ -95,7 +95,7 @@ def solve(demand: np.ndarray, capacity: int, tolerance: float = 5e-4, rounds: in
             if value <= 1 + 1e-9 or float(cost @ x) <= bound * (1 + tolerance):
                 break
             column = counts[classes].astype(float)
-        step = inverse @ column
+        step = np.einsum("ij,j->i", inverse, column)
         up = step > 1e-9
         if not up.any():
             break
