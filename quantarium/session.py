@@ -78,11 +78,18 @@ class Scratch:
         jvm.System.gc()
 
 
+#: Bytes of one Arrow batch on its way to a Python worker and back, where the session has Spark's default.
+ARROW_BATCH_BYTES = 8 << 20
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in Python workers started elsewhere than in the repository."""
+    """Make this package importable in Python workers started elsewhere than in the repository, and keep their batches small."""
     import os
     import shutil
 
+    batch = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(batch, "").rstrip("b") == str(64 << 20):
+        spark.conf.set(batch, str(ARROW_BATCH_BYTES))
     root = Path(__file__).resolve().parent.parent
     here = {str(Path(p or ".").resolve()) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep)} | {os.getcwd()}
     sc = spark.sparkContext
