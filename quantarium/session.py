@@ -88,7 +88,7 @@ def ship_package(spark: SparkSession) -> None:
     import shutil
 
     batch = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if spark.conf.get(batch, "").rstrip("b") == str(64 << 20):
+    if spark.conf.get(batch, str(64 << 20)).rstrip("b") == str(64 << 20):
         spark.conf.set(batch, str(ARROW_BATCH_BYTES))
     root = Path(__file__).resolve().parent.parent
     here = {str(Path(p or ".").resolve()) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep)} | {os.getcwd()}
