@@ -8,8 +8,9 @@ a bucket. Candidates come in two turns, neither of which pairs up a bucket:
 1. A bucket's members are compared with its most popular member only (whose bands fall into the
    largest buckets in all: the original of its copies). Pairs whose signatures agree too little for
    the threshold (binomial tail below 1e-9) go; the rest is confirmed on full sets of the texts.
-2. Buckets that still hold several components are compared across components by signature, block
-   against block in numpy, and only pairs that agree are rows; these are confirmed likewise.
+2. The buckets of one such member form a group; groups that still hold several components are
+   compared across components, block against block in numpy: by set sizes, by signatures, and on
+   full sets. Only links that join components are rows.
 
 So a large group of copies costs a row for each member, and no link between different sets that
 share a band is lost. Confirmed links become components by alternating large-star and small-star.
@@ -40,7 +41,7 @@ SHINGLE = 5
 PERCENT = 80
 ROWS = 5
 MISS = 1e-7
-#: Members of a bucket that are compared at once in the second turn.
+#: Members of a group that are compared at once in the second turn.
 BLOCK = 1024
 BITMAP_BITS = 1 << 25
 
@@ -143,22 +144,21 @@ def _shingles(text: str | None, k: int) -> set:
     return {tuple(words)} if 0 < len(words) < k else set(zip(*(words[i:] for i in range(k))))
 
 
-def _confirmed(pairs: DataFrame, documents: DataFrame, scratch: Scratch, name: str, shingle: int, percent: int) -> DataFrame:
-    """The pairs whose full sets reach the threshold; documents are (id, text)."""
-    pairs = scratch.keep(pairs, f"{name}-pairs")
+def _picked(documents: DataFrame, wanted: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """The documents (id, text) whose id's bit is set by a column of `wanted`: all that are there and few others."""
     bits = BITMAP_BITS
 
     def mark(batches):  # one bit map a task
         out = np.zeros(bits, dtype=bool)
         for batch in batches:
-            for c in (0, 1):
+            for c in range(batch.num_columns):
                 out[mix(batch.column(c).to_numpy(zero_copy_only=False).view(np.uint64)) % U(bits)] = True
         at = np.flatnonzero(out)
         yield pa.RecordBatch.from_arrays([pa.array(at)], ["bit"])
 
-    wanted = np.zeros(bits, dtype=bool)
-    wanted[pairs.mapInArrow(mark, "bit long").distinct().toArrow().column(0).to_numpy()] = True
-    packed = documents.sparkSession.sparkContext.broadcast(np.packbits(wanted))
+    some_bits = np.zeros(bits, dtype=bool)
+    some_bits[wanted.select(*names).mapInArrow(mark, "bit long").distinct().toArrow().column(0).to_numpy()] = True
+    packed = documents.sparkSession.sparkContext.broadcast(np.packbits(some_bits))
 
     def pick(batches):
         some = np.unpackbits(packed.value).astype(bool)
@@ -168,7 +168,13 @@ def _confirmed(pairs: DataFrame, documents: DataFrame, scratch: Scratch, name: s
             hit = known & some[mix(ids.fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64)) % U(bits)]
             yield batch.filter(pa.array(hit))
 
-    texts = scratch.keep(documents.mapInArrow(pick, "id long, text string"), f"{name}-texts")
+    return documents.mapInArrow(pick, "id long, text string")
+
+
+def _confirmed(pairs: DataFrame, documents: DataFrame, scratch: Scratch, name: str, shingle: int, percent: int) -> DataFrame:
+    """The pairs whose full sets reach the threshold; documents are (id, text)."""
+    pairs = scratch.keep(pairs, f"{name}-pairs")
+    texts = scratch.keep(_picked(documents, pairs, ("u", "v")), f"{name}-texts")
     both = pairs.join(texts.toDF("v", "tv"), "v").join(texts.toDF("u", "tu"), "u").select("u", "v", "tu", "tv")
 
     def run(batches):
@@ -189,30 +195,68 @@ def _confirmed(pairs: DataFrame, documents: DataFrame, scratch: Scratch, name: s
     return links
 
 
-def _across(members: DataFrame, groups: DataFrame, least: int) -> DataFrame:
-    """Pairs (u, v) of different components in one bucket whose signatures agree; members are (band, rep, root, n)."""
+def _sets(documents: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """(rep, set): the ordered 64-bit hashes of the shingles of each wanted id's texts."""
+
+    def run(batches):
+        for batch in batches:
+            offsets, data = arrow_text.buffers(batch.column(1))
+            sets = []
+            for lo, hi in arrow_text.chunks(offsets):
+                own = LOWER[data[offsets[lo] : offsets[hi]]]
+                starts, ends, first = arrow_text.word_spans(own, offsets[lo : hi + 1] - offsets[lo], WHITE)
+                grams, rows = arrow_text.shingle_hashes(arrow_text.span_hashes(own, starts, ends), first, shingle)
+                where = np.searchsorted(rows, np.arange(hi - lo + 1))
+                sets += [np.unique(grams[i:j]).tobytes() for i, j in zip(where, where[1:])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["rep", "set"])
+
+    texts = _picked(documents, wanted, ("rep",)).join(wanted.withColumnRenamed("rep", "id"), "id", "left_semi")
+    return texts.select("id", "text").mapInArrow(run, "rep long, set binary")
+
+
+def _across(members: DataFrame, groups: DataFrame, sets: DataFrame, least: int, percent: int) -> DataFrame:
+    """Links (u, v) that join components inside a group; members are (center, rep, root, n).
+
+    Links are confirmed on the spot, and one that joins nothing new in its task is no row.
+    """
     blocks = F.greatest(F.lit(1), F.ceil(F.col("n") / BLOCK)).cast("int")
-    own = F.pmod(F.xxhash64("rep", "band"), F.col("blocks")).cast("int")
-    rows = members.withColumn("blocks", blocks).withColumn("own", own)
+    rows = members.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("rep", "center"), F.col("blocks")).cast("int"))
     # each member meets every block: as (lower, higher) block numbers
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rep", "root").join(groups.select("rep", "signature"), "rep")
+    rows = rows.select("center", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rep", "root")
+    rows = rows.join(groups.select("rep", "signature"), "rep").join(sets, "rep")
 
     def compare(table: pa.Table) -> pa.Table:
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
         own, rep, root = (table.column(c).to_numpy() for c in ("own", "rep", "root"))
         signs = _signatures(table.column("signature"))
-        left = np.flatnonzero(own == i)
-        right = np.flatnonzero(own == j)
+        full = [np.frombuffer(x, np.uint64) for x in table.column("set").to_pylist()]
+        size = np.fromiter(map(len, full), np.int64, len(full))
+        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        upper: dict[int, int] = {}
+
+        def top(x: int) -> int:
+            while (y := upper.get(x, x)) != x:
+                upper[x] = x = upper.get(y, y)
+            return x
+
         us, vs = [], []
         for k in left:
             near = right[(root[right] != root[k]) & ((rep[right] > rep[k]) | (i != j))]
+            near = near[100 * np.minimum(size[near], size[k]) >= percent * np.maximum(size[near], size[k])]
             near = near[(signs[near] == signs[k]).sum(axis=1) >= least]
-            us += [max(rep[k], rep[x]) for x in near]
-            vs += [min(rep[k], rep[x]) for x in near]
+            for x in near:
+                a, b = top(int(root[k])), top(int(root[x]))
+                if a == b:
+                    continue
+                shared = len(np.intersect1d(full[k], full[x], assume_unique=True))
+                if 100 * shared >= percent * (size[k] + size[x] - shared):
+                    upper[max(a, b)] = min(a, b)
+                    us.append(max(rep[k], rep[x]))
+                    vs.append(min(rep[k], rep[x]))
         return pa.table([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
 
-    return rows.groupBy("band", "i", "j").applyInArrow(compare, "u long, v long").distinct()
+    return rows.groupBy("center", "i", "j").applyInArrow(compare, "u long, v long")
 
 
 def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -232,6 +276,7 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, percent: int =
     scratch.drop("bands")
     popular = shared.groupBy("rep").agg(F.sum("n").alias("popularity"))
     centers = shared.join(popular, "rep").groupBy("band").agg(F.max_by("rep", F.struct("popularity", (-F.col("rep")).alias("order"))).alias("center"))
+    centers = scratch.keep(centers, "centers")
     pairs = shared.join(centers, "band").where("rep <> center").select(F.greatest("rep", "center").alias("u"), F.least("rep", "center").alias("v")).distinct()
     first = _confirmed(_agreeing(pairs, groups, least), texts, scratch, "first", shingle, percent)
 
@@ -242,10 +287,11 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, percent: int =
     links = scratch.keep(first.unionByName(twice), "links")
     roots = scratch.keep(components(links, scratch, "stars"), "roots")
 
-    placed = shared.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-    mixed = placed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("band")
-    more = _across(placed.join(mixed, "band"), groups, least).join(scratch.spark.read.schema("u long, v long").parquet(f"{scratch.root}/first-pairs"), ["u", "v"], "left_anti")
-    second = _confirmed(more, texts, scratch, "second", shingle, percent)
+    placed = shared.join(centers, "band").select("center", "rep").distinct().join(roots.withColumnRenamed("node", "rep"), "rep", "left")
+    placed = scratch.keep(placed.select("center", "rep", F.coalesce("root", "rep").alias("root")), "placed")
+    mixed = placed.groupBy("center").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).where("low <> high").select("center", "n")
+    members = scratch.keep(placed.join(mixed, "center"), "members")
+    second = scratch.keep(_across(members, groups, _sets(texts, members.select("rep").distinct(), shingle), least, percent), "second")
     if not second.isEmpty():
         joined = roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(second)
         roots = scratch.keep(components(joined, scratch, "more-stars"), "more-roots")
