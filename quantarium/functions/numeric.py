@@ -132,7 +132,7 @@ def right_closed_bin(c: Column, edges: list[float]) -> Column:
 
 def formatted(array: Column, digits: int = 2, missing: str = "nan") -> Column:
     """Numbers as text, joined by ;."""
-    return F.array_join(F.transform(array, lambda x: F.coalesce(F.format_string(f"%.{digits}f", x), F.lit(missing))), ";")
+    return F.array_join(F.transform(array, lambda x: F.when(x.isNull(), F.lit(missing)).otherwise(F.format_string(f"%.{digits}f", x))), ";")
 
 
 def axis_to_value(c: Column) -> Column:
