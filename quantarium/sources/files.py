@@ -41,8 +41,8 @@ def read_ids(spark: SparkSession, path: str, split: str | None = None) -> DataFr
         lines = spark.read.text(path)
     except AnalysisException:
         return spark.createDataFrame([], schema)
-    ids = F.explode(F.split("value", split)) if split else F.col("value")
-    return lines.select(F.trim(ids).alias("id")).where("id <> ''").distinct()
+    lines = lines.select(F.explode(F.split("value", split)).alias("value")) if split else lines
+    return lines.select(F.trim("value").alias("id")).where("id <> ''").distinct()
 
 
 def read_database(spark: SparkSession, url: str, relation: str, columns: list[str] | None = None, key: str | None = None, low: int = 0, high: int = 0, parts: int = 32, **options: str) -> DataFrame:
