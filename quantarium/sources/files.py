@@ -78,7 +78,7 @@ def nested_values(document: Column, key: str) -> Column:
     """All comma-separated values of a key anywhere in a JSON text: trimmed, distinct, in order."""
     found = F.regexp_extract_all(document, F.lit(rf'"{key}"\s*:\s*"((?:[^"\\]|\\.)*)"'), F.lit(1))
     parts = F.flatten(F.transform(found, lambda x: F.split(x, ",")))
-    return F.array_sort(F.array_distinct(F.filter(F.transform(parts, F.trim), lambda x: x != "")))
+    return F.array_sort(F.array_distinct(F.filter(F.transform(parts, lambda x: F.trim(x)), lambda x: x != "")))
 
 
 def records(answer: Column, schema: str, size: Column | None = None) -> Column:
