@@ -7,7 +7,8 @@ random 64-bit values a byte, modulo 2**64, and then mixed.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
@@ -33,6 +34,26 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 BYTE_VALUE = np.random.Generator(np.random.PCG64(20240607)).integers(1, 1 << 63, 256, dtype=np.uint64) * U(2) + U(1)
 
 
+def tidied(step: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The step, after which the worker's freed memory goes back to the system: workers outlive their tasks."""
+
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from step(batches)
+        finally:
+            tidy()
+
+    return run
+
+
+def tidy() -> None:
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(offsets, bytes): row i is bytes[offsets[i]:offsets[i + 1]]; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quantarium.llm import arrow_text
 from quantarium.session import ship_package
 
 #: Common function words by language, most of them shared by any stop-word list.
@@ -245,7 +246,7 @@ def extract(pages: DataFrame, carry: list[str] | None = None, html_col: str = "h
                 ["row", "text", "n_chars", "n_blocks", "n_kept"],
             )
 
-    return df.mapInArrow(run, f"row {df.schema['row'].dataType.simpleString()}, text string, n_chars long, n_blocks long, n_kept long")
+    return df.mapInArrow(arrow_text.tidied(run), f"row {df.schema['row'].dataType.simpleString()}, text string, n_chars long, n_blocks long, n_kept long")
 
 
 def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -102,7 +102,7 @@ def sketch(documents: DataFrame, shingle: int, hashes: int, id_col: str = "doc_i
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(join(sizes)), pa.array(join(ones)), pa.array(join(twos)), pa.array(signs, pa.binary())], ["id", "n_shingles", "s1", "s2", "signature"])
 
     rows = documents.select(documents[id_col].cast("long").alias("id"), documents[text_col].alias("text"))
-    return rows.mapInArrow(run, "id long, n_shingles long, s1 long, s2 long, signature binary")
+    return rows.mapInArrow(arrow_text.tidied(run), "id long, n_shingles long, s1 long, s2 long, signature binary")
 
 
 def _signatures(column: pa.Array) -> np.ndarray:
@@ -122,7 +122,7 @@ def _band_rows(groups: DataFrame, bands: int, rows: int) -> DataFrame:
             keys = mix((s * steps).sum(axis=2, dtype=np.uint64) ^ salt)
             yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1).view(np.int64)), pa.array(np.repeat(batch.column(0).to_numpy(zero_copy_only=False), bands))], ["band", "rep"])
 
-    return groups.select("rep", "signature").mapInArrow(run, "band long, rep long")
+    return groups.select("rep", "signature").mapInArrow(arrow_text.tidied(run), "band long, rep long")
 
 
 def _agreeing(pairs: DataFrame, groups: DataFrame, least: int) -> DataFrame:
@@ -136,7 +136,7 @@ def _agreeing(pairs: DataFrame, groups: DataFrame, least: int) -> DataFrame:
                 same = (_signatures(batch.column(2)) == _signatures(batch.column(3))).sum(axis=1) >= least
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["u", "v"]).filter(pa.array(same))
 
-    return both.mapInArrow(run, "u long, v long")
+    return both.mapInArrow(arrow_text.tidied(run), "u long, v long")
 
 
 def _shingles(text: str | None, k: int) -> set:
@@ -157,7 +157,7 @@ def _picked(documents: DataFrame, wanted: DataFrame, names: tuple[str, ...]) ->
         yield pa.RecordBatch.from_arrays([pa.array(at)], ["bit"])
 
     some_bits = np.zeros(bits, dtype=bool)
-    some_bits[wanted.select(*names).mapInArrow(mark, "bit long").distinct().toArrow().column(0).to_numpy()] = True
+    some_bits[wanted.select(*names).mapInArrow(arrow_text.tidied(mark), "bit long").distinct().toArrow().column(0).to_numpy()] = True
     packed = documents.sparkSession.sparkContext.broadcast(np.packbits(some_bits))
 
     def pick(batches):
@@ -168,7 +168,7 @@ def _picked(documents: DataFrame, wanted: DataFrame, names: tuple[str, ...]) ->
             hit = known & some[mix(ids.fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64)) % U(bits)]
             yield batch.filter(pa.array(hit))
 
-    return documents.mapInArrow(pick, "id long, text string")
+    return documents.mapInArrow(arrow_text.tidied(pick), "id long, text string")
 
 
 def _confirmed(pairs: DataFrame, documents: DataFrame, scratch: Scratch, name: str, shingle: int, percent: int) -> DataFrame:
@@ -190,7 +190,7 @@ def _confirmed(pairs: DataFrame, documents: DataFrame, scratch: Scratch, name: s
                 keep.append(100 * shared >= percent * (len(held) + len(other) - shared))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
-    links = scratch.keep(both.mapInArrow(run, "u long, v long").distinct(), f"{name}-links")
+    links = scratch.keep(both.mapInArrow(arrow_text.tidied(run), "u long, v long").distinct(), f"{name}-links")
     scratch.drop(f"{name}-texts")
     return links
 
@@ -211,7 +211,7 @@ def _sets(documents: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["rep", "set"])
 
     texts = _picked(documents, wanted, ("rep",)).join(wanted.withColumnRenamed("rep", "id"), "id", "left_semi")
-    return texts.select("id", "text").mapInArrow(run, "rep long, set binary")
+    return texts.select("id", "text").mapInArrow(arrow_text.tidied(run), "rep long, set binary")
 
 
 def _across(members: DataFrame, groups: DataFrame, sets: DataFrame, least: int, percent: int) -> DataFrame:

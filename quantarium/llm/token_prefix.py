@@ -282,7 +282,7 @@ def token_counts(documents: DataFrame, model_path: str, budget: int = 4096, id_c
 
     kind = documents.schema[id_col].dataType.simpleString()
     rows = documents.select(documents[id_col].alias("id"), documents[text_col].alias("text"))
-    out = rows.mapInArrow(count, f"id {kind}, n_bytes long, n_tokens long, over_limit boolean, fit_chars long")
+    out = rows.mapInArrow(arrow_text.tidied(count), f"id {kind}, n_bytes long, n_tokens long, over_limit boolean, fit_chars long")
     return out.withColumnRenamed("id", id_col)
 
 
