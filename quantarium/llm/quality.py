@@ -73,11 +73,12 @@ def shares(prefix: str = "") -> dict[str, Column]:
 
 def binomial_tail(k: str, n: str, rate: float) -> Column:
     """P(X <= k) for X binomial of n trials at rate, summed term by term in logarithms; 1 where k is past the mean."""
-    term = f"a.t + ln(({n} - j + 1) / j) + ln({rate!r} / (1 - {rate!r}))"
+    p = f"{rate!r}D"  # a plain literal would be a decimal
+    term = f"a.t + ln(({n} - j + 1) / j) + ln({p} / (1 - {p}))"
     total = f"greatest(a.s, {term}) + ln(1 + exp(-abs(a.s - ({term}))))"
-    first = f"{n} * ln(1 - {rate!r})"
+    first = f"{n} * ln(1 - {p})"
     return F.expr(
-        f"CASE WHEN {k} >= {n} * {rate!r} THEN 1D ELSE aggregate(slice(sequence(0L, {k}), 2, cast({k} as int)), named_struct('t', {first}, 's', {first}), "
+        f"CASE WHEN {k} >= {n} * {p} THEN 1D ELSE aggregate(slice(sequence(0L, {k}), 2, cast({k} as int)), named_struct('t', {first}, 's', {first}), "
         f"(a, j) -> named_struct('t', {term}, 's', {total}), a -> exp(a.s)) END"
     )
 
