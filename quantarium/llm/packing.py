@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quantarium.llm.arrow_text import tidied
 from quantarium.llm.byte_pair import encoder
 from quantarium.session import Scratch, ship_package
 
@@ -66,7 +67,7 @@ class Solution:
     rounds: int
 
 
-def solve(demand: np.ndarray, capacity: int, tolerance: float = 5e-4, rounds: int = 20_000) -> Solution:
+def solve(demand: np.ndarray, capacity: int, tolerance: float = 1e-3, rounds: int = 6_000) -> Solution:
     """Column generation for the fewest sequences; demand[i] pieces weigh i + 1 of capacity."""
     classes = np.flatnonzero(demand)
     m = len(classes)
@@ -103,15 +104,14 @@ def solve(demand: np.ndarray, capacity: int, tolerance: float = 5e-4, rounds: in
         ratios[up] = np.maximum(x[up], 0) / step[up]
         r = int(ratios.argmin())
         basis[:, r], cost[r] = column, entering_cost
-        if done % 200:
-            x = x - ratios[r] * step
-            x[r] = ratios[r]
-            row = inverse[r] / step[r]
-            inverse = inverse - np.outer(step, row)
-            inverse[r] = row
-        else:
+        x = x - ratios[r] * step
+        x[r] = ratios[r]
+        row = inverse[r] / step[r]
+        inverse = inverse - np.outer(step, row)
+        inverse[r] = row
+        if done % 200 == 0 and np.abs(np.einsum("ij,j->i", basis, x) - d).max() > 1e-6 * (1 + d.max()):
             inverse = np.linalg.inv(basis)
-            x = inverse @ d
+            x = np.einsum("ij,j->i", inverse, d)
     used = (cost > 0) & (x > 1e-9)
     patterns = np.zeros((len(demand), int(used.sum())), dtype=np.int64)
     patterns[classes] = np.rint(basis[:, used]).astype(np.int64)
@@ -212,8 +212,9 @@ def cut_documents(documents: DataFrame, tokenizer_path: str, capacity: int = CAP
                 columns.append(pa.array(ids, pa.list_(pa.int32())))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names)
+        encode.held.clear()
 
-    return documents.select(documents[id_col].alias("id"), documents[text_col].alias("text")).mapInArrow(cut, schema)
+    return documents.select(documents[id_col].alias("id"), documents[text_col].alias("text")).mapInArrow(tidied(cut), schema)
 
 
 def pack(documents: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
