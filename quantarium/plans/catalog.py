@@ -539,3 +539,6 @@ def merged_dataset_gates(spark: SparkSession, d: str) -> DataFrame:
     rows = _labelled(spark, d).where("target_class = 'ORGANISM' AND activity_type = 'IC50'").groupBy("organism", "place", "compound_id").agg(F.max("bin").alias("bin"))
     g = rows.groupBy("organism", "place").agg(F.count("*").alias("cpds"), F.sum("bin").alias("positives"))
     return g.withColumn("passes", selection.passes_gates(selection.Limits(merged_compounds=300)))
+
+
+from quantarium.plans import curation  # noqa: E402, F401  its queries join the catalog
