@@ -26,12 +26,15 @@ from __future__ import annotations
 
 import hashlib
 import math
+from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
 from quantarium.llm import arrow_text
 from quantarium.llm.arrow_text import BYTE_VALUE, U, mix
@@ -40,11 +43,11 @@ from quantarium.session import Scratch, ship_package
 SPAN = 50
 GRAM = 16
 #: Bytes of text that a task packs at once; longer texts are cut with SPAN - 1 bytes of overlap.
-FLUSH_BYTES = 24 << 20
+FLUSH_BYTES = 16 << 20
 SEGMENT = 1 << 20
 #: Minimizers of a key range in step 1, and bytes of blocks in step 3.
 RANGE_KEYS = 1_500_000
-RANGE_BYTES = 6 << 20
+RANGE_BYTES = 4 << 20
 _PLACE = U((1 << 24) - 1)
 _LOW = U((1 << 40) - 1)
 
@@ -87,7 +90,7 @@ def minimizer_runs(data: np.ndarray, offsets: np.ndarray, span: int = SPAN, gram
     new = np.concatenate([[True], (at[1:] != at[:-1] + 1) | (place[at[1:]] != place[at[:-1]])])
     begin = np.flatnonzero(new)
     first, last = at[begin], at[np.append(begin[1:], len(at)) - 1]
-    return first, last, value[place[first]]
+    return first, last, mix(value[place[first]] ^ U(0x3C6EF372FE94F82B))  # least hashes are small: mixed again, they spread over all ranges
 
 
 def short_keys(keys: np.ndarray, bits: int) -> np.ndarray:
@@ -213,9 +216,9 @@ def _by_text(table: pa.Table) -> pa.Table:
 def _blocks(bits: int, ranges: int):
     """Rows of kind 0 (distinct blocks of a range: lengths, bytes, least ids) and 1 (where texts have them)."""
 
-    def flush(batch_id: int, blocks: dict, least: list, where: list, ids: list, hashes: list):
+    def flush(batch_id: int, blocks: dict, places: array, least: array, where: array, ids: list, hashes: list):
         names = list(blocks)
-        place = np.fromiter((k for _, k in names), np.int64, len(names))
+        place = np.array(places, dtype=np.int64)
         order = np.argsort(place, kind="stable")
         edge = np.searchsorted(place[order], np.arange(ranges + 1))
         n = 0
@@ -223,20 +226,20 @@ def _blocks(bits: int, ranges: int):
         for r, (i, j) in enumerate(zip(edge, edge[1:])):
             if j > i:
                 own = order[i:j]
-                texts = [names[x][0] for x in own]
-                for column, value in zip(out, (0, r, np.fromiter(map(len, texts), "<u4", len(texts)).tobytes(), b"".join(texts), np.array([least[x] for x in own], dtype="<i8").tobytes(), own.astype("<u4").tobytes())):
+                texts = [names[x] for x in own]
+                for column, value in zip(out, (0, r, np.fromiter(map(len, texts), "<u4", len(texts)).tobytes(), pa.compress(b"".join(texts), codec="zstd", asbytes=True), np.array(least, dtype="<i8")[own].tobytes(), own.astype("<u4").tobytes())):
                     column.append(value)
                 n += 1
         spots = np.array(where, dtype="<u4").reshape(-1, 3)
-        for column, value in zip(out, (1, None, spots.tobytes(), np.array(ids, dtype="<i8").tobytes(), np.array(hashes, dtype="<i8").tobytes(), np.array([[len(n_[0]), x] for n_, x in zip(names, least)], dtype="<i8").tobytes())):
+        for column, value in zip(out, (1, None, spots.tobytes(), np.array(ids, dtype="<i8").tobytes(), np.array(hashes, dtype="<i8").tobytes(), np.stack([np.fromiter(map(len, names), "<i8", len(names)), np.array(least, dtype="<i8")], axis=1).tobytes())):
             column.append(value)
         kinds, places, *rest = out
         return pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array([batch_id] * len(kinds), pa.int64()), pa.array(places, pa.int32()), *map(_binary, rest)], ["kind", "batch", "range", "lengths", "bytes", "ids", "numbers"])
 
     def run(batches):
         part, flushed = TaskContext.get().partitionId(), 0
-        blocks: dict[tuple[bytes, int], int] = {}
-        least, where, ids, hashes, size = [], [], [], [], 0
+        blocks: dict[bytes, int] = {}
+        places, least, where, ids, hashes, size = array("q"), array("q"), array("I"), [], [], 0
         for batch in batches:
             offsets, data = arrow_text.buffers(batch.column(2))
             id_list, hash_list, shared = (batch.column(c).to_pylist() for c in (0, 1, 3))
@@ -259,19 +262,20 @@ def _blocks(bits: int, ranges: int):
                         pushed = row
                     owner, own_id, base = len(ids) - 1, id_list[row], a - int(offsets[row])
                     for f, e, k in zip(first[mine].tolist(), (last[mine] + SPAN).tolist(), (mix(key[mine]) % U(ranges)).tolist()):
-                        block = (whole[f:e], k)
-                        number = blocks.setdefault(block, len(least))
+                        number = blocks.setdefault(whole[f:e], len(least))
                         if number == len(least):
                             least.append(own_id)
+                            places.append(k)
                         elif own_id < least[number]:
                             least[number] = own_id
-                        where += (owner, base + f, number)
+                        where.extend((owner, base + f, number))
                 size += b - a
                 if size >= FLUSH_BYTES and blocks and done:
-                    yield flush((part << 24) | flushed, blocks, least, where, ids, hashes)
-                    blocks, least, where, ids, hashes, size, flushed, pushed = {}, [], [], [], [], 0, flushed + 1, -1
+                    yield flush((part << 24) | flushed, blocks, places, least, where, ids, hashes)
+                    blocks, places, least, where = {}, array("q"), array("q"), array("I")
+                    ids, hashes, size, flushed, pushed = [], [], 0, flushed + 1, -1
         if blocks:
-            yield flush((part << 24) | flushed, blocks, least, where, ids, hashes)
+            yield flush((part << 24) | flushed, blocks, places, least, where, ids, hashes)
 
     return run
 
@@ -280,26 +284,47 @@ def _blocks(bits: int, ranges: int):
 
 
 def suffix_order(data: np.ndarray, starts: np.ndarray, depth: int = SPAN) -> tuple[np.ndarray, np.ndarray]:
-    """(order, lcp): suffixes at starts sorted by their first `depth` bytes; lcp[i] of order[i - 1] and order[i]."""
-    words = []
-    for j in range(0, depth, 8):
-        word = np.zeros(len(starts), dtype=np.uint64)
-        for i in range(j, min(j + 8, depth)):
-            word |= data[starts + i].astype(np.uint64) << U(56 - 8 * (i - j))
-        words.append(word)
-    order = np.lexsort(words[::-1])
-    lcp = np.zeros(len(starts), dtype=np.int64)
-    open_ = np.arange(1, len(starts))
+    """(order, lcp): suffixes at starts sorted by their first `depth` bytes; lcp[i] of order[i - 1] and order[i].
+
+    Equal suffixes are brought together by a hash first (and compared), so that only one of each is sorted by its bytes.
+    """
+    n = len(starts)
+    if not n:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    padded = np.concatenate([data, np.zeros(16, dtype=np.uint8)]).astype(np.uint64)
+    eight = np.zeros(len(data) + 8, dtype=np.uint64)
+    for i in range(8):
+        eight |= padded[i : i + len(eight)] << U(56 - 8 * i)
+    rest = depth % 8
+    words = [eight[starts + j] for j in range(0, depth, 8)]
+    if rest:
+        words[-1] = words[-1] >> U(64 - 8 * rest) << U(64 - 8 * rest)
+    key = np.zeros(n, dtype=np.uint64)
+    for word, step in zip(words, arrow_text._STEPS):
+        key += word * step
+    key = mix(key)
+    near = np.argsort(key, kind="stable")
+    key = key[near]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    size = np.diff(np.append(first, n))
+    heads = near[first]
+    if any((word[near] != np.repeat(word[heads], size)).any() for word in words):  # a collision: sort them all
+        near, first, size, heads = np.arange(n), np.arange(n), np.ones(n, dtype=np.int64), np.arange(n)
+    rank = np.lexsort([word[heads] for word in words[::-1]])
+    first, size, heads = first[rank], size[rank], heads[rank]
+    begin = np.cumsum(size) - size
+    order = near[np.arange(n) + np.repeat(first - begin, size)]
+    lcp = np.full(n, depth)
+    between = np.zeros(len(heads), dtype=np.int64)
+    open_ = np.arange(1, len(heads))
     for j, word in enumerate(words):
-        if not len(open_):
-            break
-        differ = word[order[open_]] ^ word[order[open_ - 1]]
-        bytes_ = np.full(len(open_), min(8, depth - 8 * j))
-        some = differ != 0
-        for i in range(8):
-            bytes_ = np.where(some & ((differ >> U(56 - 8 * i)) != 0) & (bytes_ > i), i, bytes_) if i else np.where(some & ((differ >> U(56)) != 0), 0, bytes_)
-        lcp[open_] += bytes_
-        open_ = open_[~some]
+        differ = word[heads[open_]] ^ word[heads[open_ - 1]]
+        same = np.full(len(open_), min(8, depth - 8 * j))
+        for i in range(7, -1, -1):
+            same[(differ >> U(56 - 8 * i)) != 0] = i
+        between[open_] += np.minimum(same, min(8, depth - 8 * j))
+        open_ = open_[differ == 0]
+    lcp[begin] = between
     return order, lcp
 
 
@@ -319,15 +344,30 @@ def nearest_smaller(values: np.ndarray, lcp: np.ndarray) -> tuple[np.ndarray, np
     return at, shared
 
 
-def longest_previous(data: np.ndarray, starts: np.ndarray, owners: np.ndarray, depth: int = SPAN) -> np.ndarray:
-    """Longest previous factors, to `depth` bytes: of each suffix with any suffix of a smaller owner."""
+def met_again(data: np.ndarray, starts: np.ndarray, depth: int = SPAN) -> np.ndarray:
+    """Which of the ordered starts may have the first `depth` bytes of another one (by a hash: none that has is missed)."""
+    key = arrow_text.span_hashes(data, starts, starts + depth)
+    order = np.argsort(key, kind="stable")
+    same = key[order][1:] == key[order][:-1]
+    out = np.zeros(len(starts), dtype=bool)
+    out[order[1:]] = same
+    out[order[:-1]] |= same
+    return out
+
+
+def longest_previous(data: np.ndarray, starts: np.ndarray, owners: np.ndarray, depth: int = SPAN, least: int = 1) -> np.ndarray:
+    """Longest previous factors, to `depth` bytes: of each suffix with any suffix of a smaller owner; less than `least` counts as none."""
     order, lcp = suffix_order(data, starts, depth)
+    out = np.zeros(len(starts), dtype=np.int64)
+    reach = lcp >= least
+    held = np.flatnonzero(reach | np.append(reach[1:], False))  # the others share too little with both neighbours
+    order, lcp = order[held], lcp[held]
     values = owners[order]
     _, before = nearest_smaller(values, lcp)
     # the next smaller value is the previous one of the reversed order, with lcp shifted by one
     _, after = nearest_smaller(values[::-1], np.concatenate([[0], lcp[1:][::-1]]) if len(lcp) else lcp)
-    out = np.zeros(len(starts), dtype=np.int64)
-    out[order] = np.maximum(before, after[::-1])
+    found = np.maximum(before, after[::-1])
+    out[order] = np.where(found >= least, found, 0)
     return out
 
 
@@ -335,15 +375,17 @@ def _marking(table: pa.Table) -> pa.Table:
     """One key range: the lost spans of each batch's blocks as (number, begin, end)."""
     lengths = [np.frombuffer(x.as_py(), "<u4").astype(np.int64) for x in table.column("lengths")]
     length = np.concatenate(lengths)
-    data = np.frombuffer(b"".join(x.as_py() for x in table.column("bytes")), np.uint8)
+    packed = zip(table.column("bytes"), lengths)
+    data = np.frombuffer(b"".join(pa.decompress(x.as_py(), decompressed_size=int(n.sum()), codec="zstd", asbytes=True) for x, n in packed), np.uint8)
     owner = np.concatenate([np.frombuffer(x.as_py(), "<i8") for x in table.column("ids")])
     number = np.concatenate([np.frombuffer(x.as_py(), "<u4") for x in table.column("numbers")]).astype(np.int64)
     batch = np.repeat(np.arange(len(lengths)), [len(x) for x in lengths])
     windows, begin = length - SPAN + 1, np.cumsum(length) - length
     block = np.repeat(np.arange(len(length)), windows)
     inside = np.arange(len(block)) - np.repeat(np.cumsum(windows) - windows, windows)
-    lost = longest_previous(data, begin[block] + inside, owner[block]) >= SPAN
-    at = np.flatnonzero(lost)
+    # a suffix alone with its first SPAN bytes has no factor of that length: it needs no place in the order
+    at = np.flatnonzero(met_again(data, begin[block] + inside))
+    at = at[longest_previous(data, (begin[block] + inside)[at], owner[block[at]], least=SPAN) >= SPAN]
     new = np.concatenate([[True], (block[at][1:] != block[at][:-1]) | (inside[at][1:] > inside[at][:-1] + SPAN)]) if len(at) else np.zeros(0, dtype=bool)
     first = np.flatnonzero(new)
     final = np.append(first[1:], len(at)) - 1 if len(first) else first
@@ -407,7 +449,7 @@ def repeated_spans(documents: DataFrame, id_col: str = "doc_id", text_col: str =
     total = digests.agg(F.sum("n")).first()[0] or 0
     bits = max(2, math.ceil(math.log2(max(1, 0.055 * total / RANGE_KEYS))))
 
-    asked = scratch.keep(base.mapInArrow(_asking(bits), "kind int, batch long, range int, keys binary, rows binary"), "asked")
+    asked = scratch.keep(base.mapInArrow(arrow_text.tidied(_asking(bits)), "kind int, batch long, range int, keys binary, rows binary"), "asked")
     told = asked.where("kind = 0").groupBy("range").applyInArrow(_telling, "kind int, batch long, keys binary, rows binary")
     back = told.unionByName(asked.where("kind > 0").drop("range"))
     shared = back.groupBy("batch").applyInArrow(_by_text, "id long, h long, keys binary")
@@ -418,7 +460,7 @@ def repeated_spans(documents: DataFrame, id_col: str = "doc_id", text_col: str =
     scratch.drop("asked")
 
     ranges = max(4, math.ceil(0.8 * total / RANGE_BYTES))
-    blocks = scratch.keep(base.join(wanted, ["id", "h"]).select("id", "h", "text", "keys").mapInArrow(_blocks(bits, ranges), "kind int, batch long, range int, lengths binary, bytes binary, ids binary, numbers binary"), "blocks")
+    blocks = scratch.keep(base.join(wanted, ["id", "h"]).select("id", "h", "text", "keys").mapInArrow(arrow_text.tidied(_blocks(bits, ranges)), "kind int, batch long, range int, lengths binary, bytes binary, ids binary, numbers binary"), "blocks")
     scratch.drop("wanted")
     marks = blocks.where("kind = 0").groupBy("range").applyInArrow(_marking, "kind int, batch long, lengths binary")
     places = marks.unionByName(blocks.where("kind = 1").drop("range"), allowMissingColumns=True)
@@ -437,12 +479,15 @@ def drop_repeats(documents: DataFrame, carry: list[str] | None = None, id_col: s
     rows = documents.select(F.struct(*(documents[f"`{c}`"] for c in carry)).alias("row"), documents[id_col].cast("long").alias("id"), F.xxhash64(text).alias("h"), text.alias("text"))
     rows = rows.join(found, ["id", "h"], "left").select("row", "text", "spans")
 
-    def run(batches):
-        for batch in batches:
-            offsets, data = arrow_text.buffers(batch.column(1))
+    kind = "string" if as_text else "binary"
+
+    @arrow_udf(f"struct<kept: {kind}, n_bytes: long, n_removed: long, spans: array<long>>")
+    def cut(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, found in columns:
+            offsets, data = arrow_text.buffers(texts)
             whole = data.tobytes()
             kept, gone, spans = [], [], []
-            for i, packed in enumerate(batch.column(2).to_pylist()):
+            for i, packed in enumerate(found.to_pylist()):
                 a, b = int(offsets[i]), int(offsets[i + 1])
                 s = [] if packed is None else np.frombuffer(packed, "<i8").tolist() or [0, b - a]
                 edges = [0, *s, b - a]
@@ -450,9 +495,10 @@ def drop_repeats(documents: DataFrame, carry: list[str] | None = None, id_col: s
                 gone.append(sum(s[1::2]) - sum(s[::2]))
                 spans.append(s)
             out = pa.array([x.decode(errors="ignore") for x in kept], pa.string()) if as_text else _binary(kept)
-            yield pa.RecordBatch.from_arrays([batch.column(0), out, pa.array(np.diff(offsets)), pa.array(gone, pa.int64()), pa.array(spans, pa.list_(pa.int64()))], ["row", "kept", "n_bytes", "n_removed", "spans"])
+            yield pa.StructArray.from_arrays([out, pa.array(np.diff(offsets)), pa.array(gone, pa.int64()), pa.array(spans, pa.list_(pa.int64()))], ["kept", "n_bytes", "n_removed", "spans"])
+        arrow_text.tidy()
 
-    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, kept {'string' if as_text else 'binary'}, n_bytes long, n_removed long, spans array<long>")
+    return rows.select("row", cut("text", "spans").alias("found")).select("row", "found.*")
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
