@@ -79,7 +79,7 @@ class Scratch:
 
 
 #: Bytes of one Arrow batch on its way to a Python worker and back, where the session has Spark's default.
-ARROW_BATCH_BYTES = 8 << 20
+ARROW_BATCH_BYTES = 4 << 20
 
 
 def ship_package(spark: SparkSession) -> None:
