@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import islice
 
@@ -25,10 +26,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
+from quantarium.llm import arrow_text
 from quantarium.session import ship_package
 
-SAMPLE_ROWS = 6_000
+SAMPLE_ROWS = 3_000
 LONGEST = 5
 EVIDENCE = 8
 UNKNOWN = "und"
@@ -51,52 +54,42 @@ def ngrams(word: str, longest: int = LONGEST) -> list[str]:
 
 @dataclass
 class LanguageModel:
-    """Log frequencies: words and n-grams (by length) to a row of one value a language."""
+    """Log frequencies: words and n-grams to rows of one value a language."""
 
     languages: list[str]
     prior: np.ndarray
-    words: dict[str, np.ndarray]
-    grams: dict[str, np.ndarray]
+    words: dict[str, int]
+    word_logs: np.ndarray
+    grams: dict[str, int]
+    gram_logs: np.ndarray
 
     @staticmethod
-    def of(counts: list[tuple[str, str, int]], documents: dict[str, int]) -> LanguageModel:
-        """From (language, word, n) and documents a language."""
-        languages = sorted(documents)
-        at = {x: i for i, x in enumerate(languages)}
-        words: dict[str, np.ndarray] = {}
-        grams: dict[str, np.ndarray] = {}
-        for language, word, n in counts:
-            words.setdefault(word, np.zeros(len(languages)))[at[language]] += n
-        for word, n in words.items():
-            for g, k in Counter(ngrams(word)).items():
-                grams[g] = grams.get(g, 0) + k * n
-        prior = np.log(np.array([documents[x] for x in languages], dtype=float) / max(1, sum(documents.values())))
-        known = {w: n for w, n in words.items() if n.sum() > 1}
-        out = LanguageModel(languages, prior, LanguageModel._logs(known), {})
-        for size in range(1, LONGEST + 1):
-            out.grams |= LanguageModel._logs({g: n for g, n in grams.items() if len(g) == size and n.sum() > 1})
-        return out
+    def of(languages: list[str], documents: list[int], words: list[str], word_counts: np.ndarray, grams: list[str], gram_counts: np.ndarray) -> LanguageModel:
+        """From counts a language (columns) of words and n-grams (rows)."""
+        prior = np.log(np.array(documents, dtype=float) / max(1, sum(documents)))
+        logs = np.zeros(gram_counts.shape, dtype=np.float32)
+        sizes = np.array(list(map(len, grams)), dtype=np.int64)
+        for size in np.unique(sizes):
+            logs[sizes == size] = LanguageModel._logs(gram_counts[sizes == size])
+        return LanguageModel(languages, prior, {w: i for i, w in enumerate(words)}, LanguageModel._logs(word_counts), {g: i for i, g in enumerate(grams)}, logs)
 
     @staticmethod
-    def _logs(counts: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    def _logs(counts: np.ndarray) -> np.ndarray:
         """Add-half smoothed log relative frequencies."""
-        if not counts:
-            return {}
-        table = np.array(list(counts.values())) + 0.5
-        logs = np.log(table / table.sum(axis=0)).astype(np.float32)
-        return dict(zip(counts, logs))
+        table = counts + 0.5
+        return np.log(table / np.maximum(table.sum(axis=0), 1)).astype(np.float32)
 
     def score(self, word: str) -> np.ndarray:
         found = self.words.get(word)
         if found is not None:
-            return found
+            return self.word_logs[found]
         padded, i = f"^{word}$", 0
         total = np.zeros(len(self.languages), dtype=np.float32)
         while i < len(padded):
             for n in range(min(LONGEST, len(padded) - i), 0, -1):
                 found = self.grams.get(padded[i : i + n])
                 if found is not None:
-                    total = total + found
+                    total = total + self.gram_logs[found]
                     break
             i += n
         return total
@@ -151,36 +144,47 @@ def train(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 words.setdefault(lang, Counter()).update(words_of(text))
                 documents[lang] += 1
-        out = [(x, None, n) for x, n in documents.items()] + [(x, w, n) for x, c in words.items() for w, n in c.items()]
-        for at in range(0, len(out), 100_000):
-            part = list(zip(*out[at : at + 100_000]))
-            yield pa.RecordBatch.from_arrays([pa.array(part[0], pa.string()), pa.array(part[1], pa.string()), pa.array(part[2], pa.int64())], ["lang", "word", "n"])
-
-    counted = sample.select("text", "lang").mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    found = counted.toArrow().to_pydict()  # the words of the sample, bounded as the sample is
-    rows_ = list(zip(found["lang"], found["word"], found["n"]))
-    return LanguageModel.of(sorted((x, w, n) for x, w, n in rows_ if w is not None), {x: n for x, w, n in rows_ if w is None})
+        for lang, counter in words.items():
+            grams: Counter = Counter()
+            for w, n in counter.items():
+                for g in ngrams(w):
+                    grams[g] += n
+            for kind, found in (("d", {"": documents[lang]}), ("w", counter), ("g", grams)):
+                out = list(found.items())
+                for at in range(0, len(out), 100_000):
+                    tokens, n = zip(*out[at : at + 100_000])
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n)), pa.array([kind] * len(n)), pa.array(tokens, pa.string()), pa.array(n, pa.int64())], ["lang", "kind", "token", "n"])
+
+    counted = sample.select("text", "lang").mapInArrow(arrow_text.tidied(count), "lang string, kind string, token string, n long")
+    counted = counted.groupBy("kind", "token", "lang").agg(F.sum("n").alias("n"))
+    kept = counted.groupBy("kind", "token").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("n"), F.sum("n").alias("total"))
+    kept = kept.where("kind = 'd' OR total > 1").orderBy("kind", "token").select("kind", "token", "n").collect()  # the sample's words and n-grams, bounded as it is
+    rows_: dict[str, list] = {k: [r for r in kept if r["kind"] == k] for k in "dwg"}
+    documents_ = rows_["d"][0]["n"] if rows_["d"] else {}
+    languages = sorted(documents_)
+
+    def table(kind: str) -> np.ndarray:
+        return np.array([[r["n"].get(x, 0) for x in languages] for r in rows_[kind]], dtype=float).reshape(len(rows_[kind]), len(languages))
+
+    return LanguageModel.of(languages, [documents_[x] for x in languages], [r["token"] for r in rows_["w"]], table("w"), [r["token"] for r in rows_["g"]], table("g"))
 
 
 def identify(documents: DataFrame, model: LanguageModel, carry: list[str] | None = None, text_col: str = "text") -> DataFrame:
     """row (a struct of the carried columns), lang_pred and score of each document."""
     ship_package(documents.sparkSession)
     carry = documents.columns if carry is None else carry
-    carried = text_col in carry
-    row = F.struct(*(documents[f"`{c}`"] for c in carry))
-    df = documents.select(row.alias("row"), *([] if carried else [documents[text_col].alias("text")]))
-    shared = documents.sparkSession.sparkContext.broadcast(model)
+    shared = documents.sparkSession.sparkContext.broadcast(model)  # bounded as the sample is
 
-    def predict(batches):
+    @arrow_udf("struct<lang_pred: string, score: double>")
+    def predict(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         predictor = Predictor(shared.value)
-        for batch in batches:
-            texts = batch.column("row").field(text_col) if carried else batch.column("text")
+        for texts in columns:
             found = [predictor.predict(x) for x in texts.to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array([x for x, _ in found], pa.string()), pa.array([y for _, y in found], pa.float64())], ["row", "lang_pred", "score"]
-            )
+            yield pa.StructArray.from_arrays([pa.array([x for x, _ in found], pa.string()), pa.array([y for _, y in found], pa.float64())], ["lang_pred", "score"])
+        arrow_text.tidy()
 
-    return df.mapInArrow(predict, f"row {df.schema['row'].dataType.simpleString()}, lang_pred string, score double")
+    df = documents.select(F.struct(*(documents[f"`{c}`"] for c in carry)).alias("row"), predict(documents[text_col]).alias("found"))
+    return df.select("row", "found.*")
 
 
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
