@@ -22,12 +22,14 @@ from __future__ import annotations
 
 import hashlib
 from collections import defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
 from quantarium.llm import arrow_text
 from quantarium.llm.arrow_text import LOWER, NOT_ALNUM, U, mix
@@ -187,13 +189,14 @@ def _counting(records: Records, shingle: int):
     return count
 
 
-def _scanning(index: Index, carried: bool, text_name: str, earlier: bool, keep_text: bool):
-    def scan(batches):
-        for batch in batches:
-            row = batch.column("row")
-            texts = row.field(text_name) if carried else batch.column("text")
+def _scanning(index: Index):
+    """A function of texts and earlier finds (or null) to their words, hits, spans and items."""
+
+    @arrow_udf("struct<n_words: long, n_hit: long, hit_spans: array<long>, hit_items: array<string>>")
+    def scan(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, earlier in columns:
             offsets, data = arrow_text.buffers(texts)
-            counts, spans, items = [], [], []
+            counts, spans, items = [np.zeros(0, dtype=np.int64)], [], []
             for lo, hi in arrow_text.chunks(offsets):
                 own, starts, ends, hashes, first = words_of(texts, lo, hi, offsets, data)
                 counts.append(np.diff(first))
@@ -205,10 +208,10 @@ def _scanning(index: Index, carried: bool, text_name: str, earlier: bool, keep_t
                     own_items[i].add(index.records.items[r])
                 spans += own_spans
                 items += own_items
-            if earlier:
-                spans = [[*a, *b] for a, b in zip(batch.column("hit_spans").to_pylist(), spans)]
-                items = [{*a, *b} for a, b in zip(batch.column("hit_items").to_pylist(), items)]
-            n = np.concatenate(counts) if counts else np.zeros(0, dtype=np.int64)
+            if earlier.null_count < len(earlier):
+                before = [x or {"hit_spans": [], "hit_items": []} for x in earlier.to_pylist()]
+                spans = [[*x["hit_spans"], *s] for x, s in zip(before, spans)]
+                items = [{*x["hit_items"], *s} for x, s in zip(before, items)]
             merged, hit = [], []
             for s in spans:
                 edges: list[int] = []
@@ -219,10 +222,9 @@ def _scanning(index: Index, carried: bool, text_name: str, earlier: bool, keep_t
                         edges += [a, b]
                 merged.append(edges)
                 hit.append(sum(edges[1::2]) - sum(edges[::2]))
-            columns = {"row": row, "n_words": pa.array(n, pa.int64()), "n_hit": pa.array(hit, pa.int64()), "hit_spans": pa.array(merged, pa.list_(pa.int64())), "hit_items": pa.array([sorted(x) for x in items], pa.list_(pa.string()))}
-            if keep_text:
-                columns["text"] = batch.column("text")
-            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+            out = [pa.array(np.concatenate(counts), pa.int64()), pa.array(hit, pa.int64()), pa.array(merged, pa.list_(pa.int64())), pa.array([sorted(x) for x in items], pa.list_(pa.string()))]
+            yield pa.StructArray.from_arrays(out, ["n_words", "n_hit", "hit_spans", "hit_items"])
+        arrow_text.tidy()
 
     return scan
 
@@ -242,22 +244,17 @@ def find_passages(
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-size // BLOCK_BYTES) or 1
     carry = documents.columns if carry is None else carry
-    carried = text_col in carry
-    row = F.struct(*(documents[f"`{c}`"] for c in carry))
-    # the struct keeps at least one field, so that rows without carried columns are rows still
-    df = documents.select(row.alias("row"), *([] if carried else [documents[text_col].alias("text")]))
-    row_type = df.schema["row"].dataType.simpleString()
+    nothing = F.lit(None).cast("struct<n_words: long, n_hit: long, hit_spans: array<long>, hit_items: array<string>>")
+    df = documents.select(F.struct(*(documents[f"`{c}`"] for c in carry)).alias("row"), documents[text_col].alias("text"), nothing.alias("found"))
     texts = documents.select(documents[text_col].alias("text"))
     for b in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == b) if blocks > 1 else items
         records = Records.of(sorted((r["item"], r["text"]) for r in part.collect()), window)
-        counted = texts.mapInArrow(_counting(records, shingle), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+        counted = texts.mapInArrow(arrow_text.tidied(_counting(records, shingle)), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
         counts = {r["shingle"] % (1 << 64): r["n"] for r in counted.collect()}  # at most the block's shingles
         index = Index(records, counts, shingle, containment)
-        more = b + 1 < blocks
-        schema = f"row {row_type}, n_words long, n_hit long, hit_spans array<long>, hit_items array<string>" + ", text string" * (more and not carried)
-        df = df.mapInArrow(_scanning(index, carried, text_col, b > 0, more and not carried), schema)
-    return df
+        df = df.select("row", "text", _scanning(index)("text", "found").alias("found"))
+    return df.select("row", "found.*")
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
