@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from quantarium.llm import decontaminate, html_text, language, lm_scoring, near_duplicates, packing, quality, quotation, suffix_dedup, token_prefix
+from quantarium.llm import checks, decontaminate, html_text, language, lm_scoring, near_duplicates, packing, quality, quotation, suffix_dedup, token_prefix
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
@@ -19,4 +19,7 @@ QUERIES = {
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_near_duplicates": checks.NEAR_DUPLICATES,
+    "op10_decontamination": checks.DECONTAMINATION,
+}
