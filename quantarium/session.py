@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import os
+import shutil
 import tempfile
 import uuid
 from pathlib import Path
@@ -84,17 +86,20 @@ ARROW_BATCH_BYTES = 4 << 20
 
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in Python workers started elsewhere than in the repository, and keep their batches small."""
-    import os
-    import shutil
-
     batch = "spark.sql.execution.arrow.maxBytesPerBatch"
     if spark.conf.get(batch, str(64 << 20)).rstrip("b") == str(64 << 20):
         spark.conf.set(batch, str(ARROW_BATCH_BYTES))
     root = Path(__file__).resolve().parent.parent
     here = {str(Path(p or ".").resolve()) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep)} | {os.getcwd()}
     sc = spark.sparkContext
-    if str(root) in here or getattr(sc, "_quantarium_shipped", False):
+    if str(root) in here or sc.applicationId in _SHIPPED:
         return
-    with tempfile.TemporaryDirectory() as tmp:
-        sc.addPyFile(shutil.make_archive(f"{tmp}/quantarium", "zip", root, "quantarium"))
-    sc._quantarium_shipped = True
+    _SHIPPED.add(sc.applicationId)
+    # the driver serves the file to executors as they come, so it stays until the driver ends
+    folder = tempfile.TemporaryDirectory(prefix="quantarium-package-")
+    atexit.register(folder.cleanup)
+    sc.addPyFile(shutil.make_archive(f"{folder.name}/quantarium", "zip", root, "quantarium"))
+
+
+#: Applications whose executors have the package.
+_SHIPPED: set[str] = set()
