@@ -20,6 +20,7 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_quality": checks.QUALITY,
     "op6_near_duplicates": checks.NEAR_DUPLICATES,
     "op10_decontamination": checks.DECONTAMINATION,
 }
