@@ -15,8 +15,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK = 1 << 20
-BLOCK = 1 << 20
+CHUNK = 1 << 19
+BLOCK = 1 << 19
 U = np.uint64
 
 #: Separators \x20 and \x09-\x0D.
@@ -46,6 +46,30 @@ def tidied(step: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterato
     return run
 
 
+def tidied_group(step: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]:
+    """The same for a function of one group."""
+
+    def run(table: pa.Table) -> pa.Table:
+        try:
+            return step(table)
+        finally:
+            tidy()
+
+    return run
+
+
+def tidied_pair(step: Callable[[pa.Table, pa.Table], pa.Table]) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """The same for a function of two groups of one key."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        try:
+            return step(left, right)
+        finally:
+            tidy()
+
+    return run
+
+
 def tidy() -> None:
     pa.default_memory_pool().release_unused()
     try:
@@ -118,7 +142,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         base = starts[i]
         j = max(i + 1, int(np.searchsorted(ends, base + BLOCK, "right")))
         values = BYTE_VALUE[data[base : ends[j - 1]]]
-        powers, inverse = _powers(max(20, int(len(values)).bit_length()))
+        powers, inverse = _powers(max(19, int(len(values)).bit_length()))
         sums = np.zeros(len(values) + 1, dtype=np.uint64)
         np.cumsum(values * powers[: len(values)], out=sums[1:])
         s = starts[i:j] - base

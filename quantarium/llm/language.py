@@ -36,7 +36,7 @@ LONGEST = 5
 EVIDENCE = 8
 UNKNOWN = "und"
 #: Words whose scores a worker holds at once.
-HELD_WORDS = 300_000
+HELD_WORDS = 150_000
 WORDS = re.compile(r"[^\W\d_]+")
 
 

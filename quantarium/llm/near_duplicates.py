@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from quantarium.llm import arrow_text
 from quantarium.llm.arrow_text import LOWER, WHITE, U, mix
-from quantarium.llm.components import components
+from quantarium.operators.graph import components
 from quantarium.session import Scratch, ship_package
 
 SHINGLE = 5
@@ -144,8 +144,8 @@ def _shingles(text: str | None, k: int) -> set:
     return {tuple(words)} if 0 < len(words) < k else set(zip(*(words[i:] for i in range(k))))
 
 
-def _picked(documents: DataFrame, wanted: DataFrame, names: tuple[str, ...]) -> DataFrame:
-    """The documents (id, text) whose id's bit is set by a column of `wanted`: all that are there and few others."""
+def _chooser(wanted: DataFrame, names: tuple[str, ...]):
+    """A function that keeps of a batch the rows whose id's bit is set by a column of `wanted`: all that are there and few others."""
     bits = BITMAP_BITS
 
     def mark(batches):  # one bit map a task
@@ -153,20 +153,27 @@ def _picked(documents: DataFrame, wanted: DataFrame, names: tuple[str, ...]) ->
         for batch in batches:
             for c in range(batch.num_columns):
                 out[mix(batch.column(c).to_numpy(zero_copy_only=False).view(np.uint64)) % U(bits)] = True
-        at = np.flatnonzero(out)
-        yield pa.RecordBatch.from_arrays([pa.array(at)], ["bit"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(out))], ["bit"])
 
     some_bits = np.zeros(bits, dtype=bool)
     some_bits[wanted.select(*names).mapInArrow(arrow_text.tidied(mark), "bit long").distinct().toArrow().column(0).to_numpy()] = True
-    packed = documents.sparkSession.sparkContext.broadcast(np.packbits(some_bits))
+    packed = wanted.sparkSession.sparkContext.broadcast(np.packbits(some_bits))
+
+    def choose(batch: pa.RecordBatch) -> pa.RecordBatch:
+        ids = batch.column(0)
+        at = mix(ids.fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64)) % U(bits)
+        hit = (packed.value[at >> U(3)] >> (U(7) - (at & U(7))).astype(np.uint8)) & 1 == 1
+        return batch.filter(pa.array(hit & ids.is_valid().to_numpy(zero_copy_only=False)))
+
+    return choose
+
+
+def _picked(documents: DataFrame, wanted: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    choose = _chooser(wanted, names)
 
     def pick(batches):
-        some = np.unpackbits(packed.value).astype(bool)
         for batch in batches:
-            ids = batch.column(0)
-            known = ids.is_valid().to_numpy(zero_copy_only=False)
-            hit = known & some[mix(ids.fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64)) % U(bits)]
-            yield batch.filter(pa.array(hit))
+            yield choose(batch)
 
     return documents.mapInArrow(arrow_text.tidied(pick), "id long, text string")
 
@@ -198,8 +205,10 @@ def _confirmed(pairs: DataFrame, documents: DataFrame, scratch: Scratch, name: s
 def _sets(documents: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     """(rep, set): the ordered 64-bit hashes of the shingles of each wanted id's texts."""
 
+    choose = _chooser(wanted, ("rep",))
+
     def run(batches):
-        for batch in batches:
+        for batch in map(choose, batches):
             offsets, data = arrow_text.buffers(batch.column(1))
             sets = []
             for lo, hi in arrow_text.chunks(offsets):
@@ -210,8 +219,7 @@ def _sets(documents: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
                 sets += [np.unique(grams[i:j]).tobytes() for i, j in zip(where, where[1:])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["rep", "set"])
 
-    texts = _picked(documents, wanted, ("rep",)).join(wanted.withColumnRenamed("rep", "id"), "id", "left_semi")
-    return texts.select("id", "text").mapInArrow(arrow_text.tidied(run), "rep long, set binary")
+    return documents.mapInArrow(arrow_text.tidied(run), "rep long, set binary").join(wanted, "rep", "left_semi")
 
 
 def _across(members: DataFrame, groups: DataFrame, sets: DataFrame, least: int, percent: int) -> DataFrame:
@@ -256,7 +264,7 @@ def _across(members: DataFrame, groups: DataFrame, sets: DataFrame, least: int,
                     vs.append(min(rep[k], rep[x]))
         return pa.table([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
 
-    return rows.groupBy("center", "i", "j").applyInArrow(compare, "u long, v long")
+    return rows.groupBy("center", "i", "j").applyInArrow(arrow_text.tidied_group(compare), "u long, v long")
 
 
 def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

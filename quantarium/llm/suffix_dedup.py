@@ -44,10 +44,13 @@ SPAN = 50
 GRAM = 16
 #: Bytes of text that a task packs at once; longer texts are cut with SPAN - 1 bytes of overlap.
 FLUSH_BYTES = 16 << 20
-SEGMENT = 1 << 20
+ASK_BYTES = 8 << 20
+#: Entries of one packed row: long rows are large objects in the JVM.
+ROW_ENTRIES = 20_000
+SEGMENT = 1 << 19
 #: Minimizers of a key range in step 1, and bytes of blocks in step 3.
-RANGE_KEYS = 1_500_000
-RANGE_BYTES = 4 << 20
+RANGE_KEYS = 750_000
+RANGE_BYTES = 2 << 20
 _PLACE = U((1 << 24) - 1)
 _LOW = U((1 << 40) - 1)
 
@@ -70,7 +73,7 @@ def minimizer_runs(data: np.ndarray, offsets: np.ndarray, span: int = SPAN, gram
     n, none = len(data), np.zeros(0, dtype=np.int64)
     if n < span:
         return none, none, none.view(np.uint64)
-    powers, inverse = arrow_text._powers(max(21, n.bit_length()))
+    powers, inverse = arrow_text._powers(max(19, n.bit_length()))
     sums = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum(BYTE_VALUE[data] * powers[:n], out=sums[1:])
     value = mix((sums[gram:] - sums[:-gram]) * inverse[: n - gram + 1])
@@ -137,11 +140,13 @@ def _asking(bits: int):
         heads = keys_[start]
         at = np.searchsorted(heads >> U(40), np.arange((1 << bits) + 1, dtype=np.uint64))
         cells = [(r, i, j) for r, (i, j) in enumerate(zip(at, at[1:])) if j > i]
-        n = len(cells)
+        told_keys, told_rows = keys_[told], owners_[told].astype("<u4")
+        cuts = range(0, max(len(told_keys), 1), ROW_ENTRIES)
+        n, more = len(cells), len(cuts)
         out = [
-            pa.array([0] * n + [1, 2], pa.int32()), pa.array([batch_id] * (n + 2), pa.int64()), pa.array([r for r, _, _ in cells] + [None, None], pa.int32()),
-            _binary([_pack5(heads[i:j]) for _, i, j in cells] + [keys_[told].tobytes(), ids_.astype("<i8").tobytes()]),
-            _binary([asked[i:j].tobytes() for _, i, j in cells] + [owners_[told].astype("<u4").tobytes(), hashes_.astype("<i8").tobytes()]),
+            pa.array([0] * n + [1] * more + [2], pa.int32()), pa.array([batch_id] * (n + more + 1), pa.int64()), pa.array([r for r, _, _ in cells] + [None] * (more + 1), pa.int32()),
+            _binary([_pack5(heads[i:j]) for _, i, j in cells] + [told_keys[i : i + ROW_ENTRIES].tobytes() for i in cuts] + [ids_.astype("<i8").tobytes()]),
+            _binary([asked[i:j].tobytes() for _, i, j in cells] + [told_rows[i : i + ROW_ENTRIES].tobytes() for i in cuts] + [hashes_.astype("<i8").tobytes()]),
         ]
         return pa.RecordBatch.from_arrays(out, ["kind", "batch", "range", "keys", "rows"])
 
@@ -161,7 +166,7 @@ def _asking(bits: int):
                     hashes.append(hashes_[lo:hi])
                     begun += hi - lo
                     size += int(offsets[hi] - offsets[lo])
-                if size >= FLUSH_BYTES:
+                if size >= ASK_BYTES:
                     yield flush((part << 24) | flushed, keys, owners, ids, hashes)
                     keys, owners, ids, hashes, size, begun, flushed = [], [], [], [], 0, 0, flushed + 1
         if ids:
@@ -231,8 +236,11 @@ def _blocks(bits: int, ranges: int):
                     column.append(value)
                 n += 1
         spots = np.array(where, dtype="<u4").reshape(-1, 3)
-        for column, value in zip(out, (1, None, spots.tobytes(), np.array(ids, dtype="<i8").tobytes(), np.array(hashes, dtype="<i8").tobytes(), np.stack([np.fromiter(map(len, names), "<i8", len(names)), np.array(least, dtype="<i8")], axis=1).tobytes())):
-            column.append(value)
+        sizes = np.stack([np.fromiter(map(len, names), "<i8", len(names)), np.array(least, dtype="<i8")], axis=1)
+        for i in range(0, max(len(spots), len(sizes)), ROW_ENTRIES):
+            whole = (np.array(ids, dtype="<i8").tobytes(), np.array(hashes, dtype="<i8").tobytes()) if not i else (b"", b"")
+            for column, value in zip(out, (1, None, spots[i : i + ROW_ENTRIES].tobytes(), *whole, i.to_bytes(8, "little") + sizes[i : i + ROW_ENTRIES].tobytes())):
+                column.append(value)
         kinds, places, *rest = out
         return pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array([batch_id] * len(kinds), pa.int64()), pa.array(places, pa.int32()), *map(_binary, rest)], ["kind", "batch", "range", "lengths", "bytes", "ids", "numbers"])
 
@@ -410,13 +418,16 @@ def merged(begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 def _placing(table: pa.Table) -> pa.Table:
     """One batch: rows (id, h, spans) of texts that lose bytes."""
-    marks, spots, ids, hashes, sizes = [], None, None, None, None
+    marks, parts = [], []
     for row in table.to_pylist():
         if row["kind"] == 1:
-            spots, ids, hashes, sizes = (np.frombuffer(row[c], t).astype(np.int64) for c, t in (("lengths", "<u4"), ("bytes", "<i8"), ("ids", "<i8"), ("numbers", "<i8")))
+            parts.append((int.from_bytes(row["numbers"][:8], "little"), row))
         else:
             marks.append(np.frombuffer(row["lengths"], "<u4").astype(np.int64).reshape(-1, 3))
-    spots, sizes = spots.reshape(-1, 3), sizes.reshape(-1, 2)
+    parts = [row for _, row in sorted(parts, key=lambda x: x[0])]
+    spots = np.frombuffer(b"".join(r["lengths"] for r in parts), "<u4").astype(np.int64).reshape(-1, 3)
+    ids, hashes = (np.frombuffer(parts[0][c], "<i8") for c in ("bytes", "ids"))
+    sizes = np.frombuffer(b"".join(r["numbers"][8:] for r in parts), "<i8").reshape(-1, 2)
     marks = np.concatenate(marks) if marks else np.zeros((0, 3), dtype=np.int64)
     marks = marks[np.argsort(marks[:, 0], kind="stable")]
     owner, place, number = spots.T
@@ -450,9 +461,9 @@ def repeated_spans(documents: DataFrame, id_col: str = "doc_id", text_col: str =
     bits = max(2, math.ceil(math.log2(max(1, 0.055 * total / RANGE_KEYS))))
 
     asked = scratch.keep(base.mapInArrow(arrow_text.tidied(_asking(bits)), "kind int, batch long, range int, keys binary, rows binary"), "asked")
-    told = asked.where("kind = 0").groupBy("range").applyInArrow(_telling, "kind int, batch long, keys binary, rows binary")
+    told = asked.where("kind = 0").groupBy("range").applyInArrow(arrow_text.tidied_group(_telling), "kind int, batch long, keys binary, rows binary")
     back = told.unionByName(asked.where("kind > 0").drop("range"))
-    shared = back.groupBy("batch").applyInArrow(_by_text, "id long, h long, keys binary")
+    shared = back.groupBy("batch").applyInArrow(arrow_text.tidied_group(_by_text), "id long, h long, keys binary")
     firsts = digests.groupBy("md5").agg(F.min("id").alias("first"))
     judged = digests.join(firsts, "md5")
     single = judged.where("id = first").select("id", "h").distinct()
@@ -462,9 +473,9 @@ def repeated_spans(documents: DataFrame, id_col: str = "doc_id", text_col: str =
     ranges = max(4, math.ceil(0.8 * total / RANGE_BYTES))
     blocks = scratch.keep(base.join(wanted, ["id", "h"]).select("id", "h", "text", "keys").mapInArrow(arrow_text.tidied(_blocks(bits, ranges)), "kind int, batch long, range int, lengths binary, bytes binary, ids binary, numbers binary"), "blocks")
     scratch.drop("wanted")
-    marks = blocks.where("kind = 0").groupBy("range").applyInArrow(_marking, "kind int, batch long, lengths binary")
+    marks = blocks.where("kind = 0").groupBy("range").applyInArrow(arrow_text.tidied_group(_marking), "kind int, batch long, lengths binary")
     places = marks.unionByName(blocks.where("kind = 1").drop("range"), allowMissingColumns=True)
-    spans = places.groupBy("batch").applyInArrow(_placing, "id long, h long, spans binary")
+    spans = places.groupBy("batch").applyInArrow(arrow_text.tidied_group(_placing), "id long, h long, spans binary")
     whole = judged.where("id > first").select("id", "h", F.lit(b"").alias("spans"))
     found = scratch.keep(spans.unionByName(whole).groupBy("id", "h").agg(F.first("spans").alias("spans")), "spans")
     scratch.drop("blocks")
