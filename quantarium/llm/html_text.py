@@ -37,8 +37,8 @@ STOP_WORDS = {
 _SETS = {k: frozenset(v.split()) for k, v in STOP_WORDS.items()}
 _ANY = frozenset().union(*_SETS.values())
 
-#: A block below this many characters is short; one above LONG with enough stop words is text.
-SHORT, LONG = 70, 200
+#: A block below this many characters is short; a longer one with enough stop words is text.
+SHORT = 70
 LOW_DENSITY, HIGH_DENSITY = 0.20, 0.30
 LINK_DENSITY = 0.35
 
@@ -188,7 +188,7 @@ def classify(blocks: list[Block]) -> None:
                 b.label = GOOD
         elif linked > LINK_DENSITY or (len(b.text) < SHORT and b.links) or "©" in b.text:
             b.label = BAD
-        elif len(b.text) >= LONG and density >= HIGH_DENSITY:
+        elif len(b.text) >= SHORT and density >= HIGH_DENSITY:
             b.label = GOOD
         elif len(b.text) >= SHORT and density < LOW_DENSITY:
             b.label = BAD
