@@ -509,7 +509,8 @@ def drop_repeats(documents: DataFrame, carry: list[str] | None = None, id_col: s
             yield pa.StructArray.from_arrays([out, pa.array(np.diff(offsets)), pa.array(gone, pa.int64()), pa.array(spans, pa.list_(pa.int64()))], ["kept", "n_bytes", "n_removed", "spans"])
         arrow_text.tidy()
 
-    return rows.select("row", cut("text", "spans").alias("found")).select("row", "found.*")
+    once = cut.asNondeterministic()  # else a filter above would have every text cut twice
+    return rows.select("row", once("text", "spans").alias("found")).select("row", "found.*")
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
