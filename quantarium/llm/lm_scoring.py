@@ -4,9 +4,9 @@ Tokens are lower-cased words and one end a text. Pass 1 counts words and pairs o
 text's start counts as an end) of the training texts: each task sends its distinct 64-bit keys with
 counts, packed by key range, and each range is summed once. Counts are quantised to levels
 1 + floor(log_BASE c); the filter holds (key, 1) to (key, level), each under HASHES bits of its key
-range's segment, and goes to the workers whole. Its size is fixed by MAX_FILTER_BYTES: each order
-keeps the keys of the lowest count threshold whose levels fit its share at BITS_EACH bits. Pairs met
-once are not held (the usual cutoff of higher orders). A count is read back by probing level after
+range's segment, and goes to the workers whole. It grows with the distinct keys, BITS_EACH bits a
+level, and holds the same counts at every corpus size: all words, and all pairs but those met once
+(the usual cutoff of higher orders). A count is read back by probing level after
 level until one is missing and taking the middle of the level's counts.
 
 A token's probability mixes that of its pair with the word's own: m c(v, w) / c(v) + (1 - m) p(w),
@@ -40,8 +40,6 @@ from quantarium.session import Scratch, ship_package
 BASE = 1.5
 HASHES = 5
 BITS_EACH = 8
-MAX_FILTER_BYTES = 48 << 20
-WORD_SHARE = 0.4
 LEAST_PAIR = 2
 TUNING_TEXTS = 4_000
 GROUPS = 12
@@ -200,7 +198,7 @@ class Filter:
         return LEVEL_COUNT[found]
 
 
-def sized(levels: np.ndarray, range_bits: int, max_bytes: float) -> Filter:
+def sized(levels: np.ndarray, range_bits: int, max_bytes: float = math.inf) -> Filter:
     """The lowest level from which the keys' levels fit max_bytes; levels[q] keys have level q."""
     at = np.arange(len(levels))
     for least in range(1, len(levels)):
@@ -290,7 +288,7 @@ def train(documents: DataFrame, training: Column, scratch: Scratch, id_col: str
         levels[r["kind"]][r["q"]] = r["n"]
         if r["kind"] == 1:
             total, distinct = r["total"], r["distinct"]
-    filters = {1: sized(levels[1], bits, MAX_FILTER_BYTES * WORD_SHARE), 2: sized(levels[2], bits, MAX_FILTER_BYTES * (1 - WORD_SHARE))}
+    filters = {kind: sized(n, bits) for kind, n in levels.items()}
 
     def build(batches):
         for batch in batches:
@@ -298,12 +296,13 @@ def train(documents: DataFrame, training: Column, scratch: Scratch, id_col: str
                 bits_ = filters[kind].segment(np.frombuffer(keys, "<u8"), np.frombuffer(own, "<i8")) if filters[kind].size else b""
                 yield pa.RecordBatch.from_arrays([pa.array([kind], pa.int32()), pa.array([place], pa.int32()), pa.array([bits_], pa.binary())], ["kind", "range", "bits"])
 
-    segments = counts.select("kind", "range", "keys", "counts").mapInArrow(arrow_text.tidied(build), "kind int, range int, bits binary").collect()  # at most MAX_FILTER_BYTES
-    for kind, f in filters.items():
+    segments = counts.select("kind", "range", "keys", "counts").mapInArrow(arrow_text.tidied(build), "kind int, range int, bits binary").collect()  # BITS_EACH bits a level of each key
+    for f in filters.values():
         f.bits = np.zeros((f.size << bits) // 8, dtype=np.uint8)
-        for r in segments:
-            if r["kind"] == kind and f.size:
-                f.bits[r["range"] * f.size // 8 :][: f.size // 8] = np.frombuffer(bytes(r["bits"]), np.uint8)
+    while segments:  # each is let go once it is copied
+        r = segments.pop()
+        f = filters[r["kind"]]
+        f.bits[r["range"] * f.size // 8 :][: f.size // 8] = np.frombuffer(r["bits"], np.uint8)
     least = max(1, total // FREQUENT)
 
     def often(batches):

@@ -291,6 +291,19 @@ def test_lm_base(docs, pairs, spark, empty):
     assert run(empty)[1].count() == 0
 
 
+def test_lm_filter_grows_with_the_keys(spark, docs, monkeypatch):
+    from quantarium.session import Scratch
+
+    monkeypatch.setattr(lm_scoring, "MAX_FILTER_BYTES", 256, raising=False)
+    few, _ = lm_scoring.train(docs.limit(12), F.lit(True), Scratch(spark, "lm-few"))
+    model, counts = lm_scoring.train(docs, F.lit(True), Scratch(spark, "lm-all"))
+    assert few.pairs.least_level == model.pairs.least_level == few.words.least_level == model.words.least_level == 1
+    assert len(model.pairs.bits) > len(few.pairs.bits)
+    for r in counts.collect():  # every counted key is read back
+        f = model.words if r["kind"] == 1 else model.pairs
+        assert (f.counts(np.frombuffer(r["keys"], "<u8")) >= lm_scoring.LEVEL_COUNT[lm_scoring.level_of(np.frombuffer(r["counts"], "<i8"))] - 1e-9).all()
+
+
 def test_lm_filter():
     rng = np.random.default_rng(2)
     keys = rng.integers(0, 2**63, 5000, dtype=np.uint64) * np.uint64(2)
