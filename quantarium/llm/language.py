@@ -6,8 +6,9 @@ boundaries) down to one; each tile adds its log frequency in each language. The
 highest sum, the prior included, is predicted; the score is its share after a softmax of the sums
 divided by max(1, words / EVIDENCE), so long texts don't all score 1.
 
-Training fits on a bounded sample: labelled rows with the smallest hashes of their ids, at most
-about SAMPLE_ROWS (a documented bound, the same at every corpus size), and of each the whole text.
+Training fits on a bounded sample: of each label, the labelled rows with the smallest hashes of their
+ids, about its share of SAMPLE_ROWS but LABEL_ROWS at least, or all if it has fewer (documented
+bounds, the same at every corpus size), and of each the whole text. The prior is of all labelled rows.
 Words and n-grams met once are not known. Only text and the label are learnt from.
 
 Defined results: null texts and texts without letters are `und` with score 0, as is everything if
@@ -31,7 +32,10 @@ from pyspark.sql.functions import arrow_udf
 from quantarium.llm import arrow_text
 from quantarium.session import ship_package
 
-SAMPLE_ROWS = 3_000
+SAMPLE_ROWS = 6_000
+LABEL_ROWS = 1_000
+#: Values of the ids' hash that the sample tells apart.
+PLACES = 1 << 40
 LONGEST = 5
 EVIDENCE = 8
 UNKNOWN = "und"
@@ -128,28 +132,30 @@ def in_holdout(id_column: Column, parts: int, part: int) -> Column:
     return F.coalesce(F.crc32(id_column.cast("string").cast("binary")) % parts == part, F.lit(False))
 
 
-def train(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = SAMPLE_ROWS) -> LanguageModel:
+def train(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = SAMPLE_ROWS, label_rows: int = LABEL_ROWS) -> LanguageModel:
     """Fit on labelled rows outside the holdout (crc32 of the id's text, mod 4, is 2)."""
     ship_package(documents.sparkSession)
     rows = documents.select(documents[id_col].alias("id"), documents[text_col].alias("text"), documents[lang_col].cast("string").alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~in_holdout(F.col("id"), 4, 2))
-    total = rows.select("lang").count()
-    share = min(1.0, sample_rows / max(total, 1))
-    sample = rows.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(share * (1 << 20))) if share < 1 else rows
+    documents_ = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row a language
+    total = sum(documents_.values())
+    sample = rows
+    if total > sample_rows:
+        bounds = [(x, int(min(1.0, max(label_rows / n, sample_rows / total)) * PLACES)) for x, n in documents_.items()]
+        bounds = documents.sparkSession.createDataFrame(bounds, "lang string, bound long")
+        sample = rows.join(F.broadcast(bounds), "lang").where(F.pmod(F.xxhash64("id"), F.lit(PLACES)) < F.col("bound"))
 
     def count(batches):
         words: dict[str, Counter] = {}
-        documents: Counter = Counter()
         for batch in batches:
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 words.setdefault(lang, Counter()).update(words_of(text))
-                documents[lang] += 1
         for lang, counter in words.items():
             grams: Counter = Counter()
             for w, n in counter.items():
                 for g in ngrams(w):
                     grams[g] += n
-            for kind, found in (("d", {"": documents[lang]}), ("w", counter), ("g", grams)):
+            for kind, found in (("w", counter), ("g", grams)):
                 out = list(found.items())
                 for at in range(0, len(out), 100_000):
                     tokens, n = zip(*out[at : at + 100_000])
@@ -158,9 +164,8 @@ def train(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     counted = sample.select("text", "lang").mapInArrow(arrow_text.tidied(count), "lang string, kind string, token string, n long")
     counted = counted.groupBy("kind", "token", "lang").agg(F.sum("n").alias("n"))
     kept = counted.groupBy("kind", "token").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("n"), F.sum("n").alias("total"))
-    kept = kept.where("kind = 'd' OR total > 1").orderBy("kind", "token").select("kind", "token", "n").collect()  # the sample's words and n-grams, bounded as it is
-    rows_: dict[str, list] = {k: [r for r in kept if r["kind"] == k] for k in "dwg"}
-    documents_ = rows_["d"][0]["n"] if rows_["d"] else {}
+    kept = kept.where("total > 1").orderBy("kind", "token").select("kind", "token", "n").collect()  # the sample's words and n-grams, bounded as it is
+    rows_: dict[str, list] = {k: [r for r in kept if r["kind"] == k] for k in "wg"}
     languages = sorted(documents_)
 
     def table(kind: str) -> np.ndarray:

@@ -173,6 +173,16 @@ def test_language(spark, docs, empty):
     assert language.identify(empty, model).count() == 0
 
 
+def test_language_samples_every_label(spark):
+    rows = [(i, f"the cat and the dog {i % 7}", "en") for i in range(4000)] + [(9000 + i, "zwei kleine katzen und hunde", "rare") for i in range(4)]
+    model = language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample_rows=40)
+    assert model.languages == ["en", "rare"]
+    kept = [sum(zlib.crc32(str(d).encode()) % 4 != 2 for d, _, x in rows if x == lang) for lang in model.languages]
+    assert np.allclose(model.prior, np.log(np.array(kept) / sum(kept)))  # of all rows, not of the sample
+    assert language.Predictor(model).predict("kleine hunde")[0] == "rare"
+    assert language.SAMPLE_ROWS >= 6000
+
+
 def test_language_ignores_holdout_labels(spark):
     rows = [(i, prose(i, 20), "en") for i in range(200)]
     wrong = [(d, t, "zz" if zlib.crc32(str(d).encode()) % 4 == 2 else lang) for d, t, lang in rows]
