@@ -3,12 +3,12 @@
 A page becomes blocks: text between tags that start or end a block (or two line breaks), character
 references decoded, white space folded. The first pass decides blocks by their place (elements and
 class or id words that name menus, adverts, notices, forms, comments and the like; article and main
-elements), link density, length and stop-word density. Blocks of a page without article or main
-that are short or of middling density stay open; so do blocks of an article that have few stop
-words. The second pass gives open blocks the label of their nearest decided neighbours: where the
+elements), link density, length and stop-word density; length and links alone where no list of stop
+words fits the page's long blocks. Blocks outside article and main that are short or of middling
+density stay open; so do blocks of an article that have few stop words. The second pass gives open blocks the label of their nearest decided neighbours: where the
 two sides differ the nearer one counts, and the earlier of equals; an open heading goes with the next
 decided block, as it heads it; open blocks of an article look
-at that article's blocks only, and are text if none is decided.
+at that article's blocks only, and are text if none is decided; others are if there is no article.
 
 Defined results: a null or empty page has an empty text; unclosed comments, scripts and tags end
 with the page; text without any tag is one block; repeated rows get equal rows; an unknown tag is
@@ -41,6 +41,8 @@ _ANY = frozenset().union(*_SETS.values())
 SHORT = 70
 LOW_DENSITY, HIGH_DENSITY = 0.20, 0.30
 LINK_DENSITY = 0.35
+#: A list of stop words fits if so many of the words are in it.
+FIT_DENSITY = 0.10
 
 BLOCK_TAGS = frozenset(
     "address article aside blockquote body caption center col colgroup dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li link main menu meta nav ol optgroup option p pre search section summary table tbody td tfoot th thead title tr ul".split()
@@ -175,20 +177,19 @@ def classify(blocks: list[Block]) -> None:
     words = [[w.lower() for w in _LETTERS.findall(b.text)] for b in blocks]
     hits = {k: sum(w in s for ws in words for w in ws) for k, s in _SETS.items()}
     stops = _SETS[max(hits, key=hits.get)] if any(hits.values()) else _ANY
-    for b, ws in zip(blocks, words):
-        size = len("".join(b.text.split()))
-        linked = b.links / max(1, size)
+    linked_ = [b.links / max(1, len("".join(b.text.split()))) for b in blocks]
+    long = [w for b, ws, x in zip(blocks, words, linked_) if b.place != BAD and len(b.text) >= SHORT and x <= LINK_DENSITY for w in ws]
+    fits = sum(w in stops for w in long) >= FIT_DENSITY * len(long)
+    for b, ws, linked in zip(blocks, words, linked_):
         density = sum(w in stops for w in ws) / max(1, len(ws))
-        if b.place == BAD or (article and b.place != GOOD):
+        if b.place == BAD:
             b.label = BAD
         elif b.place == GOOD:
-            if b.item and linked > 0.9:
-                b.label = BAD
-            elif density >= LOW_DENSITY or b.heading:
+            if density >= LOW_DENSITY or b.heading or (b.item and linked > 0.9):
                 b.label = GOOD
         elif linked > LINK_DENSITY or (len(b.text) < SHORT and b.links) or "©" in b.text:
             b.label = BAD
-        elif len(b.text) >= SHORT and density >= HIGH_DENSITY:
+        elif len(b.text) >= SHORT and (density >= HIGH_DENSITY or not fits):
             b.label = GOOD
         elif len(b.text) >= SHORT and density < LOW_DENSITY:
             b.label = BAD
@@ -220,7 +221,7 @@ def classify(blocks: list[Block]) -> None:
             elif sides:
                 b.label = min(sides)[2] if not (whole and len(b.text) >= SHORT) else GOOD
             else:
-                b.label = GOOD
+                b.label = BAD if article else GOOD
 
 
 def main_text(html: str | None) -> tuple[str, int, int]:

@@ -277,6 +277,18 @@ def test_html():
     assert html_text.main_text(plain)[0] == f"Story\n\n{story}\n\nShort one."
 
 
+def test_html_place_is_not_the_verdict():
+    story = "The story of the man and the sea is a story that has been told for many years and it will be told again by those who were there."
+    cards = "".join(f"<article><h3>Card {i}</h3><p>Read the rest of it</p></article>" for i in range(3))
+    assert story in html_text.main_text(f"<body><div><p>{story}</p></div>{cards}<nav>Home of the site</nav></body>")[0].split("\n\n")
+    assert html_text.main_text(f'<body><article><p>{story}</p><ul><li><a href="/a">A source</a></li></ul></article></body>')[0] == f"{story}\n\nA source"
+    russian = "Это длинный рассказ о человеке и море, который много лет рассказывали старики в деревне на берегу реки."
+    chinese = "很久以前有一位老人住在海边的小村子里他每天都出海打鱼" * 4
+    for text in (russian, chinese):
+        page = f'<body><nav><a href="/">The home of the site</a></nav><div>{text}</div><div><a href="/b">{text}</a></div></body>'
+        assert html_text.main_text(page)[0] == text
+
+
 def test_html_table(spark):
     df = spark.createDataFrame([(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (2, None, None, "y")], "page_id long, url string, html string, text string")
     out = html_text.extract(df)
