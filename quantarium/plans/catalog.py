@@ -418,13 +418,13 @@ def greedy_dedupe(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def rf_cross_validation(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "embeddings").select("vec_id", F.col("embedding").alias("features"), (F.col("label") < 3).cast("int").alias("bin"))
-    return ml.summary(ml.cross_validated(rows, "vec_id", trees=20, depth=8))
+    return ml.summary(ml.cross_validated(rows, "vec_id"))
 
 
 @query()
 def rf_score(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "embeddings").select("vec_id", F.col("embedding").alias("features"), (F.col("label") < 3).cast("int").alias("bin"))
-    return ml.predict(ml.fit(rows, trees=20, depth=8), rows).select("vec_id", "bin", "prob")
+    return ml.predict(ml.fit(rows), rows).select("vec_id", "bin", "prob")
 
 
 @query("SELECT user_id, " + ", ".join(f"count(*) FILTER (event_type = '{t}') AS n_{t}, 100 * count(*) FILTER (event_type = '{t}') / greatest(count(*) FILTER (event_type IN ('click', 'view', 'error')), 1) AS pct_{t}" for t in ("click", "view", "error")) + " FROM events GROUP BY user_id")

@@ -177,3 +177,14 @@ def test_retried():
         return batch
 
     assert incremental.retried(step, [1, 2, 3, 4], size=4, tries=2) == [1, 2, None, 4] and calls[:2] == [4, 4]
+
+
+def test_registered_forests_are_whole(spark, folder, monkeypatch):
+    from quantarium.operators import ml
+    from quantarium.plans import catalog
+
+    seen, forest = [], ml._forest
+    monkeypatch.setattr(ml, "_forest", lambda trees, depth, seed: seen.append((trees, depth)) or forest(1, 1, seed))
+    catalog.rf_cross_validation(spark, folder)
+    catalog.rf_score(spark, folder)
+    assert seen == [(ml.TREES, ml.DEPTH)] * (ml.FOLDS + 1)
