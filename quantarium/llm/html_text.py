@@ -1,18 +1,28 @@
 """HTML extraction by two passes of block rules.
 
 A page becomes blocks: text between tags that start or end a block (or two line breaks), character
-references decoded, white space folded. The first pass decides blocks by their place (elements and
-class or id words that name menus, adverts, notices, forms, comments and the like; article and main
-elements), link density, length and stop-word density; length and links alone where no list of stop
-words fits the page's long blocks. Blocks outside article and main that are short or of middling
-density stay open; so do blocks of an article that have few stop words. The second pass gives open blocks the label of their nearest decided neighbours: where the
-two sides differ the nearer one counts, and the earlier of equals; an open heading goes with the next
-decided block, as it heads it; open blocks of an article look
-at that article's blocks only, and are text if none is decided; others are if there is no article.
+references decoded, white space folded. Some elements mark a block's place: article and main
+elements, and boilerplate, by its tag (menus, asides, footers, headers outside articles, forms), by
+being hidden, or by a class, id or role whose last word (but for words like `wrapper` or `list`)
+names menus, adverts, notices, comments and the like: `site-header` is a header, `with-sidebar`,
+`page--has-header` and `comments-open` name none. Whatever stands in boilerplate is boilerplate,
+articles too; but a form, a header or an element with such a name is none if it holds the page's
+main element, or its first-level heading and half of its prose (a form outside articles: or one of them).
+Prose is text in blocks of SHORT characters or more that are not mostly links.
+
+The first pass decides blocks by place, link density, length and stop-word density (the highest of
+the lists'; length and links alone where no list fits the page's prose, or the block's script).
+Where articles hold less prose than the rest of the page, density decides the rest, and articles
+without prose are cards of other pages; else the rest is boilerplate. Blocks that are short or of
+middling density stay open; so do blocks of an article that have few stop words. The second pass
+gives open blocks the label of their nearest decided neighbours: where the two sides differ the
+nearer one counts, and the earlier of equals; an open heading goes with the next decided block, as it
+heads it; open blocks of an article look at that article's blocks only, and are text if none is
+decided; others are if there is no article.
 
 Defined results: a null or empty page has an empty text; unclosed comments, scripts and tags end
 with the page; text without any tag is one block; repeated rows get equal rows; an unknown tag is
-inline.
+inline. Time is linear in the page however deep its elements nest.
 """
 
 from __future__ import annotations
@@ -35,7 +45,6 @@ STOP_WORDS = {
     "es": "a al algo ante antes como con contra cual cuando de del desde donde durante e el ella ellas ellos en entre era es esa ese eso esta este esto fue ha hay la las le les lo los más me mi mucho muy nada ni no nos o os otra otro para pero poco por porque que quien se ser si sin sobre son su sus también te tiene todo tu un una y ya yo",
 }
 _SETS = {k: frozenset(v.split()) for k, v in STOP_WORDS.items()}
-_ANY = frozenset().union(*_SETS.values())
 
 #: A block below this many characters is short; a longer one with enough stop words is text.
 SHORT = 70
@@ -50,61 +59,106 @@ BLOCK_TAGS = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Their whole content is no text.
 SKIPPED = "script style noscript template iframe svg canvas object video audio title select textarea button datalist"
-BOILERPLATE_TAGS = frozenset("nav aside footer form dialog menu search".split())
-#: Words of class, id and role that name boilerplate.
+#: Elements that are boilerplate whatever they hold, but for the page's main element.
+FIRM_TAGS = frozenset("nav aside footer dialog menu search".split())
+#: Words that name boilerplate, as the last word of a class, id or role.
 BOILERPLATE_WORDS = frozenset(
-    "ad ads adsense advert adverts advertisement advertising advertorial banner breadcrumb breadcrumbs byline captcha comment comments commentlist consent cookie cookies copyright dialog disclaimer disqus dropdown feedback flash footer gdpr header infobar legal login masthead menu menubar modal nav navbar navigation newsletter notice notices notification outbrain overlay paywall popup promo promotion promoted recommended related remark reply replies respond search share sharing sidebar sidenav signin signup skip social sponsor sponsored subscribe subscription taboola tagcloud teaser toc toolbar tooltip tracking warning widget widgets complementary contentinfo navigation alert alertdialog banner".split()
+    "ad ads adsense advert adverts advertisement advertisements advertising advertorial alert alertdialog alerts banner banners breadcrumb breadcrumbs captcha comment comments commentlist complementary consent contentinfo cookie cookies copyright dialog disclaimer disqus dropdown feedback flash footer footers gdpr infobar login menu menubar menus modal nav navbar navigation newsletter notice notices notification notifications outbrain overlay paywall popup promo promos promotion promoted recommended related remark remarks replies reply respond search share sharing sidebar sidebars sidenav signin signup skip social sponsor sponsored subscribe subscription taboola tagcloud toc toolbar tooltip tracker warning widget widgets".split()
+)
+#: These name boilerplate outside articles only.
+OUTER_WORDS = frozenset("byline header headers masthead teaser teasers".split())
+#: Words for shapes and places, which say nothing behind a name: `comment-list`, `sidebar-left`.
+SHAPE_WORDS = frozenset(
+    "area article articles bar block blocks body bottom box boxes btn button buttons card cards center col column component container content contents desktop element feed field fields form group heading holder icon icons info inner input item items label large left link links list lists main message messages meta mobile module outer pane panel post posts primary region right row secondary section sections sm lg md xl slot small sticky stories story strip text thread title top tree unit view wrap wrapper zone".split()
 )
+#: First words of names that tell what a page has or lacks.
+STATE_WORDS = frozenset("with without has have had no not hide show js layout using supports".split())
 _TAG = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({'|'.join(SKIPPED.split())})\b(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*[^>]*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<[/!?a-zA-Z][^>]*(?:>|\Z)",
     re.S | re.I,
 )
-_NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_NAMES = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
+_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)", re.I)
+_UNSEEN = re.compile(r"aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
-_SPLIT = re.compile(r"[^a-zA-Z]+")
+_SPLIT = re.compile(r"[a-z]+")
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 GOOD, BAD, OPEN = 1, -1, 0
+#: What an element says of its place.
+PLAIN, HOME, HEADER, FORM, NAMED, FIRM, HIDDEN = range(7)
 
 
 class Block:
-    __slots__ = ("text", "links", "place", "region", "heading", "item", "label")
+    __slots__ = ("text", "links", "node", "heading", "place", "region", "label")
+
+    def __init__(self, text: str, links: int, node: int, heading: bool):
+        self.text, self.links, self.node, self.heading = text, links, node, heading
+        self.place, self.region, self.label = OPEN, 0, OPEN
+
+    def prose(self) -> int:
+        return len(self.text) if len(self.text) >= SHORT and self.linked() <= LINK_DENSITY else 0
+
+    def linked(self) -> float:
+        return self.links / max(1, len("".join(self.text.split()))) if self.links else 0.0
+
+
+class Node:
+    """An element that marks a place, with what it holds."""
+
+    __slots__ = ("parent", "kind", "prose", "titled", "main", "place", "region")
 
-    def __init__(self, text: str, links: int, place: int, region: int, heading: bool, item: bool):
-        self.text, self.links, self.place, self.region, self.heading, self.item = text, links, place, region, heading, item
-        self.label = OPEN
+    def __init__(self, parent: int, kind: int, main: bool):
+        self.parent, self.kind, self.main = parent, kind, main
+        self.prose, self.titled, self.place, self.region = 0, False, OPEN, 0
 
 
-def _place(tag: str, attributes: str, inside: int) -> int:
-    """1 in an article or main element, -1 in boilerplate, else as around it."""
-    if attributes and tag not in ("html", "body"):
-        if _HIDDEN.search(attributes):
-            return BAD
-        for names in _NAMES.findall(attributes):
-            if not BOILERPLATE_WORDS.isdisjoint(_SPLIT.split(_CAMEL.sub(" ", names.strip("\"'")).lower())):
-                return BAD
-    if tag in BOILERPLATE_TAGS or tag == "header" and inside != GOOD:
-        return BAD
-    return GOOD if tag in ("article", "main") else inside
+def name_kind(name: str) -> int:
+    """NAMED or HEADER if the class, id or role names boilerplate, else PLAIN."""
+    words = _SPLIT.findall(_CAMEL.sub(" ", name.split("--")[0]).lower())
+    while words and words[-1] in SHAPE_WORDS:
+        words.pop()
+    if not words or (len(words) > 1 and words[0] in STATE_WORDS):
+        return PLAIN
+    return NAMED if words[-1] in BOILERPLATE_WORDS else HEADER if words[-1] in OUTER_WORDS else PLAIN
 
 
-def blocks_of(html: str) -> list[Block]:
+def element_kind(tag: str, attributes: str) -> int:
+    kind = FIRM if tag in FIRM_TAGS else FORM if tag == "form" else HEADER if tag == "header" else HOME if tag in ("article", "main") else PLAIN
+    if not attributes or tag in ("html", "body"):
+        return kind
+    if _UNSEEN.search(attributes) or _HIDDEN.search(_QUOTED.sub("", attributes)):
+        return HIDDEN
+    if kind == FIRM:
+        return kind
+    for attribute, *values in _NAMES.findall(attributes):
+        for name in "".join(values).split():
+            if attribute.lower() == "role" and name in ("main", "article"):
+                kind = max(kind, HOME)
+            elif tag != "main":
+                kind = max(kind, name_kind(name))
+    return kind
+
+
+def blocks_of(html: str) -> tuple[list[Block], list[Node]]:
     out: list[Block] = []
+    nodes = [Node(0, PLAIN, False)]
     parts: list[str] = []
-    links, anchors, breaks, region, regions = 0, 0, 0, 0, 0
-    stack: list[tuple[str, int, int]] = []  # open elements: tag, place and region around them
-    place, own, heading, item, in_item = OPEN, OPEN, False, False, 0
+    links, linked, breaks = 0, False, 0
+    stack: list[tuple[str, int]] = []  # open elements that matter, and the node around them
+    depths: dict[str, list[int]] = {}  # where each tag stands in the stack
+    node, own, heading = 0, 0, False
 
     def close() -> None:
         nonlocal links, own, breaks
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                out.append(Block(text, links, own or place, region, heading, in_item > 0))
+                out.append(Block(text, links, own or node, heading))
             parts.clear()
-        links, breaks, own = 0, 0, OPEN
+        links, breaks, own = 0, 0, 0
 
     at = 0
     for m in _TAG.finditer(html):
@@ -113,7 +167,7 @@ def blocks_of(html: str) -> list[Block]:
             if "&" in text:
                 text = unescape(text)
             parts.append(text)
-            if anchors:
+            if linked:
                 links += len("".join(text.split()))
             if breaks and not text.isspace():
                 breaks = 0
@@ -124,18 +178,16 @@ def blocks_of(html: str) -> list[Block]:
         tag = tag.lower()
         if m[2]:
             if tag == "a":
-                anchors = max(0, anchors - 1)
+                linked = False
             if tag in BLOCK_TAGS:
                 close()
                 heading = False
-            if tag == "li":
-                in_item = max(0, in_item - 1)
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    close()
-                    _, place, region = stack[i]
-                    del stack[i:]
-                    break
+            if depths.get(tag):
+                close()
+                place = depths[tag][-1]
+                node = stack[place][1]
+                while len(stack) > place:
+                    depths[stack.pop()[0]].pop()
             continue
         if tag == "br":
             parts.append(" ")
@@ -144,90 +196,132 @@ def blocks_of(html: str) -> list[Block]:
                 close()
             continue
         if tag == "a":
-            anchors += 1
+            linked = True
         if tag in BLOCK_TAGS:
             close()
             heading = len(tag) == 2 and tag[0] == "h" and tag[1].isdigit()
-            anchors = anchors if tag != "li" else 0
+            if tag == "li":
+                linked = False
         if tag in VOID:
             continue
-        if tag == "li":
-            in_item += 1
-        inside = _place(tag, m[4], place)
+        kind = element_kind(tag, m[4])
+        if kind != PLAIN:
+            nodes.append(Node(node, kind, tag == "main"))
+        if tag == "h1":
+            nodes[node].titled = True
         if tag == "p":  # closed by the next block, whether or not it says so
-            own = inside if inside != place else OPEN
-        elif inside != place or tag in ("article", "main") or (stack and any(s[0] == tag for s in stack)):
+            own = len(nodes) - 1 if kind != PLAIN else 0
+        elif kind != PLAIN or depths.get(tag):
             if tag not in BLOCK_TAGS:
                 close()
-            stack.append((tag, place, region))
-            if inside == GOOD and place != GOOD:
-                regions += 1
-                region = regions
-            place = inside
+            depths.setdefault(tag, []).append(len(stack))
+            stack.append((tag, node))
+            if kind != PLAIN:
+                node = len(nodes) - 1
     rest = html[at:]
     if rest:
         parts.append(unescape(rest))
     close()
-    return out
+    return out, nodes
+
+
+def place_blocks(blocks: list[Block], nodes: list[Node]) -> set[int]:
+    """Sets place and region of each node and block, and returns the regions of untitled articles without prose.
+
+    Children stand behind their parents in nodes.
+    """
+    cards: set[int] = set()
+    any_prose = any(b.prose() for b in blocks)
+    for b in blocks:  # a page of short blocks alone is weighed by them
+        nodes[b.node].prose += b.prose() if any_prose else len(b.text)
+    for n in reversed(nodes[1:]):
+        up = nodes[n.parent]
+        up.main |= n.main and n.kind != HIDDEN
+        if n.kind not in (FIRM, HIDDEN):
+            up.prose += n.prose
+            up.titled |= n.titled
+    half, regions = nodes[0].prose / 2, 0
+    for i, n in enumerate(nodes):
+        up = nodes[n.parent]
+        n.place, n.region = (up.place, up.region) if i else (OPEN, 0)
+        bulk = n.prose > 0 and n.prose >= half
+        if n.kind == HIDDEN or (n.kind == FIRM and not n.main):
+            n.place, n.region = BAD, 0
+        elif n.place == BAD and not (n.kind == HOME and n.main) or n.kind == HEADER and n.place == GOOD:
+            continue
+        elif n.kind in (HEADER, NAMED) and not n.main and not (n.titled and bulk) or n.kind == FORM and not (n.main or n.place == OPEN and (n.titled or bulk)):
+            n.place, n.region = BAD, 0
+        elif n.kind == HOME and n.place != GOOD:
+            regions += 1
+            n.place, n.region = GOOD, regions
+            if any_prose and not (n.prose or n.titled or n.main):
+                cards.add(regions)
+    for b in blocks:
+        b.place, b.region = nodes[b.node].place, nodes[b.node].region
+    return cards
+
+
+def _density(words: list[str]) -> float:
+    return max(sum(w in s for w in words) for s in _SETS.values()) / max(1, len(words))
 
 
-def classify(blocks: list[Block]) -> None:
-    """Both passes; sets each block's label to GOOD or BAD."""
-    article = any(b.place == GOOD for b in blocks)
+def classify(blocks: list[Block], cards: set[int]) -> None:
+    """Both passes over placed blocks; sets each block's label to GOOD or BAD."""
     words = [[w.lower() for w in _LETTERS.findall(b.text)] for b in blocks]
-    hits = {k: sum(w in s for ws in words for w in ws) for k, s in _SETS.items()}
-    stops = _SETS[max(hits, key=hits.get)] if any(hits.values()) else _ANY
-    linked_ = [b.links / max(1, len("".join(b.text.split()))) for b in blocks]
-    long = [w for b, ws, x in zip(blocks, words, linked_) if b.place != BAD and len(b.text) >= SHORT and x <= LINK_DENSITY for w in ws]
-    fits = sum(w in stops for w in long) >= FIT_DENSITY * len(long)
-    for b, ws, linked in zip(blocks, words, linked_):
-        density = sum(w in stops for w in ws) / max(1, len(ws))
-        if b.place == BAD:
+    density = [_density(ws) for ws in words]
+    held: dict[int, int] = {}
+    for b in blocks:
+        if b.place != BAD:
+            held[b.region] = held.get(b.region, 0) + b.prose()
+    inside = sum(n for region, n in held.items() if region)
+    article = any(held) and inside >= held.get(0, 0)
+    prose = [(len(ws), x * len(ws)) for b, ws, x in zip(blocks, words, density) if b.place != BAD and b.prose()]
+    fits = sum(x for _, x in prose) >= FIT_DENSITY * sum(n for n, _ in prose)
+    for b, ws, x in zip(blocks, words, density):
+        linked, long = b.linked(), len(b.text) >= SHORT
+        if b.place == BAD or (not article and b.region in cards) or (b.place == OPEN and article):
             b.label = BAD
         elif b.place == GOOD:
-            if density >= LOW_DENSITY or b.heading or (b.item and linked > 0.9):
+            if x >= LOW_DENSITY or b.heading or linked > 0.9:
                 b.label = GOOD
-        elif linked > LINK_DENSITY or (len(b.text) < SHORT and b.links) or "©" in b.text:
+        elif linked > LINK_DENSITY or (not long and b.links) or "©" in b.text:
             b.label = BAD
-        elif len(b.text) >= SHORT and (density >= HIGH_DENSITY or not fits):
+        elif long and (x >= HIGH_DENSITY or not fits or 2 * sum(w > "\u0250" for w in ws) > len(ws)):
             b.label = GOOD
-        elif len(b.text) >= SHORT and density < LOW_DENSITY:
+        elif long and x < LOW_DENSITY:
             b.label = BAD
     # second pass: labels of the nearest decided blocks on both sides
-    decided = [(i, b) for i, b in enumerate(blocks) if b.label != OPEN]
-    before: list = [None] * len(blocks)
-    after: list = [None] * len(blocks)
-    last: dict[int, tuple[int, int]] = {}
-    for i, b in enumerate(blocks):
-        key = b.region if b.place == GOOD else 0
-        before[i] = last.get(key)
-        if b.label != OPEN:
-            last[key] = (i, b.label)
-    last = {}
-    for i in range(len(blocks) - 1, -1, -1):
-        b = blocks[i]
-        key = b.region if b.place == GOOD else 0
-        after[i] = last.get(key)
-        if b.label != OPEN:
-            last[key] = (i, b.label)
-    whole = not any(b.label == GOOD for _, b in decided)
+    before, after = _nearest(blocks, range(len(blocks))), _nearest(blocks, range(len(blocks) - 1, -1, -1))
+    whole = not any(b.label == GOOD for b in blocks)
     for i, b in enumerate(blocks):
         if b.label == OPEN:
             sides = [(abs(i - j), j, label) for j, label in filter(None, (before[i], after[i]))]
-            if b.heading and b.place != GOOD and after[i]:  # a heading goes with what it heads
+            if b.place == GOOD:
+                b.label = min(sides)[2] if sides else GOOD
+            elif b.heading and after[i]:  # a heading goes with what it heads
                 b.label = after[i][1]
-            elif b.place == GOOD:
-                b.label = min(sides)[2] if sides and not all(s[2] == BAD for s in sides) else GOOD
             elif sides:
                 b.label = min(sides)[2] if not (whole and len(b.text) >= SHORT) else GOOD
             else:
-                b.label = BAD if article else GOOD
+                b.label = GOOD
+
+
+def _nearest(blocks: list[Block], order: range) -> list[tuple[int, int] | None]:
+    """For each block the decided block met last in that order, in the same region: (number, label)."""
+    out: list[tuple[int, int] | None] = [None] * len(blocks)
+    last: dict[int, tuple[int, int]] = {}
+    for i in order:
+        b = blocks[i]
+        out[i] = last.get(b.region)
+        if b.label != OPEN:
+            last[b.region] = (i, b.label)
+    return out
 
 
 def main_text(html: str | None) -> tuple[str, int, int]:
     """(text, blocks, kept blocks)."""
-    blocks = blocks_of(html or "")
-    classify(blocks)
+    blocks, nodes = blocks_of(html or "")
+    classify(blocks, place_blocks(blocks, nodes))
     kept = [b.text for b in blocks if b.label == GOOD]
     return "\n\n".join(kept), len(blocks), len(kept)
 
