@@ -3,68 +3,71 @@
 Tokens are lower-cased words and one end a text. Pass 1 counts words and pairs of neighbours (the
 text's start counts as an end) of the training texts: each task sends its distinct 64-bit keys with
 counts, packed by key range, and each range is summed once. Counts are quantised to levels
-1 + floor(log_BASE c); the filter holds (key, 1) to (key, level), each under HASHES bits of its key
-range's segment, and goes to the workers whole. It grows with the distinct keys, BITS_EACH bits a
-level, and holds the same counts at every corpus size: all words, and all pairs but those met once
-(the usual cutoff of higher orders). A count is read back by probing level after
-level until one is missing and taking the middle of the level's counts.
+1 + floor(log_BASE c); a range's segment of the filter holds (key, 1) to (key, level) under HASHES
+bits each, BITS_EACH bits a level. All words and pairs are held, those met once too, so the filter
+grows with the corpus: its segments stay with their key ranges, and what is broadcast is its head
+alone, the words and pairs with a share of at least 1 / FREQUENT of the tokens. These are fewer than
+FREQUENT each and fill at most HEAD_BITS bits a level, whatever the corpus.
+
+Pass 2 cuts the texts into batches. A batch's distinct words and pairs that the head does not hold go
+to the segments of their ranges, which read the counts back by probing level after level until one
+is missing; the levels return to the batch, where each token gets those of its pair, of the token
+before it, and of itself. So no task holds more than a batch or a range, and hot words cost nothing.
 
 A token's probability mixes that of its pair with the word's own: m c(v, w) / c(v) + (1 - m) p(w),
-p(w) = (c(w) + 1) / (N + V + 1). The shares m, one for each power of ten of c(v), maximise the
-likelihood of TUNING_TEXTS training texts (a bounded sample by hash of their ids), each pair's own
-occurrence left out of its counts.
+p(w) = (c(w) + 1) / (N + V + 1), each count the mean of its level in the corpus; over all words and
+one unknown word the probabilities behind v sum to 1 but for quantising and false hits. The shares
+m, one for each level of c(v), maximise the likelihood of all training texts, each pair's own
+occurrence left out of its counts; a histogram of the three levels says all that takes.
 
-Base scores use exact counts. Words with at least N / FREQUENT of the training tokens, at most
-FREQUENT of them, are broadcast; the others' occurrences are sent to their count by key range and
-come back as sums of each text, so no vocabulary is ever gathered in one place.
+Base scores use exact counts, which the word ranges return beside the levels.
 
 Word keys are 64-bit hashes of their bytes. Defined results: null and empty texts are one end;
-without training texts all counts are 0; repeated rows count each time and get a row each.
+without training texts all counts are 0; repeated rows count each time and get a row each; ids may
+be null or of any type; kept columns may have any names.
 """
 
 from __future__ import annotations
 
+import json
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from quantarium.llm import arrow_text
 from quantarium.llm.arrow_text import LOWER, WHITE, U, mix
 from quantarium.session import Scratch, ship_package
 
 BASE = 1.5
-HASHES = 5
-BITS_EACH = 8
-LEAST_PAIR = 2
-TUNING_TEXTS = 4_000
-GROUPS = 12
+#: Bits a level, and bits set by each, in the segments and in the head: false hits of 0.3 % and of 5e-9.
+BITS_EACH, HASHES = 12, 8
+HEAD_BITS, HEAD_HASHES = 40, 28
 FREQUENT = 1 << 16
-#: Bytes of text whose counts a task packs at once, and tokens that one key range should have.
+#: Bytes of text whose keys a task packs at once when it counts and when it asks, and tokens that one key range should have.
 FLUSH_BYTES = 24 << 20
+ASK_BYTES = 12 << 20
 RANGE_TOKENS = 3_000_000
 END = U(0xE0D0C0B0A0908071)
-LEVELS = 128
+LEVELS = 64
+WORD, PAIR = 1, 2
 
 
 def level_of(counts: np.ndarray) -> np.ndarray:
-    return (1 + np.floor(np.log(np.maximum(counts, 1)) / math.log(BASE) + 1e-9)).astype(np.int64)
-
-
-#: The middle of the counts of each level; level 0 is count 0.
-LEVEL_COUNT = np.concatenate([[0.0], [max(1.0, (BASE ** (q - 1) + BASE**q - 1) / 2) for q in range(1, LEVELS)]])
+    return np.minimum(1 + np.floor(np.log(np.maximum(counts, 1)) / math.log(BASE) + 1e-9), LEVELS - 1).astype(np.int64)
 
 
 def pair_keys(before: np.ndarray, word: np.ndarray) -> np.ndarray:
     return mix(before * U(0xD6E8FEB86659FD93) + word)
 
 
-def token_stream(texts: pa.Array, lo: int, hi: int, offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, first): words and an end of each row; row i has tokens first[i] to first[i + 1]."""
+def token_stream(lo: int, hi: int, offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, first): words and an end of each of rows lo to hi; the i-th has tokens first[i] to first[i + 1]."""
     own = LOWER[data[offsets[lo] : offsets[hi]]]
     starts, ends, first = arrow_text.word_spans(own, offsets[lo : hi + 1] - offsets[lo], WHITE)
     words = arrow_text.span_hashes(own, starts, ends)
@@ -99,11 +102,65 @@ def _ranges(keys: np.ndarray, bits: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]])
 
 
+def _thin(counts: np.ndarray) -> bytes:
+    """Counts in one byte each where they fit, else in four; the first byte tells."""
+    return b"\x01" + counts.astype("u1").tobytes() if not len(counts) or counts.max() < 256 else b"\x04" + counts.tobytes()
+
+
+def _thick(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, "u1" if packed[0] == 1 else "<u4", offset=1).astype(np.int64)
+
+
+@dataclass
+class Filter:
+    """Bits that hold levels of keys from `least` up."""
+
+    size: int
+    bits: np.ndarray
+    hashes: int = HASHES
+    least: int = 1
+
+    @staticmethod
+    def of(keys: np.ndarray, counts: np.ndarray, bits_each: int = BITS_EACH, hashes: int = HASHES, least: int = 1) -> Filter:
+        levels = level_of(counts)
+        size = max(8, -(-int((levels - least + 1).sum()) * bits_each // 8) * 8)
+        held = np.zeros(size, dtype=bool)
+        for level in range(least, int(levels.max(initial=0)) + 1):
+            a, b = Filter._hashes(keys[levels >= level], level)
+            for i in range(hashes):
+                held[Filter._place(a, b, i, size)] = True
+        return Filter(size, np.packbits(held), hashes, least)
+
+    @staticmethod
+    def _hashes(keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+        a = mix(keys + U(level * 0x9FB21C651E98DF25 % (1 << 64)))
+        return a, mix(a ^ U(0x5851F42D4C957F2D)) | U(1)
+
+    @staticmethod
+    def _place(a: np.ndarray, b: np.ndarray, i: int, size: int) -> np.ndarray:
+        return (((a + b * U(i)) >> U(32)) * U(size)) >> U(32)
+
+    def levels(self, keys: np.ndarray) -> np.ndarray:
+        """Levels by probing one after the other; 0 where the first is missing."""
+        found = np.zeros(len(keys), dtype=np.uint8)
+        active = np.arange(len(keys))
+        for level in range(self.least, LEVELS):
+            a, b = self._hashes(keys[active], level)
+            for i in range(self.hashes):
+                at = self._place(a, b, i, self.size)
+                hit = (self.bits[at >> U(3)] >> (U(7) - (at & U(7))).astype(np.uint8)) & 1 == 1
+                active, a, b = active[hit], a[hit], b[hit]
+            if not len(active):
+                break
+            found[active] = level
+        return found
+
+
 def _counting(bits: int):
-    """Rows (kind, range, keys, counts) of the training texts: kind 1 words, kind 2 pairs."""
+    """Rows (kind, range, keys, counts) of the training texts."""
 
     def flush(words: list, pairs: list):
-        for kind, parts in ((1, words), (2, pairs)):
+        for kind, parts in ((WORD, words), (PAIR, pairs)):
             keys, counts = summed(np.concatenate(parts))
             at = _ranges(keys, bits)
             cells = [(r, i, j) for r, (i, j) in enumerate(zip(at, at[1:])) if j > i]
@@ -118,7 +175,7 @@ def _counting(bits: int):
         for batch in batches:
             offsets, data = arrow_text.buffers(batch.column(0))
             for lo, hi in arrow_text.chunks(offsets):
-                keys, _ = token_stream(batch.column(0), lo, hi, offsets, data)
+                keys, _ = token_stream(lo, hi, offsets, data)
                 words.append(keys)
                 pairs.append(pair_keys(previous(keys), keys))
                 size += offsets[hi] - offsets[lo]
@@ -131,332 +188,260 @@ def _counting(bits: int):
     return run
 
 
-def _thin(counts: np.ndarray) -> bytes:
-    """Counts in one byte each where they fit, else in four; the first byte tells."""
-    return b"\x01" + counts.astype("u1").tobytes() if not len(counts) or counts.max() < 256 else b"\x04" + counts.tobytes()
-
-
-def _thick(packed: bytes) -> np.ndarray:
-    return np.frombuffer(packed, "u1" if packed[0] == 1 else "<u4", offset=1).astype(np.int64)
+_SEGMENTS = "kind int, range int, size long, bits binary, keys binary, counts binary, total long, distinct long, often_keys array<long>, often_counts array<long>, level_keys array<long>, level_counts array<long>"
 
 
 def _summing(table: pa.Table) -> pa.Table:
-    """One key range: ordered keys, counts, their sum and number, and a histogram of levels of count >= 1, 2, ..."""
+    """One key range: its segment, exact counts (of words), sums by level, and the keys that may belong to the head."""
     kind, place = table.column("kind")[0].as_py(), table.column("range")[0].as_py()
     keys = np.concatenate([np.frombuffer(x.as_buffer(), "<u8") for x in table.column("keys")])
     counts = np.concatenate([_thick(x.as_py()) for x in table.column("counts")])
     keys, counts = summed(keys, counts)
-    total, distinct = int(counts.sum()), len(keys)
-    if kind == 2:
-        kept = counts >= LEAST_PAIR
-        keys, counts = keys[kept], counts[kept]
-    levels = np.bincount(level_of(counts), minlength=LEVELS)[:LEVELS]
-    return pa.table(
-        {"kind": pa.array([kind], pa.int32()), "range": pa.array([place], pa.int32()), "keys": pa.array([keys.tobytes()], pa.binary()), "counts": pa.array([counts.astype("<i8").tobytes()], pa.binary()),
-         "total": pa.array([total], pa.int64()), "distinct": pa.array([distinct], pa.int64()), "levels": pa.array([levels.tolist()], pa.list_(pa.int64()))}
-    )
+    total, levels = int(counts.sum()), level_of(counts)
+    often = counts * FREQUENT >= total  # a share of all tokens is no larger than one of this range's
+    segment = Filter.of(keys, counts)
+    exact = [keys.tobytes(), counts.astype("<i8").tobytes()] if kind == WORD else [None, None]
+    row = [kind, place, segment.size, segment.bits.tobytes(), *exact, total, len(keys), keys[often].view(np.int64), counts[often], np.bincount(levels, minlength=LEVELS), np.bincount(levels, counts, minlength=LEVELS).astype(np.int64)]
+    types = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), *[pa.list_(pa.int64())] * 4]
+    return pa.table([pa.array([x], t) for x, t in zip(row, types)], names=[x.split()[0] for x in _SEGMENTS.split(", ")])
 
 
 @dataclass
-class Filter:
-    """Bits of one order: 2**range_bits segments of `size` bits each, by the keys' first bits."""
+class Counts:
+    """What is known of the training texts: a table of segments by key range, totals, and the head."""
 
+    table: DataFrame
     range_bits: int
-    size: int
-    least_level: int
-    bits: np.ndarray | None = None  # bytes, segment after segment
-
-    def _places(self, keys: np.ndarray, level: int, i: int) -> np.ndarray:
-        a = mix(keys + U(level * 0x9FB21C651E98DF25 % (1 << 64)))
-        b = mix(a ^ U(0x5851F42D4C957F2D)) | U(1)
-        return (a + b * U(i)) % U(self.size)
-
-    def segment(self, keys: np.ndarray, counts: np.ndarray) -> bytes:
-        out = np.zeros(self.size, dtype=bool)
-        levels = level_of(counts)
-        keep = levels >= self.least_level
-        keys, levels = keys[keep], levels[keep]
-        for level in range(1, int(levels.max(initial=0)) + 1):
-            # levels under the threshold are implied by it: the key's first probe is the threshold's level
-            own = keys[levels >= level] if level >= self.least_level else keys[:0]
-            for i in range(HASHES):
-                out[self._places(own, level, i)] = True
-        return np.packbits(out).tobytes()
-
-    def counts(self, keys: np.ndarray) -> np.ndarray:
-        """Expected counts by probing level after level; 0 where the first is missing."""
-        found = np.zeros(len(keys), dtype=np.int64)
-        if self.size:
-            segment = (keys >> U(64 - self.range_bits) if self.range_bits else np.zeros(len(keys), np.uint64)) * U(self.size)
-            active, level = np.arange(len(keys)), self.least_level
-            while len(active) and level < LEVELS:
-                for i in range(HASHES):
-                    at = segment[active] + self._places(keys[active], level, i)
-                    active = active[(self.bits[at >> U(3)] >> (U(7) - (at & U(7))).astype(np.uint8)) & 1 == 1]
-                found[active] = level
-                level += 1
-        return LEVEL_COUNT[found]
-
-
-def sized(levels: np.ndarray, range_bits: int, max_bytes: float = math.inf) -> Filter:
-    """The lowest level from which the keys' levels fit max_bytes; levels[q] keys have level q."""
-    at = np.arange(len(levels))
-    for least in range(1, len(levels)):
-        held = int((levels[least:] * (at[least:] - least + 1)).sum())
-        size = -(-held * BITS_EACH // (8 << range_bits)) * 8
-        if (size << range_bits) <= 8 * max_bytes:
-            break
-    return Filter(range_bits, size if held else 0, least)
-
-
-@dataclass
-class Model:
-    words: Filter
-    pairs: Filter
     tokens: int
     distinct: int
-    texts: int
+    heads: dict[int, Filter]
     frequent: np.ndarray
     frequent_counts: np.ndarray
-    range_bits: int
+    #: By kind, the mean count of a level's keys; level 0 is count 0.
+    means: dict[int, np.ndarray] = field(default_factory=dict)
+
+    def head(self) -> tuple:
+        """The part that tasks need, without the table: of bounded size."""
+        return self.range_bits, self.heads, self.frequent, self.frequent_counts
 
-    mixing: np.ndarray
 
-    def parts(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Expected counts of each token's pair, of the token before it, and of itself."""
-        distinct, at = np.unique(keys, return_inverse=True)
-        count = self.words.counts(distinct)
-        count[distinct == END] = self.texts
-        own = count[at]
-        context = np.concatenate([[float(self.texts)], own[:-1]])
-        pairs, where = np.unique(pair_keys(previous(keys), keys), return_inverse=True)
-        return np.minimum(self.pairs.counts(pairs)[where], context), context, own
+def count(documents: DataFrame, training: Column, scratch: Scratch, text_col: str = "text") -> Counts:
+    """Word and pair counts of the texts where `training` holds."""
+    ship_package(documents.sparkSession)
+    texts = documents.where(training).select(F.coalesce(documents[text_col], F.lit("")).alias("text"))
+    size = texts.agg(F.sum(F.octet_length("text")), F.count("*")).first()
+    bits = max(2, math.ceil(math.log2(max(1, ((size[0] or 0) / 6 + size[1]) / RANGE_TOKENS))))
+    blobs = texts.mapInArrow(arrow_text.tidied(_counting(bits)), "kind int, range int, keys binary, counts binary")
+    table = scratch.keep(blobs.groupBy("kind", "range").applyInArrow(arrow_text.tidied_group(_summing), _SEGMENTS), "segments")
+    totals = table.groupBy("kind").agg(F.sum("total").alias("total"), F.sum("distinct").alias("distinct"))
+    totals = {r["kind"]: (r["total"], r["distinct"]) for r in totals.collect()}  # one row a kind
+    tokens, distinct = totals.get(WORD, (0, 0))
+    means = {k: np.concatenate([[0.0], [max(1.0, (BASE ** (q - 1) + BASE**q - 1) / 2) for q in range(1, LEVELS)]]) for k in (WORD, PAIR)}
+    by_level = table.select("kind", F.posexplode(F.arrays_zip("level_keys", "level_counts")).alias("q", "n")).groupBy("kind", "q").agg(F.sum("n.level_keys").alias("keys"), F.sum("n.level_counts").alias("counts"))
+    for r in by_level.where("keys > 0").collect():  # at most LEVELS rows a kind
+        means[r["kind"]][r["q"]] = r["counts"] / r["keys"]
+    often = table.select("kind", F.explode(F.arrays_zip("often_keys", "often_counts")).alias("x")).select("kind", F.col("x.often_keys").alias("key"), F.col("x.often_counts").alias("n"))
+    often = often.where(F.col("n") * FREQUENT >= F.lit(max(1, tokens))).toArrow()  # at most FREQUENT rows a kind
+    kinds, keys, n = (often.column(c).to_numpy() for c in ("kind", "key", "n"))
+    least = int(level_of(np.array([-(-max(1, tokens) // FREQUENT)]))[0])
+    order = np.argsort(keys.view(np.uint64))
+    kinds, keys, n = kinds[order], keys.view(np.uint64)[order], n[order]
+    heads = {k: Filter.of(keys[kinds == k], n[kinds == k], HEAD_BITS, HEAD_HASHES, least) for k in (WORD, PAIR)}
+    return Counts(table, bits, tokens, distinct, heads, keys[kinds == WORD], n[kinds == WORD], means)
+
+
+def look_up(documents: DataFrame, counts: Counts, scratch: Scratch, keep: dict[str, Column], text_col: str = "text") -> DataFrame:
+    """row (a struct of `keep`), n_tokens, n_known, base_score and levels of each text.
+
+    levels has three bytes a token: the levels of its pair, of the token before it, and of itself.
+    """
+    spark = documents.sparkSession
+    ship_package(spark)
+    shared = spark.sparkContext.broadcast(counts.head())
+    df = documents.select(F.struct(*(c.alias(n) for n, c in keep.items())).alias("row"), documents[text_col].cast("string").alias("text"))
+    row_field = StructType.fromJson(json.loads(df.schema.json().replace('"nullable":false', '"nullable":true')))["row"]  # as Arrow gives it back
+
+    def ask(batches):
+        bits, heads, *_ = shared.value
+        part, flushed, size, tokens = TaskContext.get().partitionId(), 0, 0, []
+        kept = None
+
+        def questions(number: int):
+            keys = np.concatenate(tokens)
+            kinds, ranges, blobs = [], [], []
+            for kind, own in ((WORD, keys), (PAIR, pair_keys(previous(keys), keys))):
+                own = np.unique(own)
+                own = own[heads[kind].levels(own) == 0]
+                at = _ranges(own, bits)
+                cells = [(r, i, j) for r, (i, j) in enumerate(zip(at, at[1:])) if j > i]
+                kinds += [kind] * len(cells)
+                ranges += [r for r, _, _ in cells]
+                blobs += [own[i:j].tobytes() for _, i, j in cells]
+            n = len(kinds)
+            return pa.RecordBatch.from_arrays([pa.array([number] * n, pa.int64()), pa.nulls(n, kept.column(0).type), pa.nulls(n, kept.column(1).type), pa.array(kinds, pa.int32()), pa.array(ranges, pa.int32()), pa.array(blobs, pa.binary())], names)
 
-    def log_probabilities(self, keys: np.ndarray) -> np.ndarray:
-        """log10 of each token's smoothed probability behind the one before it."""
-        joint, context, own = self.parts(keys)
-        share = self.mixing[group_of(context)]
-        return np.log10(share * joint / np.maximum(context, 1) + (1 - share) * (own + 1) / (self.tokens + self.distinct + 1))
+        for batch in batches:
+            kept = batch
+            offsets, data = arrow_text.buffers(batch.column(1))
+            for lo, hi in arrow_text.chunks(offsets):
+                tokens.append(token_stream(lo, hi, offsets, data)[0])
+                n, number = hi - lo, (part << 24) | flushed
+                yield pa.RecordBatch.from_arrays([pa.array([number] * n, pa.int64()), batch.column(0).slice(lo, n), batch.column(1).slice(lo, n), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
+                size += offsets[hi] - offsets[lo]
+                if size >= ASK_BYTES:
+                    yield questions(number)
+                    size, tokens, flushed = 0, [], flushed + 1
+        if tokens:
+            yield questions((part << 24) | flushed)
+
+    names = ["batch", "row", "text", "kind", "range", "keys"]
+    schema = StructType([StructField("batch", LongType()), row_field, StructField("text", StringType()), StructField("kind", IntegerType()), StructField("range", IntegerType()), StructField("keys", BinaryType())])
+    asked = scratch.keep(df.mapInArrow(arrow_text.tidied(ask), schema), "asked")
+
+    def answer(questions: pa.Table, segment: pa.Table) -> pa.Table:
+        out: dict[str, list] = {"batch": questions.column("batch").to_pylist(), "kind": questions.column("kind").to_pylist(), "range": questions.column("range").to_pylist(), "levels": [], "counts": []}
+        held = exact = None
+        if segment.num_rows:
+            f = Filter(segment.column("size")[0].as_py(), np.frombuffer(segment.column("bits")[0].as_py(), np.uint8))
+            if segment.column("keys")[0].is_valid:
+                held, exact = (np.frombuffer(segment.column(c)[0].as_py(), t) for c, t in (("keys", "<u8"), ("counts", "<i8")))
+        for x in questions.column("keys"):
+            keys = np.frombuffer(x.as_buffer(), "<u8")
+            out["levels"].append((f.levels(keys) if segment.num_rows else np.zeros(len(keys), np.uint8)).tobytes())
+            if held is None:
+                out["counts"].append(_thin(np.zeros(len(keys), "<u4")) if out["kind"][0] == WORD else None)
+            else:
+                j = np.minimum(np.searchsorted(held, keys), len(held) - 1)
+                out["counts"].append(_thin(np.where(held[j] == keys, exact[j], 0).astype("<u4")))
+        return pa.table({"batch": pa.array(out["batch"], pa.int64()), "kind": pa.array(out["kind"], pa.int32()), "range": pa.array(out["range"], pa.int32()), "levels": pa.array(out["levels"], pa.binary()), "counts": pa.array(out["counts"], pa.binary())})
+
+    questions = asked.where("kind IS NOT NULL").select("batch", "kind", "range", "keys")
+    segments = counts.table.select("kind", "range", "size", "bits", "keys", "counts")
+    answers = questions.groupBy("kind", "range").cogroup(segments.groupBy("kind", "range")).applyInArrow(arrow_text.tidied_pair(answer), "batch long, kind int, range int, levels binary, counts binary")
+    answers = scratch.keep(answers, "answers")
+
+    tokens_and_words = math.log10(counts.tokens + counts.distinct + 1)
+
+    def gather(texts: pa.Table, levels: pa.Table) -> pa.Table:
+        _, heads, frequent, frequent_counts = shared.value
+        order = np.lexsort((levels.column("range").to_numpy(), levels.column("kind").to_numpy()))
+        kinds, blobs, exact = levels.column("kind").to_pylist(), levels.column("levels").to_pylist(), levels.column("counts").to_pylist()
+        column = texts.column("text").combine_chunks()
+        offsets, data = arrow_text.buffers(column)
+        streams = [token_stream(lo, hi, offsets, data) for lo, hi in arrow_text.chunks(offsets)]
+        keys = np.concatenate([x for x, _ in streams])
+        sizes = np.concatenate([np.diff(first) for _, first in streams])
+        first = np.concatenate([[0], np.cumsum(sizes)])
+
+        def levels_of(kind: int, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            distinct, at = np.unique(own, return_inverse=True)
+            found = heads[kind].levels(distinct)
+            rest = found == 0
+            parts = [np.frombuffer(blobs[i], np.uint8) for i in order if kinds[i] == kind]
+            found[rest] = np.concatenate(parts) if parts else np.zeros(0, np.uint8)
+            return distinct, rest, found, at
+
+        distinct, rest, found, at = levels_of(WORD, keys)
+        n = np.zeros(len(distinct), dtype=np.int64)
+        if len(frequent):
+            j = np.minimum(np.searchsorted(frequent, distinct), len(frequent) - 1)
+            n = np.where(frequent[j] == distinct, frequent_counts[j], 0)
+        parts = [_thick(exact[i]) for i in order if kinds[i] == WORD]
+        n[rest] = np.concatenate(parts) if parts else 0
+        logs = np.add.reduceat(np.log10(n + 1.0)[at], first[:-1]) - sizes * tokens_and_words
+        known = np.add.reduceat((n > 0).astype(np.int64)[at], first[:-1])
+        codes = np.empty((len(keys), 3), dtype=np.uint8)
+        codes[:, 2] = found[at]
+        codes[1:, 1] = codes[:-1, 2]
+        codes[0, 1] = found[np.searchsorted(distinct, END)]  # other texts' first tokens stand behind an end already
+        del distinct, at, n
+        _, _, found, at = levels_of(PAIR, pair_keys(previous(keys), keys))
+        codes[:, 0] = found[at]
+        blob = codes.tobytes()
+        packed = [blob[3 * i : 3 * j] for i, j in zip(first.tolist(), first[1:].tolist())]
+        return pa.table({"row": texts.column("row"), "n_tokens": pa.array(sizes, pa.int64()), "n_known": pa.array(known, pa.int64()), "base_score": pa.array(logs, pa.float64()), "levels": pa.array(packed, pa.binary())})
+
+    texts = asked.where("kind IS NULL").select("batch", "row", "text")
+    schema = StructType([row_field, StructField("n_tokens", LongType()), StructField("n_known", LongType()), StructField("base_score", DoubleType()), StructField("levels", BinaryType())])
+    out = texts.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(arrow_text.tidied_pair(gather), schema)
+    out = scratch.keep(out, "levels")
+    scratch.drop("asked", "answers")
+    return out
 
 
-def group_of(context: np.ndarray) -> np.ndarray:
-    return np.minimum(np.log10(np.maximum(context, 1)).astype(np.int64), GROUPS - 1)
+def _cells(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(cells, first): one number for the three levels of each token, and each row's first token."""
+    column = column.cast(pa.large_binary())
+    _, where, data = column.buffers()
+    first = np.frombuffer(where, np.int64)[column.offset : column.offset + len(column) + 1] // 3
+    codes = np.frombuffer(data, np.uint8)[3 * first[0] : 3 * first[-1]].reshape(-1, 3).astype(np.int64)
+    return (codes[:, 0] * LEVELS + codes[:, 1]) * LEVELS + codes[:, 2], first - first[0]
 
 
-#: Ratios of a pair's share to the word's own, as steps of their binary logarithm, for the shares' likelihood.
-_STEP, _BINS = 0.125, 400
+def tune(levels: DataFrame) -> np.ndarray:
+    """How often each cell of three levels occurs: LEVELS cubed numbers, whatever the number of texts."""
 
+    def run(batches):
+        out = np.zeros(LEVELS**3, dtype=np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                out += np.bincount(_cells(batch.column(0))[0], minlength=len(out))
+        at = np.flatnonzero(out)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(out[at])], ["cell", "n"])
 
-def _ratios(model: Model, keys: np.ndarray) -> np.ndarray:
-    """Histogram (group, bin) of those ratios with the token itself left out; bin 0 is ratio 0."""
-    joint, context, own = model.parts(keys)
-    left = np.where(joint > 0, np.maximum(joint - 1, 0), 0) / np.maximum(context - 1, 1)
-    ratio = left * (model.tokens + model.distinct) / np.maximum(own, 1)
-    bins = np.where(ratio > 0, np.clip(np.log2(np.maximum(ratio, 1e-9)) / _STEP + _BINS / 2, 1, _BINS - 1), 0).astype(np.int64)
-    return np.bincount(group_of(context) * _BINS + bins, minlength=GROUPS * _BINS)
+    found = levels.select("levels").mapInArrow(arrow_text.tidied(run), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(LEVELS**3, dtype=np.int64)
+    out[found.column("cell").to_numpy()] = found.column("n").to_numpy()
+    return out
 
 
-def best_shares(histogram: np.ndarray) -> np.ndarray:
-    """The share of pairs that maximises each group's likelihood, by expectation maximisation; 0 without data."""
-    ratio = np.where(np.arange(_BINS) > 0, 2.0 ** ((np.arange(_BINS) + 0.5 - _BINS / 2) * _STEP), 0.0)
-    out = np.zeros(GROUPS)
-    for g, n in enumerate(histogram.reshape(GROUPS, _BINS)):
+def probabilities(counts: Counts, seen: np.ndarray) -> np.ndarray:
+    """The probability of a token for each cell, with the shares that suit the training texts' cells best."""
+    at = np.arange(LEVELS**3)
+    joint, context, own = at // LEVELS**2, at // LEVELS % LEVELS, at % LEVELS
+    c_joint, c_context, c_own = counts.means[PAIR][joint], counts.means[WORD][context], counts.means[WORD][own]
+    alone = (c_own + 1) / (counts.tokens + counts.distinct + 1)
+    # leaving the token itself out of its counts
+    left = np.where(joint > 1, np.minimum((c_joint - 1) / np.maximum(c_context - 1, 1), 1), 0.0)
+    ratio = left * (counts.tokens + counts.distinct) / np.maximum(c_own, 1)
+    shares = np.zeros(LEVELS)
+    for g in range(1, LEVELS):
+        use = (context == g) & (seen > 0)
+        n, r = seen[use], ratio[use]
         if n.sum():
             m = 0.5
             for _ in range(200):
-                m = float((n * m * ratio / (m * ratio + 1 - m)).sum() / n.sum())
-                m = min(max(m, 1e-6), 1 - 1e-3)
-            out[g] = m
-    return out
+                m = min(max(float((n * m * r / (m * r + 1 - m)).sum() / n.sum()), 1e-6), 1 - 1e-3)
+            shares[g] = m
+    m = shares[context]
+    return m * np.minimum(c_joint / np.maximum(c_context, 1), 1) + (1 - m) * alone
 
 
-def train(documents: DataFrame, training: Column, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text") -> tuple[Model, DataFrame]:
-    """The model and the exact counts (kind, range, keys, counts) of the texts where `training` holds."""
-    spark = documents.sparkSession
-    ship_package(spark)
-    texts = documents.where(training).select(F.coalesce(documents[text_col], F.lit("")).alias("text"))
-    size = texts.agg(F.sum(F.octet_length("text")), F.count("*")).first()
-    tokens = (size[0] or 0) / 6 + size[1]
-    bits = max(2, math.ceil(math.log2(max(1, tokens / RANGE_TOKENS))))
-    blobs = texts.mapInArrow(arrow_text.tidied(_counting(bits)), "kind int, range int, keys binary, counts binary")
-    summed_ = blobs.groupBy("kind", "range").applyInArrow(arrow_text.tidied_group(_summing), "kind int, range int, keys binary, counts binary, total long, distinct long, levels array<long>")
-    counts = scratch.keep(summed_, "counts")
-    levels = {1: np.zeros(LEVELS, np.int64), 2: np.zeros(LEVELS, np.int64)}
-    total = distinct = 0
-    sums = counts.select("kind", "total", "distinct", F.posexplode("levels").alias("q", "n")).groupBy("kind", "q").agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.sum("distinct").alias("distinct"))
-    for r in sums.collect():  # at most two orders of LEVELS rows
-        levels[r["kind"]][r["q"]] = r["n"]
-        if r["kind"] == 1:
-            total, distinct = r["total"], r["distinct"]
-    filters = {kind: sized(n, bits) for kind, n in levels.items()}
-
-    def build(batches):
-        for batch in batches:
-            for kind, place, keys, own in zip(*(c.to_pylist() for c in batch.columns)):
-                bits_ = filters[kind].segment(np.frombuffer(keys, "<u8"), np.frombuffer(own, "<i8")) if filters[kind].size else b""
-                yield pa.RecordBatch.from_arrays([pa.array([kind], pa.int32()), pa.array([place], pa.int32()), pa.array([bits_], pa.binary())], ["kind", "range", "bits"])
-
-    segments = counts.select("kind", "range", "keys", "counts").mapInArrow(arrow_text.tidied(build), "kind int, range int, bits binary").collect()  # BITS_EACH bits a level of each key
-    for f in filters.values():
-        f.bits = np.zeros((f.size << bits) // 8, dtype=np.uint8)
-    while segments:  # each is let go once it is copied
-        r = segments.pop()
-        f = filters[r["kind"]]
-        f.bits[r["range"] * f.size // 8 :][: f.size // 8] = np.frombuffer(r["bits"], np.uint8)
-    least = max(1, total // FREQUENT)
-
-    def often(batches):
-        for batch in batches:
-            for keys, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                keys, own = np.frombuffer(keys, "<i8"), np.frombuffer(own, "<i8")
-                yield pa.RecordBatch.from_arrays([pa.array(keys[own > least]), pa.array(own[own > least])], ["key", "n"])
-
-    top = counts.where("kind = 1").select("keys", "counts").mapInArrow(arrow_text.tidied(often), "key long, n long").toArrow()  # fewer than FREQUENT rows
-    keys = top.column("key").to_numpy().view(np.uint64)
-    order = np.argsort(keys)
-    model = Model(filters[1], filters[2], total, distinct, size[1], keys[order], top.column("n").to_numpy()[order], bits, np.zeros(GROUPS))
-    shared = spark.sparkContext.broadcast(model)
-
-    def tune(batches):
-        out = np.zeros(GROUPS * _BINS, dtype=np.int64)
+def score(levels: DataFrame, table: np.ndarray) -> DataFrame:
+    """The rows with score: the sum of their tokens' log10 probabilities, in place of levels."""
+    shared = levels.sparkSession.sparkContext.broadcast(np.log10(table))  # LEVELS cubed numbers
+    schema = StructType([StructField("score", DoubleType()) if f.name == "levels" else f for f in levels.schema])
+
+    def run(batches):
         for batch in batches:
-            offsets, data = arrow_text.buffers(batch.column(0))
-            for lo, hi in arrow_text.chunks(offsets):
-                out += _ratios(shared.value, token_stream(batch.column(0), lo, hi, offsets, data)[0])
-        at = np.flatnonzero(out)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(out[at])], ["cell", "n"])
+            if batch.num_rows:
+                cells, first = _cells(batch.column(batch.num_columns - 1))
+                total = np.add.reduceat(shared.value[cells], first[:-1])  # each text has an end at least
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(total)], [f.name for f in schema])
 
-    share = min(1.0, TUNING_TEXTS / max(1, size[1]))
-    sample = texts if share == 1 else documents.where(training & (F.pmod(F.xxhash64(F.lit("tuning"), id_col), F.lit(1 << 20)) < int(share * (1 << 20)))).select(documents[text_col].alias("text"))
-    histogram = np.zeros(GROUPS * _BINS, dtype=np.int64)
-    for r in sample.mapInArrow(arrow_text.tidied(tune), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():  # at most GROUPS * _BINS rows
-        histogram[r["cell"]] = r["n"]
-    model.mixing = best_shares(histogram)
-    return model, counts
+    return levels.mapInArrow(arrow_text.tidied(run), schema)
 
 
-def score(documents: DataFrame, model: Model, counts: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_tokens, n_known, base_score (exact counts, add one) and score (the model's) of each row."""
-    spark = documents.sparkSession
-    shared = spark.sparkContext.broadcast(model)
-    kind = documents.schema[id_col].dataType.simpleString()
-    schema = f"batch long, n int, id {kind}, n_tokens long, known long, logs double, score double, range int, keys binary, runs binary, rows binary, times binary"
-
-    def rare_rows(batch_id: int, keys: np.ndarray, rows: np.ndarray, bits: int):
-        order = np.argsort(keys, kind="stable")
-        keys, rows = keys[order], rows[order]
-        new = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (rows[1:] != rows[:-1])])) if len(keys) else np.zeros(0, np.int64)
-        times = np.diff(np.append(new, len(keys)))
-        keys, rows = keys[new], rows[new]
-        starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else new
-        runs = np.diff(np.append(starts, len(keys)))
-        words = keys[starts]
-        at = _ranges(words, bits)
-        edge = np.append(starts, len(keys))
-        cells = [(r, i, j) for r, (i, j) in enumerate(zip(at, at[1:])) if j > i]
-        n = len(cells)
-        small = rows.max(initial=0) < 65536
-        return pa.RecordBatch.from_arrays(
-            [pa.array([batch_id] * n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, id_type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.float64()), pa.nulls(n, pa.float64()), pa.array([r for r, _, _ in cells], pa.int32()),
-             pa.array([words[i:j].tobytes() for _, i, j in cells], pa.binary()), pa.array([_thin(runs[i:j].astype("<u4")) for _, i, j in cells], pa.binary()),
-             pa.array([(b"\x02" if small else b"\x04") + rows[edge[i] : edge[j]].astype("<u2" if small else "<u4").tobytes() for _, i, j in cells], pa.binary()), pa.array([_thin(times[edge[i] : edge[j]].astype("<u4")) for _, i, j in cells], pa.binary())],
-            names,
-        )
-
-    names = [x.split()[0] for x in schema.split(", ")]
-    id_type = pa.int64() if kind in ("bigint", "long") else None
-
-    def run(batches):
-        nonlocal id_type
-        m: Model = shared.value
-        part, flushed = TaskContext.get().partitionId(), 0
-        rare, owners, size, begun = [], [], 0, 0
-        for batch in batches:
-            id_type = batch.column(0).type
-            offsets, data = arrow_text.buffers(batch.column(1))
-            for lo, hi in arrow_text.chunks(offsets):
-                keys, first = token_stream(batch.column(1), lo, hi, offsets, data)
-                logs = m.log_probabilities(keys)
-                j = np.minimum(np.searchsorted(m.frequent, keys), max(len(m.frequent) - 1, 0))
-                common = m.frequent[j] == keys if len(m.frequent) else np.zeros(len(keys), dtype=bool)
-                end = keys == END
-                exact = np.zeros(len(keys))
-                exact[common] = np.log10(m.frequent_counts[j[common]] + 1.0)
-                exact[end] = math.log10(m.texts + 1.0)
-                known = (common & ~end) | (end & (m.texts > 0))
-                per = lambda x: np.add.reduceat(x, first[:-1]) if len(first) > 1 else np.zeros(0)
-                n = hi - lo
-                ids = batch.column(0).slice(lo, n)
-                empty = pa.nulls(n, pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, (part << 24) | flushed, dtype=np.int64)), pa.array(np.arange(begun, begun + n, dtype=np.int32)), ids, pa.array(np.diff(first).astype(np.int64)), pa.array(per(known.astype(np.int64))), pa.array(per(exact)), pa.array(per(logs)), pa.nulls(n, pa.int32()), empty, empty, empty, empty],
-                    names,
-                )
-                sparse = ~common & ~end
-                rare.append(keys[sparse])
-                owners.append(np.repeat(np.arange(begun, begun + n), np.diff(first))[sparse])
-                begun += n
-                size += offsets[hi] - offsets[lo]
-                if size >= FLUSH_BYTES:
-                    yield rare_rows((part << 24) | flushed, np.concatenate(rare), np.concatenate(owners), m.range_bits)
-                    rare, owners, size, begun, flushed = [], [], 0, 0, flushed + 1
-        if rare:
-            yield rare_rows((part << 24) | flushed, np.concatenate(rare), np.concatenate(owners), m.range_bits)
-
-    table = scratch.keep(documents.select(documents[id_col].alias("id"), documents[text_col].alias("text")).mapInArrow(arrow_text.tidied(run), schema), "scored")
-    asked = table.where("n IS NULL").select("batch", "range", "keys", "runs", "rows", "times")
-
-    def answer(asked_: pa.Table, known_: pa.Table) -> pa.Table:
-        out: dict[str, list] = {"batch": [], "rows": [], "logs": [], "known": []}
-        if known_.num_rows:
-            held, counts_ = (np.frombuffer(known_.column(c)[0].as_py(), t) for c, t in (("keys", "<u8"), ("counts", "<i8")))
-        else:
-            held, counts_ = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        for i in range(asked_.num_rows):
-            keys, runs, rows, times = (asked_.column(c)[i].as_py() for c in ("keys", "runs", "rows", "times"))
-            keys = np.frombuffer(keys, "<u8")
-            j = np.minimum(np.searchsorted(held, keys), max(len(held) - 1, 0))
-            c = np.where(held[j] == keys, counts_[j], 0) if len(held) else np.zeros(len(keys), np.int64)
-            c = np.repeat(c, _thick(runs))
-            rows = np.frombuffer(rows, "<u2" if rows[0] == 2 else "<u4", offset=1).astype(np.int64)
-            times = _thick(times)
-            logs, known = np.bincount(rows, np.log10(c + 1.0) * times), np.bincount(rows, (c > 0) * times)
-            at = np.flatnonzero(known)
-            out["batch"].append(asked_.column("batch")[i].as_py())
-            out["rows"].append(at.astype("<u4").tobytes())
-            out["logs"].append(logs[at].astype("<f8").tobytes())
-            out["known"].append(known[at].astype("<u4").tobytes())
-        return pa.table({"batch": pa.array(out["batch"], pa.int64()), **{k: pa.array(out[k], pa.binary()) for k in ("rows", "logs", "known")}})
-
-    words = counts.where("kind = 1").select("range", "keys", "counts")
-    answers = asked.groupBy("range").cogroup(words.groupBy("range")).applyInArrow(arrow_text.tidied_pair(answer), "batch long, rows binary, logs binary, known binary")
-
-    def gather(table_: pa.Table) -> pa.Table:
-        rows = [np.frombuffer(x.as_py(), "<u4").astype(np.int64) for x in table_.column("rows")]
-        n = max((int(r.max(initial=-1)) + 1 for r in rows), default=0)
-        logs, known = np.zeros(n), np.zeros(n)
-        for r, a, b in zip(rows, table_.column("logs"), table_.column("known")):
-            logs[r] += np.frombuffer(a.as_py(), "<f8")
-            known[r] += np.frombuffer(b.as_py(), "<u4")
-        at = np.flatnonzero(known)
-        return pa.table({"batch": pa.array([table_.column("batch")[0].as_py()] * len(at), pa.int64()), "n": pa.array(at.astype(np.int32)), "more_logs": pa.array(logs[at]), "more_known": pa.array(known[at].astype(np.int64))})
-
-    more = answers.groupBy("batch").applyInArrow(arrow_text.tidied_group(gather), "batch long, n int, more_logs double, more_known long")
-    rows = table.where("n IS NOT NULL").select("batch", "n", "id", "n_tokens", "known", "logs", "score").join(more, ["batch", "n"], "left")
-    scale = math.log10(model.tokens + model.distinct + 1)
-    return rows.select(
-        F.col("id").alias(id_col), "n_tokens", (F.col("known") + F.coalesce("more_known", F.lit(0))).cast("long").alias("n_known"),
-        (F.col("logs") + F.coalesce("more_logs", F.lit(0.0)) - F.col("n_tokens") * F.lit(scale)).alias("base_score"), "score",
-    )
+def scored(documents: DataFrame, training: Column, keep: dict[str, Column], scratch: Scratch, text_col: str = "text") -> tuple[DataFrame, Counts]:
+    """row (a struct of `keep`), n_tokens, n_known, base_score and score of each text, learnt where `training` holds."""
+    counts = count(documents, training, scratch, text_col)
+    levels = look_up(documents, counts, scratch, {"kept": F.struct(*(c.alias(n) for n, c in keep.items())), "training": training}, text_col)
+    table = probabilities(counts, tune(levels.where("row.training")))
+    return score(levels.withColumn("row", F.col("row.kept")), table), counts
 
 
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    scratch = Scratch(spark, "lm-scoring")
-
-    def held(c: Column) -> Column:
-        return F.coalesce(F.crc32(c.cast("string").cast("binary")) % 7 == 2, F.lit(False))
-
-    model, counts = train(docs, ~held(docs.doc_id), scratch)
-    scored = score(docs, model, counts, scratch)
-    return scored.select("doc_id", held(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+    held = F.coalesce(F.crc32(docs.doc_id.cast("string").cast("binary")) % 7 == 2, F.lit(False))
+    out, counts = scored(docs, ~held, {"doc_id": docs.doc_id, "held_out": held}, Scratch(spark, "lm-scoring"))
+    return out.select("row.doc_id", "row.held_out", "n_tokens", "n_known", F.lit(counts.tokens).cast("long").alias("train_tokens"), "base_score", "score")

@@ -89,6 +89,40 @@ def lm_base(docs):
     return [(d, h, len(t), sum(counts[x] > 0 for x in t), n, sum(math.log10((counts[x] + 1) / (n + v + 1)) for x in t)) for (d, _), h, t in zip(docs, held, tokens)]
 
 
+def lm_scores(docs):
+    """(doc_id, log10 probability) of each, learnt from all: pair shares by power of 1.5 of the context's count, each token left out of its counts."""
+    import math
+    from collections import Counter
+
+    tokens = [[*WHITE.findall((t or "").encode().lower()), None] for _, t in docs]
+    words = Counter(x for t in tokens for x in t)
+    pairs = Counter(p for t in tokens for p in zip([None, *t], t))
+    n, v = sum(words.values()), len(words)
+
+    def group(c):
+        return math.floor(math.log(c) / math.log(1.5) + 1e-9)
+
+    ratios: dict = {}
+    for t in tokens:
+        for a, b in zip([None, *t], t):
+            left = min((pairs[a, b] - 1) / max(words[a] - 1, 1), 1)
+            ratios.setdefault(group(words[a]), []).append(left * (n + v) / words[b])
+    shares = {}
+    for g, r in ratios.items():
+        m = 0.5
+        for _ in range(200):
+            m = min(max(sum(m * x / (m * x + 1 - m) for x in r) / len(r), 1e-6), 1 - 1e-3)
+        shares[g] = m
+    out = []
+    for (d, _), t in zip(docs, tokens):
+        total = 0.0
+        for a, b in zip([None, *t], t):
+            m = shares[group(words[a])]
+            total += math.log10(m * pairs[a, b] / words[a] + (1 - m) * (words[b] + 1) / (n + v + 1))
+        out.append((d, total))
+    return out
+
+
 def suffix_dedup(docs, span=50):
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of each."""
     first: dict = {}

@@ -8,6 +8,7 @@ import zlib
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -296,47 +297,111 @@ def test_html_table(spark):
     assert html_text.extract(df.where("page_id > 9")).count() == 0
 
 
-def test_lm_base(docs, pairs, spark, empty):
+@pytest.fixture
+def lm(spark):
     from quantarium.session import Scratch
 
-    def run(df):
+    def run(df, training=None):
         held = F.coalesce(F.crc32(df.doc_id.cast("string").cast("binary")) % 7 == 2, F.lit(False))
-        scratch = Scratch(spark, "t")
-        model, counts = lm_scoring.train(df, ~held, scratch)
-        return model, lm_scoring.score(df, model, counts, scratch)
+        return lm_scoring.scored(df, ~held if training is None else training, {c: df[c] for c in df.columns if c != "text"}, Scratch(spark, "t"))
 
-    model, out = run(docs)
-    got = {r.doc_id: r for r in out.collect()}
-    for d, _, n, known, total, base in brute.lm_base(pairs):
-        assert (got[d].n_tokens, got[d].n_known, model.tokens) == (n, known, total) and abs(got[d].base_score - base) < 1e-6 * max(1, abs(base)) and got[d].score < 0
-    assert out.count() == len(pairs)
-    assert run(empty)[1].count() == 0
+    return run
 
 
-def test_lm_filter_grows_with_the_keys(spark, docs, monkeypatch):
+def test_lm_base(docs, pairs, lm, empty):
+    out, counts = lm(docs)
+    assert out.select("row.*").columns == [c for c in docs.columns if c != "text"]
+    got = {r.row.doc_id: r for r in out.collect()}
+    for d, _, n, known, total, base in brute.lm_base(pairs):
+        assert (got[d].n_tokens, got[d].n_known, counts.tokens) == (n, known, total) and abs(got[d].base_score - base) < 1e-6 * max(1, abs(base)) and got[d].score < 0
+    assert out.count() == len(pairs)
+    assert lm(empty)[0].count() == 0
+    untrained, counts = lm(docs, F.lit(False))
+    assert counts.tokens == 0 and untrained.where("n_known > 0 OR base_score <> 0").count() == 0
+
+
+def test_lm_score_against_exact_counts(docs, pairs, lm):
+    """Bloom levels and sent keys give what plain dictionaries of exact counts give, but for quantising and rare false hits."""
+    out, counts = lm(docs, F.lit(True))
+    got = {r.row.doc_id: r.score for r in out.collect()}
+    for d, exact in brute.lm_scores(pairs):
+        assert abs(got[d] - exact) < 0.03 * abs(exact) + 0.05
+    assert counts.means[lm_scoring.PAIR][1] == 1 and counts.means[lm_scoring.WORD][2] == 2
+
+
+def test_lm_batches_and_ranges_do_not_matter(docs, lm, monkeypatch):
+    whole = {r.row.doc_id: r for r in lm(docs)[0].collect()}
+    monkeypatch.setattr(lm_scoring, "ASK_BYTES", 2000)
+    monkeypatch.setattr(lm_scoring, "FLUSH_BYTES", 3000)
+    monkeypatch.setattr(lm_scoring, "RANGE_TOKENS", 500)
+    monkeypatch.setattr(lm_scoring, "FREQUENT", 50)
+    cut, counts = lm(docs)
+    assert counts.range_bits >= 3
+    for r in cut.collect():
+        w = whole[r.row.doc_id]
+        assert (r.n_tokens, r.n_known) == (w.n_tokens, w.n_known) and abs(r.base_score - w.base_score) < 1e-6 * max(1, abs(w.base_score)) and abs(r.score - w.score) < 0.02 * abs(w.score) + 0.05
+
+
+def test_lm_probabilities_sum_to_one(spark, lm):
+    """Over all words, the end and one unknown word, behind every context of a small corpus."""
     from quantarium.session import Scratch
 
-    monkeypatch.setattr(lm_scoring, "MAX_FILTER_BYTES", 256, raising=False)
-    few, _ = lm_scoring.train(docs.limit(12), F.lit(True), Scratch(spark, "lm-few"))
-    model, counts = lm_scoring.train(docs, F.lit(True), Scratch(spark, "lm-all"))
-    assert few.pairs.least_level == model.pairs.least_level == few.words.least_level == model.words.least_level == 1
-    assert len(model.pairs.bits) > len(few.pairs.bits)
-    for r in counts.collect():  # every counted key is read back
-        f = model.words if r["kind"] == 1 else model.pairs
-        assert (f.counts(np.frombuffer(r["keys"], "<u8")) >= lm_scoring.LEVEL_COUNT[lm_scoring.level_of(np.frombuffer(r["counts"], "<i8"))] - 1e-9).all()
+    r = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(r.choices(vocabulary, [1 / (k + 1) for k in range(60)], k=40))) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    counts = lm_scoring.count(df, F.lit(True), Scratch(spark, "sums"))
+    levels = lm_scoring.look_up(df, counts, Scratch(spark, "sums"), {"doc_id": df.doc_id})
+    table = lm_scoring.probabilities(counts, lm_scoring.tune(levels))
+    ask = spark.createDataFrame([(c, w, f"{c} {w}") for c in vocabulary[:25] for w in [*vocabulary, "unknown"]], "c string, w string, text string")
+    asked = lm_scoring.look_up(ask, counts, Scratch(spark, "sums"), {"c": ask.c, "w": ask.w})
+    sums: dict = {}
+    for x in asked.collect():
+        cells, _ = lm_scoring._cells(pa.array([x.levels]))
+        sums[x.row.c] = sums.get(x.row.c, 0) + table[cells[1]]
+        if x.row.w == "w0":  # and the end, once a context
+            ends = lm_scoring._cells(pa.array([x.levels]))[0]
+            assert len(ends) == 3
+    ends = spark.createDataFrame([(c, c) for c in vocabulary[:25]], "c string, text string")
+    for x in lm_scoring.look_up(ends, counts, Scratch(spark, "sums"), {"c": ends.c}).collect():
+        sums[x.row.c] += table[lm_scoring._cells(pa.array([x.levels]))[0][1]]
+    assert len(sums) == 25 and all(abs(s - 1) < 0.1 for s in sums.values()) and abs(sum(sums.values()) / 25 - 1) < 0.02
+
+
+def test_lm_twice_occurring_texts_stand_apart(spark, lm):
+    """Texts that the corpus holds twice score higher a token than texts of the same words that it holds once or not."""
+    r = random.Random(9)
+    words = [f"v{i}" for i in range(3000)]
+    rows = [(i, " ".join(r.choices(words, k=80))) for i in range(800)]
+    rows += [(1000 + i, rows[i][1]) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    new = spark.createDataFrame([(5000 + i, " ".join(r.choices(words, k=80))) for i in range(40)], "doc_id long, text string")
+    out, _ = lm(df.unionByName(new), F.col("doc_id") < 5000)
+    a = {x.row.doc_id: x.score / x.n_tokens for x in out.collect()}
+    twice, once, never = [a[i] for i in range(40)], [a[i] for i in range(100, 800)], [a[5000 + i] for i in range(40)]
+    assert min(twice) > max(once) > max(never)
 
 
 def test_lm_filter():
     rng = np.random.default_rng(2)
     keys = rng.integers(0, 2**63, 5000, dtype=np.uint64) * np.uint64(2)
     counts = rng.integers(1, 400, 5000)
-    levels = np.bincount(lm_scoring.level_of(counts), minlength=lm_scoring.LEVELS)
-    f = lm_scoring.sized(levels, 0, 1 << 20)
-    f.bits = np.frombuffer(f.segment(keys, counts), np.uint8)
-    assert (f.counts(keys) >= lm_scoring.LEVEL_COUNT[lm_scoring.level_of(counts)] - 1e-9).all()  # errors only add
-    assert (f.counts(keys + np.uint64(1)) > 0).mean() < 0.1
-    small = lm_scoring.sized(levels, 0, 1 << 10)
-    assert small.least_level > 1 and small.size <= 8 << 10
+    f = lm_scoring.Filter.of(keys, counts)
+    got, levels = f.levels(keys), lm_scoring.level_of(counts)
+    assert (got >= levels).all() and (got > levels).mean() < 0.01  # errors only add
+    assert (f.levels(keys + np.uint64(1)) > 0).mean() < 0.01
+    head = lm_scoring.Filter.of(keys, counts, lm_scoring.HEAD_BITS, lm_scoring.HEAD_HASHES, 1)
+    assert (head.levels(keys) == levels).all() and not head.levels(keys + np.uint64(1)).any()
+    empty = lm_scoring.Filter.of(keys[:0], counts[:0])
+    assert not empty.levels(keys).any()
+
+
+def test_lm_memory_is_bounded():
+    """What is broadcast: at most FREQUENT words and pairs at HEAD_BITS bits a level, and LEVELS cubed numbers."""
+    worst = np.full(lm_scoring.FREQUENT, 1 << 40)
+    keys = np.arange(1, lm_scoring.FREQUENT + 1, dtype=np.uint64)
+    assert len(lm_scoring.Filter.of(keys, worst, lm_scoring.HEAD_BITS, lm_scoring.HEAD_HASHES, int(lm_scoring.level_of(np.array([1 << 24]))[0])).bits) < 20 << 20
+    assert 8 * lm_scoring.LEVELS**3 <= 2 << 20
 
 
 def test_token_prefix(texts, path):
