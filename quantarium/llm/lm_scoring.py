@@ -55,6 +55,9 @@ ASK_BYTES = 12 << 20
 RANGE_TOKENS = 3_000_000
 END = U(0xE0D0C0B0A0908071)
 LEVELS = 64
+#: A filter's least size: in fewer bits its hashes would repeat each other.
+LEAST_BITS = 1 << 12
+PAIR_BITS = 32
 WORD, PAIR = 1, 2
 
 
@@ -62,8 +65,24 @@ def level_of(counts: np.ndarray) -> np.ndarray:
     return np.minimum(1 + np.floor(np.log(np.maximum(counts, 1)) / math.log(BASE) + 1e-9), LEVELS - 1).astype(np.int64)
 
 
-def pair_keys(before: np.ndarray, word: np.ndarray) -> np.ndarray:
-    return mix(before * U(0xD6E8FEB86659FD93) + word)
+def pair_keys(before: np.ndarray, word: np.ndarray, bits: int) -> np.ndarray:
+    """Keys of pairs of neighbours: of their hash the range's bits and PAIR_BITS more.
+
+    A range has RANGE_TOKENS pairs or so at every corpus size, so another pair has the same key in
+    one case of a thousand or fewer, which is little beside the filter's own false hits.
+    """
+    return mix(before * U(0xD6E8FEB86659FD93) + word) >> U(64 - PAIR_BITS - bits) << U(64 - PAIR_BITS - bits)
+
+
+def packed(keys: np.ndarray, kind: int, bits: int) -> bytes:
+    """Keys of one range: eight bytes a word, four a pair."""
+    return keys.astype("<u8").tobytes() if kind == WORD else (keys << U(bits) >> U(64 - PAIR_BITS)).astype("<u4").tobytes()
+
+
+def unpacked(blob: pa.Scalar, kind: int, place: int, bits: int) -> np.ndarray:
+    if kind == WORD:
+        return np.frombuffer(blob.as_buffer(), "<u8")
+    return (np.frombuffer(blob.as_buffer(), "<u4").astype(np.uint64) << U(64 - PAIR_BITS - bits)) | (U(place) << U(64 - bits))
 
 
 def token_stream(lo: int, hi: int, offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -123,33 +142,34 @@ class Filter:
     @staticmethod
     def of(keys: np.ndarray, counts: np.ndarray, bits_each: int = BITS_EACH, hashes: int = HASHES, least: int = 1) -> Filter:
         levels = level_of(counts)
-        size = max(8, -(-int((levels - least + 1).sum()) * bits_each // 8) * 8)
+        size = max(LEAST_BITS, -(-int((levels - least + 1).sum()) * bits_each // 8) * 8)
         held = np.zeros(size, dtype=bool)
         for level in range(least, int(levels.max(initial=0)) + 1):
-            a, b = Filter._hashes(keys[levels >= level], level)
+            own = Filter._hashes(keys[levels >= level], level)
             for i in range(hashes):
-                held[Filter._place(a, b, i, size)] = True
+                held[Filter._place(*own, i, size)] = True
         return Filter(size, np.packbits(held), hashes, least)
 
     @staticmethod
-    def _hashes(keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    def _hashes(keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         a = mix(keys + U(level * 0x9FB21C651E98DF25 % (1 << 64)))
-        return a, mix(a ^ U(0x5851F42D4C957F2D)) | U(1)
+        b = mix(a ^ U(0x5851F42D4C957F2D))
+        return a, b, mix(b)
 
     @staticmethod
-    def _place(a: np.ndarray, b: np.ndarray, i: int, size: int) -> np.ndarray:
-        return (((a + b * U(i)) >> U(32)) * U(size)) >> U(32)
+    def _place(a: np.ndarray, b: np.ndarray, c: np.ndarray, i: int, size: int) -> np.ndarray:
+        return (((a + (b + c * U(i)) * U(i)) >> U(32)) * U(size)) >> U(32)
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """Levels by probing one after the other; 0 where the first is missing."""
         found = np.zeros(len(keys), dtype=np.uint8)
         active = np.arange(len(keys))
         for level in range(self.least, LEVELS):
-            a, b = self._hashes(keys[active], level)
+            a, b, c = self._hashes(keys[active], level)
             for i in range(self.hashes):
-                at = self._place(a, b, i, self.size)
+                at = self._place(a, b, c, i, self.size)
                 hit = (self.bits[at >> U(3)] >> (U(7) - (at & U(7))).astype(np.uint8)) & 1 == 1
-                active, a, b = active[hit], a[hit], b[hit]
+                active, a, b, c = active[hit], a[hit], b[hit], c[hit]
             if not len(active):
                 break
             found[active] = level
@@ -166,7 +186,7 @@ def _counting(bits: int):
             cells = [(r, i, j) for r, (i, j) in enumerate(zip(at, at[1:])) if j > i]
             counts = counts.astype("<u4")
             yield pa.RecordBatch.from_arrays(
-                [pa.array([kind] * len(cells), pa.int32()), pa.array([r for r, _, _ in cells], pa.int32()), pa.array([keys[i:j].tobytes() for _, i, j in cells], pa.binary()), pa.array([_thin(counts[i:j]) for _, i, j in cells], pa.binary())],
+                [pa.array([kind] * len(cells), pa.int32()), pa.array([r for r, _, _ in cells], pa.int32()), pa.array([packed(keys[i:j], kind, bits) for _, i, j in cells], pa.binary()), pa.array([_thin(counts[i:j]) for _, i, j in cells], pa.binary())],
                 ["kind", "range", "keys", "counts"],
             )
 
@@ -177,7 +197,7 @@ def _counting(bits: int):
             for lo, hi in arrow_text.chunks(offsets):
                 keys, _ = token_stream(lo, hi, offsets, data)
                 words.append(keys)
-                pairs.append(pair_keys(previous(keys), keys))
+                pairs.append(pair_keys(previous(keys), keys, bits))
                 size += offsets[hi] - offsets[lo]
                 if size >= FLUSH_BYTES:
                     yield from flush(words, pairs)
@@ -191,10 +211,10 @@ def _counting(bits: int):
 _SEGMENTS = "kind int, range int, size long, bits binary, keys binary, counts binary, total long, distinct long, often_keys array<long>, often_counts array<long>, level_keys array<long>, level_counts array<long>"
 
 
-def _summing(table: pa.Table) -> pa.Table:
+def _summing(table: pa.Table, bits: int) -> pa.Table:
     """One key range: its segment, exact counts (of words), sums by level, and the keys that may belong to the head."""
     kind, place = table.column("kind")[0].as_py(), table.column("range")[0].as_py()
-    keys = np.concatenate([np.frombuffer(x.as_buffer(), "<u8") for x in table.column("keys")])
+    keys = np.concatenate([unpacked(x, kind, place, bits) for x in table.column("keys")])
     counts = np.concatenate([_thick(x.as_py()) for x in table.column("counts")])
     keys, counts = summed(keys, counts)
     total, levels = int(counts.sum()), level_of(counts)
@@ -232,7 +252,8 @@ def count(documents: DataFrame, training: Column, scratch: Scratch, text_col: st
     size = texts.agg(F.sum(F.octet_length("text")), F.count("*")).first()
     bits = max(2, math.ceil(math.log2(max(1, ((size[0] or 0) / 6 + size[1]) / RANGE_TOKENS))))
     blobs = texts.mapInArrow(arrow_text.tidied(_counting(bits)), "kind int, range int, keys binary, counts binary")
-    table = scratch.keep(blobs.groupBy("kind", "range").applyInArrow(arrow_text.tidied_group(_summing), _SEGMENTS), "segments")
+    table = scratch.keep(blobs.groupBy("kind", "range").applyInArrow(arrow_text.tidied_group(lambda t: _summing(t, bits)), _SEGMENTS), "segments")
+    scratch.drop()
     totals = table.groupBy("kind").agg(F.sum("total").alias("total"), F.sum("distinct").alias("distinct"))
     totals = {r["kind"]: (r["total"], r["distinct"]) for r in totals.collect()}  # one row a kind
     tokens, distinct = totals.get(WORD, (0, 0))
@@ -259,24 +280,25 @@ def look_up(documents: DataFrame, counts: Counts, scratch: Scratch, keep: dict[s
     ship_package(spark)
     shared = spark.sparkContext.broadcast(counts.head())
     df = documents.select(F.struct(*(c.alias(n) for n, c in keep.items())).alias("row"), documents[text_col].cast("string").alias("text"))
+    bits = counts.range_bits
     row_field = StructType.fromJson(json.loads(df.schema.json().replace('"nullable":false', '"nullable":true')))["row"]  # as Arrow gives it back
 
     def ask(batches):
-        bits, heads, *_ = shared.value
+        _, heads, *_ = shared.value
         part, flushed, size, tokens = TaskContext.get().partitionId(), 0, 0, []
         kept = None
 
         def questions(number: int):
             keys = np.concatenate(tokens)
             kinds, ranges, blobs = [], [], []
-            for kind, own in ((WORD, keys), (PAIR, pair_keys(previous(keys), keys))):
+            for kind, own in ((WORD, keys), (PAIR, pair_keys(previous(keys), keys, bits))):
                 own = np.unique(own)
                 own = own[heads[kind].levels(own) == 0]
                 at = _ranges(own, bits)
                 cells = [(r, i, j) for r, (i, j) in enumerate(zip(at, at[1:])) if j > i]
                 kinds += [kind] * len(cells)
                 ranges += [r for r, _, _ in cells]
-                blobs += [own[i:j].tobytes() for _, i, j in cells]
+                blobs += [packed(own[i:j], kind, bits) for _, i, j in cells]
             n = len(kinds)
             return pa.RecordBatch.from_arrays([pa.array([number] * n, pa.int64()), pa.nulls(n, kept.column(0).type), pa.nulls(n, kept.column(1).type), pa.array(kinds, pa.int32()), pa.array(ranges, pa.int32()), pa.array(blobs, pa.binary())], names)
 
@@ -305,8 +327,8 @@ def look_up(documents: DataFrame, counts: Counts, scratch: Scratch, keep: dict[s
             f = Filter(segment.column("size")[0].as_py(), np.frombuffer(segment.column("bits")[0].as_py(), np.uint8))
             if segment.column("keys")[0].is_valid:
                 held, exact = (np.frombuffer(segment.column(c)[0].as_py(), t) for c, t in (("keys", "<u8"), ("counts", "<i8")))
-        for x in questions.column("keys"):
-            keys = np.frombuffer(x.as_buffer(), "<u8")
+        for x, kind, place in zip(questions.column("keys"), out["kind"], out["range"]):
+            keys = unpacked(x, kind, place, bits)
             out["levels"].append((f.levels(keys) if segment.num_rows else np.zeros(len(keys), np.uint8)).tobytes())
             if held is None:
                 out["counts"].append(_thin(np.zeros(len(keys), "<u4")) if out["kind"][0] == WORD else None)
@@ -319,6 +341,7 @@ def look_up(documents: DataFrame, counts: Counts, scratch: Scratch, keep: dict[s
     segments = counts.table.select("kind", "range", "size", "bits", "keys", "counts")
     answers = questions.groupBy("kind", "range").cogroup(segments.groupBy("kind", "range")).applyInArrow(arrow_text.tidied_pair(answer), "batch long, kind int, range int, levels binary, counts binary")
     answers = scratch.keep(answers, "answers")
+    scratch.drop()
 
     tokens_and_words = math.log10(counts.tokens + counts.distinct + 1)
 
@@ -355,11 +378,11 @@ def look_up(documents: DataFrame, counts: Counts, scratch: Scratch, keep: dict[s
         codes[1:, 1] = codes[:-1, 2]
         codes[0, 1] = found[np.searchsorted(distinct, END)]  # other texts' first tokens stand behind an end already
         del distinct, at, n
-        _, _, found, at = levels_of(PAIR, pair_keys(previous(keys), keys))
+        _, _, found, at = levels_of(PAIR, pair_keys(previous(keys), keys, bits))
         codes[:, 0] = found[at]
         blob = codes.tobytes()
-        packed = [blob[3 * i : 3 * j] for i, j in zip(first.tolist(), first[1:].tolist())]
-        return pa.table({"row": texts.column("row"), "n_tokens": pa.array(sizes, pa.int64()), "n_known": pa.array(known, pa.int64()), "base_score": pa.array(logs, pa.float64()), "levels": pa.array(packed, pa.binary())})
+        blobs = [blob[3 * i : 3 * j] for i, j in zip(first.tolist(), first[1:].tolist())]
+        return pa.table({"row": texts.column("row"), "n_tokens": pa.array(sizes, pa.int64()), "n_known": pa.array(known, pa.int64()), "base_score": pa.array(logs, pa.float64()), "levels": pa.array(blobs, pa.binary())})
 
     texts = asked.where("kind IS NULL").select("batch", "row", "text")
     schema = StructType([row_field, StructField("n_tokens", LongType()), StructField("n_known", LongType()), StructField("base_score", DoubleType()), StructField("levels", BinaryType())])
