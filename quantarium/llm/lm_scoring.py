@@ -75,14 +75,18 @@ def pair_keys(before: np.ndarray, word: np.ndarray, bits: int) -> np.ndarray:
 
 
 def packed(keys: np.ndarray, kind: int, bits: int) -> bytes:
-    """Keys of one range: eight bytes a word, four a pair."""
-    return keys.astype("<u8").tobytes() if kind == WORD else (keys << U(bits) >> U(64 - PAIR_BITS)).astype("<u4").tobytes()
+    """Ordered keys of one range: eight bytes a word; of pairs the steps from key to key, all first bytes, all second bytes, and so on."""
+    if kind == WORD:
+        return keys.astype("<u8").tobytes()
+    own = keys << U(bits) >> U(64 - PAIR_BITS)
+    return np.diff(own, prepend=U(0)).astype("<u4").view("u1").reshape(-1, 4).T.tobytes()
 
 
 def unpacked(blob: pa.Scalar, kind: int, place: int, bits: int) -> np.ndarray:
     if kind == WORD:
         return np.frombuffer(blob.as_buffer(), "<u8")
-    return (np.frombuffer(blob.as_buffer(), "<u4").astype(np.uint64) << U(64 - PAIR_BITS - bits)) | (U(place) << U(64 - bits))
+    steps = np.ascontiguousarray(np.frombuffer(blob.as_buffer(), "u1").reshape(4, -1).T).view("<u4").ravel()
+    return (np.cumsum(steps, dtype=np.uint64) << U(64 - PAIR_BITS - bits)) | (U(place) << U(64 - bits))
 
 
 def token_stream(lo: int, hi: int, offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -245,15 +249,18 @@ class Counts:
         return self.range_bits, self.heads, self.frequent, self.frequent_counts
 
 
-def count(documents: DataFrame, training: Column, scratch: Scratch, text_col: str = "text") -> Counts:
-    """Word and pair counts of the texts where `training` holds."""
-    ship_package(documents.sparkSession)
-    texts = documents.where(training).select(F.coalesce(documents[text_col], F.lit("")).alias("text"))
+def _segments(texts: DataFrame, scratch: Scratch) -> tuple[DataFrame, int]:
     size = texts.agg(F.sum(F.octet_length("text")), F.count("*")).first()
     bits = max(2, math.ceil(math.log2(max(1, ((size[0] or 0) / 6 + size[1]) / RANGE_TOKENS))))
     blobs = texts.mapInArrow(arrow_text.tidied(_counting(bits)), "kind int, range int, keys binary, counts binary")
-    table = scratch.keep(blobs.groupBy("kind", "range").applyInArrow(arrow_text.tidied_group(lambda t: _summing(t, bits)), _SEGMENTS), "segments")
-    scratch.drop()
+    return scratch.keep(blobs.groupBy("kind", "range").applyInArrow(arrow_text.tidied_group(lambda t: _summing(t, bits)), _SEGMENTS), "segments"), bits
+
+
+def count(documents: DataFrame, training: Column, scratch: Scratch, text_col: str = "text") -> Counts:
+    """Word and pair counts of the texts where `training` holds."""
+    ship_package(documents.sparkSession)
+    table, bits = _segments(documents.where(training).select(F.coalesce(documents[text_col], F.lit("")).alias("text")), scratch)
+    scratch.drop()  # shuffle files of the counts
     totals = table.groupBy("kind").agg(F.sum("total").alias("total"), F.sum("distinct").alias("distinct"))
     totals = {r["kind"]: (r["total"], r["distinct"]) for r in totals.collect()}  # one row a kind
     tokens, distinct = totals.get(WORD, (0, 0))
@@ -271,6 +278,32 @@ def count(documents: DataFrame, training: Column, scratch: Scratch, text_col: st
     return Counts(table, bits, tokens, distinct, heads, keys[kinds == WORD], n[kinds == WORD], means)
 
 
+def _answers(asked: DataFrame, counts: Counts) -> DataFrame:
+    """Levels (and words' exact counts) of the keys of each batch and range, in their order."""
+    bits = counts.range_bits
+
+    def answer(questions: pa.Table, segment: pa.Table) -> pa.Table:
+        out: dict[str, list] = {"batch": questions.column("batch").to_pylist(), "kind": questions.column("kind").to_pylist(), "range": questions.column("range").to_pylist(), "levels": [], "counts": []}
+        held = exact = None
+        if segment.num_rows:
+            f = Filter(segment.column("size")[0].as_py(), np.frombuffer(segment.column("bits")[0].as_py(), np.uint8))
+            if segment.column("keys")[0].is_valid:
+                held, exact = (np.frombuffer(segment.column(c)[0].as_py(), t) for c, t in (("keys", "<u8"), ("counts", "<i8")))
+        for x, kind, place in zip(questions.column("keys"), out["kind"], out["range"]):
+            keys = unpacked(x, kind, place, bits)
+            out["levels"].append((f.levels(keys) if segment.num_rows else np.zeros(len(keys), np.uint8)).tobytes())
+            if held is None:
+                out["counts"].append(_thin(np.zeros(len(keys), "<u4")) if out["kind"][0] == WORD else None)
+            else:
+                j = np.minimum(np.searchsorted(held, keys), len(held) - 1)
+                out["counts"].append(_thin(np.where(held[j] == keys, exact[j], 0).astype("<u4")))
+        return pa.table({"batch": pa.array(out["batch"], pa.int64()), "kind": pa.array(out["kind"], pa.int32()), "range": pa.array(out["range"], pa.int32()), "levels": pa.array(out["levels"], pa.binary()), "counts": pa.array(out["counts"], pa.binary())})
+
+    questions = asked.where("kind IS NOT NULL").select("batch", "kind", "range", "keys")
+    segments = counts.table.select("kind", "range", "size", "bits", "keys", "counts")
+    return questions.groupBy("kind", "range").cogroup(segments.groupBy("kind", "range")).applyInArrow(arrow_text.tidied_pair(answer), "batch long, kind int, range int, levels binary, counts binary")
+
+
 def look_up(documents: DataFrame, counts: Counts, scratch: Scratch, keep: dict[str, Column], text_col: str = "text") -> DataFrame:
     """row (a struct of `keep`), n_tokens, n_known, base_score and levels of each text.
 
@@ -320,29 +353,8 @@ def look_up(documents: DataFrame, counts: Counts, scratch: Scratch, keep: dict[s
     schema = StructType([StructField("batch", LongType()), row_field, StructField("text", StringType()), StructField("kind", IntegerType()), StructField("range", IntegerType()), StructField("keys", BinaryType())])
     asked = scratch.keep(df.mapInArrow(arrow_text.tidied(ask), schema), "asked")
 
-    def answer(questions: pa.Table, segment: pa.Table) -> pa.Table:
-        out: dict[str, list] = {"batch": questions.column("batch").to_pylist(), "kind": questions.column("kind").to_pylist(), "range": questions.column("range").to_pylist(), "levels": [], "counts": []}
-        held = exact = None
-        if segment.num_rows:
-            f = Filter(segment.column("size")[0].as_py(), np.frombuffer(segment.column("bits")[0].as_py(), np.uint8))
-            if segment.column("keys")[0].is_valid:
-                held, exact = (np.frombuffer(segment.column(c)[0].as_py(), t) for c, t in (("keys", "<u8"), ("counts", "<i8")))
-        for x, kind, place in zip(questions.column("keys"), out["kind"], out["range"]):
-            keys = unpacked(x, kind, place, bits)
-            out["levels"].append((f.levels(keys) if segment.num_rows else np.zeros(len(keys), np.uint8)).tobytes())
-            if held is None:
-                out["counts"].append(_thin(np.zeros(len(keys), "<u4")) if out["kind"][0] == WORD else None)
-            else:
-                j = np.minimum(np.searchsorted(held, keys), len(held) - 1)
-                out["counts"].append(_thin(np.where(held[j] == keys, exact[j], 0).astype("<u4")))
-        return pa.table({"batch": pa.array(out["batch"], pa.int64()), "kind": pa.array(out["kind"], pa.int32()), "range": pa.array(out["range"], pa.int32()), "levels": pa.array(out["levels"], pa.binary()), "counts": pa.array(out["counts"], pa.binary())})
-
-    questions = asked.where("kind IS NOT NULL").select("batch", "kind", "range", "keys")
-    segments = counts.table.select("kind", "range", "size", "bits", "keys", "counts")
-    answers = questions.groupBy("kind", "range").cogroup(segments.groupBy("kind", "range")).applyInArrow(arrow_text.tidied_pair(answer), "batch long, kind int, range int, levels binary, counts binary")
-    answers = scratch.keep(answers, "answers")
-    scratch.drop()
-
+    answers = scratch.keep(_answers(asked, counts), "answers")
+    scratch.drop()  # shuffle files of the questions
     tokens_and_words = math.log10(counts.tokens + counts.distinct + 1)
 
     def gather(texts: pa.Table, levels: pa.Table) -> pa.Table:
