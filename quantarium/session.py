@@ -71,12 +71,16 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
-        """Delete tables that no plan reads any more, and let Spark drop their shuffle files."""
+        """Delete tables that no plan reads any more, and let Spark drop the shuffle files of plans that are gone.
+
+        Spark does so when the driver's memory is cleaned; it holds the last job until another one has run.
+        """
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         for name in names:
             path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
             path.getFileSystem(conf).delete(path, True)
+        self.spark.range(1).count()
         jvm.System.gc()
 
 
