@@ -158,22 +158,30 @@ class Filter:
     def _hashes(keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         a = mix(keys + U(level * 0x9FB21C651E98DF25 % (1 << 64)))
         b = mix(a ^ U(0x5851F42D4C957F2D))
-        return a, b, mix(b)
+        return a, b, (b << U(31)) | (b >> U(33))
 
     @staticmethod
     def _place(a: np.ndarray, b: np.ndarray, c: np.ndarray, i: int, size: int) -> np.ndarray:
         return (((a + (b + c * U(i)) * U(i)) >> U(32)) * U(size)) >> U(32)
 
+    def _has(self, own: tuple, i: int) -> np.ndarray:
+        at = self._place(*own, i, self.size)
+        return (self.bits[at >> U(3)] >> (U(7) - (at & U(7))).astype(np.uint8)) & 1 == 1
+
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """Levels by probing one after the other; 0 where the first is missing."""
         found = np.zeros(len(keys), dtype=np.uint8)
         active = np.arange(len(keys))
         for level in range(self.least, LEVELS):
-            a, b, c = self._hashes(keys[active], level)
-            for i in range(self.hashes):
-                at = self._place(a, b, c, i, self.size)
-                hit = (self.bits[at >> U(3)] >> (U(7) - (at & U(7))).astype(np.uint8)) & 1 == 1
-                active, a, b, c = active[hit], a[hit], b[hit], c[hit]
+            own = self._hashes(keys[active], level)
+            hit = np.flatnonzero(self._has(own, 0) & self._has(own, 1))  # most that are missing stop here
+            own, active = tuple(x[hit] for x in own), active[hit]
+            hit = np.ones(len(active), dtype=bool)
+            for i in range(2, self.hashes):
+                hit &= self._has(own, i)
+                if i % 8 == 7 and i + 1 < self.hashes and not hit.all():
+                    own, active, hit = tuple(x[hit] for x in own), active[hit], hit[hit]
+            active = active[hit]
             if not len(active):
                 break
             found[active] = level
