@@ -18,6 +18,8 @@ share a band is lost. Confirmed links become components by alternating large-sta
 Only ids that are candidates have their texts joined; a bit map of fixed size (BITMAP_BITS) sorts
 out the others before the shuffle, whatever their number; its false hits only cost shuffle.
 
+Ids are numbers that fit into 64 bits, or texts of such numbers; others fail the job.
+
 Defined results: null texts and texts without words are empty sets, linked with nothing; a text of
 fewer words than a shingle is one shingle; repeated rows fall into one component; rows of one id
 with different texts are one node; a null id is its own component and is kept.
@@ -144,26 +146,26 @@ def _shingles(text: str | None, k: int) -> set:
     return {tuple(words)} if 0 < len(words) < k else set(zip(*(words[i:] for i in range(k))))
 
 
-def _chooser(wanted: DataFrame, names: tuple[str, ...]):
-    """A function that keeps of a batch the rows whose id's bit is set by a column of `wanted`: all that are there and few others."""
-    bits = BITMAP_BITS
+def _placed(ids: DataFrame) -> DataFrame:
+    return ids.withColumn("bit", F.pmod(F.xxhash64("id"), F.lit(BITMAP_BITS)))
 
-    def mark(batches):  # one bit map a task
-        out = np.zeros(bits, dtype=bool)
-        for batch in batches:
-            for c in range(batch.num_columns):
-                out[mix(batch.column(c).to_numpy(zero_copy_only=False).view(np.uint64)) % U(bits)] = True
-        yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(out))], ["bit"])
 
-    some_bits = np.zeros(bits, dtype=bool)
-    some_bits[wanted.select(*names).mapInArrow(arrow_text.tidied(mark), "bit long").distinct().toArrow().column(0).to_numpy()] = True
-    packed = wanted.sparkSession.sparkContext.broadcast(np.packbits(some_bits))
+def _chooser(wanted: DataFrame, names: tuple[str, ...]):
+    """A function that keeps of a batch (id, text, bit) the rows whose bit is set by an id of `wanted`: all that are there and few others.
+
+    Tasks send words of 64 bits or-ed together, so that no more than BITMAP_BITS / 64 of them come
+    from a task or reach the driver, however many ids there are.
+    """
+    ids = _placed(wanted.select(F.explode(F.array(*names)).alias("id")))
+    words = ids.select(F.expr("bit div 64").alias("word"), F.expr("shiftleft(1L, cast(bit % 64 as int))").alias("bits")).groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    held = np.zeros(BITMAP_BITS // 64, dtype=np.int64)
+    held[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    shared = wanted.sparkSession.sparkContext.broadcast(held)
 
     def choose(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids = batch.column(0)
-        at = mix(ids.fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64)) % U(bits)
-        hit = (packed.value[at >> U(3)] >> (U(7) - (at & U(7))).astype(np.uint8)) & 1 == 1
-        return batch.filter(pa.array(hit & ids.is_valid().to_numpy(zero_copy_only=False)))
+        bit = batch.column(2).to_numpy(zero_copy_only=False)
+        hit = (shared.value[bit >> 6] >> (bit & 63)) & 1 == 1
+        return batch.select([0, 1]).filter(pa.array(hit & batch.column(0).is_valid().to_numpy(zero_copy_only=False)))
 
     return choose
 
@@ -175,7 +177,7 @@ def _picked(documents: DataFrame, wanted: DataFrame, names: tuple[str, ...]) ->
         for batch in batches:
             yield choose(batch)
 
-    return documents.mapInArrow(arrow_text.tidied(pick), "id long, text string")
+    return _placed(documents).mapInArrow(arrow_text.tidied(pick), "id long, text string")
 
 
 def _confirmed(pairs: DataFrame, documents: DataFrame, scratch: Scratch, name: str, shingle: int, percent: int) -> DataFrame:
@@ -219,7 +221,7 @@ def _sets(documents: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
                 sets += [np.unique(grams[i:j]).tobytes() for i, j in zip(where, where[1:])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["rep", "set"])
 
-    return documents.mapInArrow(arrow_text.tidied(run), "rep long, set binary").join(wanted, "rep", "left_semi")
+    return _placed(documents).mapInArrow(arrow_text.tidied(run), "rep long, set binary").join(wanted, "rep", "left_semi")
 
 
 def _across(members: DataFrame, groups: DataFrame, sets: DataFrame, least: int, percent: int) -> DataFrame:
