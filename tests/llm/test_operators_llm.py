@@ -457,3 +457,29 @@ def test_fuzzy_containment(spark):
     assert whole == {1: 30, 2: 0, 3: 0}
     exact = {r.row.doc_id: r.n_hit for r in decontaminate.find_passages(docs, bench).collect()}
     assert exact == {1: 29, 2: 10, 3: 0}
+
+
+def test_index_memory_and_speed():
+    """Eight megabytes of benchmark text, a block: an index of ten times that, built in seconds."""
+    import pickle
+    import time
+
+    r = np.random.default_rng(3)
+    words = np.array([f"w{i:05d}" for i in range(50_000)])
+    rows = [(str(i), " ".join(words[r.integers(0, len(words), 1000)])) for i in range(1200)]
+    start = time.perf_counter()
+    records = decontaminate.Records.of(rows, 10)
+    counts = {k: (keys, np.arange(len(keys)) % 7) for k, keys in records.tables(5).items()}
+    index = decontaminate.Index(records, counts, 5, 1.0)
+    assert sum(len(t) for _, t in rows) > 8_000_000 and time.perf_counter() - start < 30
+    assert len(pickle.dumps(index)) < 110 << 20
+    assert len(records.first) == 1200 * 991
+
+
+def test_bit_map_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(near_duplicates, "BITMAP_BITS", 1 << 10)
+    wanted = spark.range(0, 3000, 3).select(F.col("id").alias("u"), (F.col("id") + 30000).alias("v"))
+    choose = near_duplicates._chooser(wanted, ("u", "v"))
+    ids = near_duplicates._placed(spark.range(0, 6000).select("id", F.lit("t").alias("text"))).toArrow()
+    kept = {x for b in ids.to_batches() for x in choose(b).column(0).to_pylist()}
+    assert set(range(0, 3000, 3)) <= kept  # a full map keeps all and loses none
