@@ -38,19 +38,23 @@ def harmonize(c: Column) -> Column:
     return F.regexp_replace(F.upper(F.trim(c)), r"(?U)[_\s./\\]", "")
 
 
+def _upper(c: Column) -> Column:
+    return F.upper(F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)^\s+|\s+$", ""))
+
+
 def prefix_key(c: Column) -> Column:
     """Upper case without separators; '' for null, blank and 'nan'."""
-    up = F.upper(F.trim(F.coalesce(c, F.lit(""))))
-    return F.when(up.isin("", "NAN"), F.lit("")).otherwise(F.regexp_replace(up, _SEPARATOR, ""))
+    up = _upper(c)
+    return F.when(up.isin("", "NAN"), F.lit("")).otherwise(F.regexp_replace(up, f"(?U){_SEPARATOR}", ""))
 
 
 def strain_key(c: Column) -> Column:
     """prefix_key without a collection's acronym where a designator follows it."""
-    up = F.upper(F.trim(F.coalesce(c, F.lit(""))))
+    up = _upper(c)
     numbered = "|".join(sorted(NUMBERED_COLLECTIONS, key=len, reverse=True))
     lettered = "|".join(LETTERED_COLLECTIONS)
     acronym = rf"\b(?:(?:{numbered})(?={_SEPARATOR}*(?:[A-Z]+{_SEPARATOR}*)?\d)|(?:{lettered})(?={_SEPARATOR}*[A-Z0-9])){_SEPARATOR}*"
-    bare = F.regexp_replace(F.regexp_replace(up, acronym, ""), _SEPARATOR, "")
+    bare = F.regexp_replace(F.regexp_replace(up, f"(?U){acronym}", ""), f"(?U){_SEPARATOR}", "")
     return F.when(up.isin("", "NAN"), F.lit("")).when(bare == "", prefix_key(c)).otherwise(bare)
 
 
@@ -181,3 +185,26 @@ def context(**parts: Column) -> Column:
     """Lines `name: value` of the values that are there; long ones end in '...' after 1000 characters."""
     lines = (F.when(c.isNotNull(), F.concat(F.lit(f"{n}: "), F.when(F.length(c.cast("string")) > 1000, F.concat(F.substring(c.cast("string"), 1, 1000), F.lit("..."))).otherwise(c.cast("string")))) for n, c in parts.items())
     return F.concat_ws("\n", *lines)
+
+
+#: Cells that mean true or false.
+TRUE, FALSE = ["true", "t", "yes", "y", "1"], ["false", "f", "no", "n", "0"]
+
+
+def truth(c: Column) -> Column:
+    """True or false of a cell's text, whatever its case and blanks; null for anything else."""
+    word = F.lower(F.trim(c.cast("string")))
+    return F.when(word.isin(TRUE), True).when(word.isin(FALSE), False)
+
+
+#: What a class of organisms is called, and what is measured on it.
+ORGANISM_CLASSES = {"fungus": "antifungal activity, growth inhibition", "parasite": "antiparasitic activity, growth inhibition", "bacteria": "antibacterial activity, growth inhibition, MIC determination"}
+
+
+def class_template(organism: Column, organism_id: Column, organism_class: Column, targets: Column) -> Column:
+    """A paragraph on an organism: its id, its class with what is measured on it, and its known targets (array of id, name, synonyms)."""
+    kinds = F.create_map(*(F.lit(x) for pair in ORGANISM_CLASSES.items() for x in pair))
+    known = F.coalesce(F.try_element_at(kinds, organism_class), F.lit(ORGANISM_CLASSES["bacteria"]))
+    lines = F.transform(targets, lambda t: F.concat(F.lit("- "), t["id"], F.lit(": "), t["name"], F.when(F.size(t["synonyms"]) > 0, F.concat(F.lit(" (also "), F.array_join(t["synonyms"], ", "), F.lit(")"))).otherwise("")))
+    first = F.format_string("%s (%s), id %s. Measured: %s.", organism, F.coalesce(organism_class, F.lit("bacteria")), F.coalesce(organism_id, F.lit("UNKNOWN")), known)
+    return F.concat_ws("\n", first, F.when(F.size(targets) > 0, F.array_join(lines, "\n")))

@@ -79,11 +79,17 @@ def occurrences(rows: DataFrame, structure: str = "smiles") -> DataFrame:
     return rows.where("bin = 1").groupBy(structure).agg(F.count("*").alias("n"))
 
 
-def prune(pairs: DataFrame, sizes: dict, score, least: float, loss: float = 0.02, checks: int = 200) -> list:
-    """Keys dropped from a pool: discordant pairs in ascending agreement lose their smaller member while the score holds.
+def prune(pairs: DataFrame, sizes: dict, score, least: float, loss: float = 0.02, checks: int = 200, policy: str = "largest", agreement: dict | None = None) -> list:
+    """Keys dropped from a pool: discordant pairs in ascending agreement lose a member while the score holds.
 
-    score(dropped) is the pool's score without these keys; pairs are a pool's few, so the loop is the driver's.
+    The policy `largest` keeps a pair's larger member, `medoid` the one with the higher mean agreement
+    with its pool (then the larger). score(dropped) is the pool's score without these keys, or None if
+    it can't be had: then the member stays. Each check fits a model, so a pool gets at most `checks` of
+    them, those of the least agreement; the loop is the driver's.
     """
+    if policy not in ("largest", "medoid"):
+        raise ValueError(f"unknown policy {policy}")
+    rank = (lambda k: ((agreement or {}).get(k, -1.0), sizes[k], k)) if policy == "medoid" else (lambda k: (sizes[k], k))
     dropped: list = []
     base, done = score(dropped), 0
     for r in pairs.where(F.col("agreement") < least).orderBy("agreement", "key_1", "key_2").limit(checks).collect():
@@ -91,9 +97,9 @@ def prune(pairs: DataFrame, sizes: dict, score, least: float, loss: float = 0.02
         if a in dropped or b in dropped or done >= checks:
             continue
         done += 1
-        loser = min((a, b), key=lambda k: (sizes[k], k))
+        loser = min((a, b), key=rank)
         now = score([*dropped, loser])
-        if base - now <= loss:
+        if now is not None and (base is None or base - now <= loss):
             dropped.append(loser)
             base = now
     return dropped

@@ -20,8 +20,8 @@ def value_counts(df: DataFrame, *keys: Column | str) -> DataFrame:
 
 def only_one(c: str) -> Column:
     """The group's one value, null counting as a value; an error if it has several."""
-    n = F.count_distinct(c) + F.max(F.col(c).isNull().cast("int"))
-    return F.when(n == 1, F.min(c)).otherwise(F.raise_error(F.lit(f"{c} has several values in a group")))
+    one = (F.count(c) == 0) | ((F.count(c) == F.count("*")) & (F.min(c) == F.max(c)))
+    return F.when(one, F.min(c)).otherwise(F.raise_error(F.lit(f"{c} has several values in a group")))
 
 
 def triplet_summary(df: DataFrame, constants: list[str], universe: int) -> DataFrame:
@@ -117,5 +117,23 @@ def funnel(stages: list[tuple[str, DataFrame]], keys: list[str]) -> DataFrame:
     return out
 
 
-def square_matrix(pairs: DataFrame, names: list[str], metric: str) -> DataFrame:
+def square_matrix(pairs: DataFrame, names: list, metric: str, most: int = 10_000) -> DataFrame:
+    """A row a key_1 with a column for each name: names are endpoints, an error above `most` of them."""
+    if len(names) > most:
+        raise ValueError(f"a matrix has at most {most} columns")
     return pairs.groupBy("key_1").pivot("key_2", names).agg(F.first(metric))
+
+
+def approximate(df: DataFrame, keys: list[str], member: str, value: str, error: float = 0.02) -> DataFrame:
+    """Sketches instead of exact sets: distinct members, and the median, within about `error`."""
+    return df.groupBy(*keys).agg(F.approx_count_distinct(member, error).alias("members"), F.percentile_approx(value, 0.5, int(1 / error) * 100).alias("median"))
+
+
+def steps(df: DataFrame, key: str, order: str, value: str, parts: int = 4, reach: int = 3600) -> DataFrame:
+    """For each row: the values before and behind it, its quarter and percent rank, and the sum of the hour (`reach` seconds) up to it."""
+    w = Window.partitionBy(key).orderBy(order, "event_id")
+    near = Window.partitionBy(key).orderBy(F.unix_timestamp(order)).rangeBetween(-reach, 0)
+    return df.select(
+        "event_id", key, F.lag(value).over(w).alias("before"), F.lead(value).over(w).alias("behind"), F.ntile(parts).over(w).alias("part"),
+        F.percent_rank().over(w).alias("share"), F.sum(value).over(near).alias("near"),
+    )

@@ -103,7 +103,6 @@ def passes_gates(limits: Limits) -> Column:
 
 
 #: Later outcomes win over earlier ones of lower rank; a success stays.
-PRECEDENCE = ["not_considered", "no_expert_cutoff", "insufficient_compatible_assays", "group_qualified", "insufficient_fractional_contribution", "insufficient_compounds", "insufficient_positives", "auroc_below", "successfully_merged"]
 
 
 def resolved_reasons(events: DataFrame, key: str) -> DataFrame:
@@ -116,16 +115,22 @@ def resolved_reasons(events: DataFrame, key: str) -> DataFrame:
     return events.groupBy(key).agg(F.max_by("reason", F.struct(rank.alias("rank"), (-F.col("step")).alias("first"))).alias("reason"))
 
 
+#: Datasets of an entity that one walk may hold.
+MOST_DATASETS = 10_000
+
+
 def greedy_distinct(datasets: DataFrame, pairs: DataFrame, limits: Limits) -> DataFrame:
     """(name, kept): datasets in their order (place) unless alike to one kept before.
 
     Alike: the pair's mean correlation and its overlap are above the limit. Datasets of an entity are a
     few hundred rows, so the walk is one expression over their ordered list; only alike pairs are joined.
+    More than MOST_DATASETS fail the job.
     """
     alike = pairs.where((F.col("score") > limits.correlation) & (F.col("share") > limits.correlation)).select(F.col("key_1").alias("a"), F.col("key_2").alias("b"))
     near = alike.unionByName(alike.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").groupBy("a").agg(F.collect_set("b").alias("near"))
     rows = datasets.join(near, F.col("name") == F.col("a"), "left")
-    one = rows.agg(F.array_sort(F.collect_list(F.struct("place", "name", F.coalesce("near", F.expr("array()")).alias("near")))).alias("l"))
+    few = F.when(F.count("*") > MOST_DATASETS, F.raise_error(F.lit(f"more than {MOST_DATASETS} datasets")).cast("long")).otherwise(F.count("*"))
+    one = rows.agg(few.alias("n"), F.array_sort(F.collect_list(F.struct("place", "name", F.coalesce("near", F.expr("array()")).alias("near")))).alias("l"))
     empty = F.expr("filter(transform(l, x -> x.name), x -> false)")
     kept = F.aggregate("l", empty, lambda acc, x: F.when(F.arrays_overlap(acc, x["near"]), acc).otherwise(F.array_append(acc, x["name"])))
     return one.withColumn("kept", kept).select(F.explode("l").alias("x"), "kept").select(F.col("x.name").alias("name"), F.array_contains("kept", F.col("x.name")).alias("kept"))

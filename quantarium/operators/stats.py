@@ -36,9 +36,11 @@ def top_overlap(vectors: DataFrame, top: int) -> DataFrame:
 
 def auroc(scores: DataFrame, keys: list[str]) -> DataFrame:
     """Area under the curve by ranks, equals counting half; scores: keys, score, bin."""
-    ranked = scores.withColumn("r", average_rank("score", keys))
-    p, n = F.sum("bin"), F.sum(1 - F.col("bin"))
-    return ranked.groupBy(*keys).agg(F.try_divide(F.sum(F.when(F.col("bin") == 1, F.col("r"))) - p * (p + 1) / 2, p * n).alias("auroc"), p.alias("positives"), n.alias("negatives"))
+    # equal scores are one row before any window; each wins against the negatives below it and half of its own
+    counts = scores.groupBy(*keys, "score").agg(F.sum("bin").alias("p"), F.sum(1 - F.col("bin")).alias("n"))
+    below = F.sum("n").over(Window.partitionBy(*keys).orderBy("score")) - F.col("n") / 2
+    p, n = F.sum("p"), F.sum("n")
+    return counts.withColumn("wins", F.col("p") * below).groupBy(*keys).agg(F.try_divide(F.sum("wins"), p * n).alias("auroc"), p.alias("positives"), n.alias("negatives"))
 
 
 def shuffled(key: Column, seed: int) -> Column:
@@ -46,15 +48,33 @@ def shuffled(key: Column, seed: int) -> Column:
     return F.md5(F.concat(key.cast("string"), F.lit(f"#{seed}")))
 
 
+def hash_rank(df: DataFrame, within: list[str], member: str, seed: int, name: str = "_k") -> DataFrame:
+    """Number of each row in hash order in its group, from 1.
+
+    Groups are cut by the hash's first digits: counts of these pieces give each its offset, so that
+    a group of any size is numbered by many tasks.
+    """
+    rows = df.withColumn("_h", shuffled(F.col(member), seed)).withColumn("_piece", F.substring("_h", 1, 2))
+    pieces = rows.groupBy(*within, "_piece").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(*within).orderBy("_piece")) - F.col("_n")
+    pieces = pieces.select(*(F.col(c).alias(f"_w_{i}") for i, c in enumerate(within)), F.col("_piece").alias("_w"), before.alias("_before"))
+    match = F.col("_piece") == F.col("_w")
+    for i, c in enumerate(within):
+        match = match & F.col(c).eqNullSafe(F.col(f"_w_{i}"))
+    inside = F.row_number().over(Window.partitionBy(*within, "_piece").orderBy("_h", member))
+    rows = rows.join(pieces, match).withColumn(name, F.col("_before") + inside)
+    return rows.drop("_h", "_piece", "_before", "_w", *(f"_w_{i}" for i in range(len(within))))
+
+
 def sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """n rows, the same ones for the same seed."""
     return df.orderBy(shuffled(F.col(key), seed), key).limit(n)
 
 
-def decoys(pool: DataFrame, key: str, positives: int, rows: int, ratio: float, seed: int = 42) -> DataFrame:
-    """As many pool rows as bring the share of positives down to ratio; an error if the pool is too small."""
+def decoys(pool: DataFrame, tested: DataFrame, key: str, positives: int, rows: int, ratio: float, seed: int = 42) -> DataFrame:
+    """As many pool rows that were never tested as bring the share of positives down to ratio; an error if there are too few."""
     need = max(0, int(positives / ratio) - rows)
-    picked = sample(pool, key, need, seed)
+    picked = sample(pool.join(tested.select(key).distinct(), key, "left_anti"), key, need, seed)
     if need and picked.count() < need:
         raise ValueError(f"the pool has fewer than {need} rows")
     return picked
@@ -63,24 +83,21 @@ def decoys(pool: DataFrame, key: str, positives: int, rows: int, ratio: float, s
 def downsampled(df: DataFrame, keys: list[str], member: str, trigger: float = 0.05, ratio: float = 0.10, seed: int = 42) -> DataFrame:
     """Where positives are rarer than trigger, only as many negatives as bring them to ratio."""
     totals = df.groupBy(*keys).agg(F.sum("bin").alias("_p"), F.count("*").alias("_n"))
-    rows = df.join(totals, keys)
-    order = Window.partitionBy(*keys, "bin").orderBy(shuffled(F.col(member), seed), member)
-    rows = rows.withColumn("_k", F.row_number().over(order))
+    rows = hash_rank(df.join(totals, keys), [*keys, "bin"], member, seed)
     keep = (F.col("bin") == 1) | (F.col("_p") >= trigger * F.col("_n")) | (F.col("_k") <= F.floor(F.col("_p") / F.lit(ratio)) - F.col("_p"))
     return rows.where(keep).drop("_p", "_n", "_k")
 
 
 def folds(df: DataFrame, keys: list[str], member: str, n: int = 4, seed: int = 42) -> DataFrame:
     """A stratified fold number: rows of a class are dealt in hash order."""
-    order = Window.partitionBy(*keys, "bin").orderBy(shuffled(F.col(member), seed), member)
-    return df.withColumn("fold", (F.row_number().over(order) - 1) % n)
+    return hash_rank(df, [*keys, "bin"], member, seed).withColumn("fold", ((F.col("_k") - 1) % n).cast("int")).drop("_k")
 
 
 def capped(df: DataFrame, member: str, most: int, least: int = 4, seed: int = 42) -> DataFrame:
     """At most about `most` rows, each class in proportion and with `least` rows at least."""
     counts = df.groupBy("bin").agg(F.count("*").alias("_c"))
     total = df.count()
-    rows = df.join(counts, "bin").withColumn("_k", F.row_number().over(Window.partitionBy("bin").orderBy(shuffled(F.col(member), seed), member)))
+    rows = hash_rank(df.join(counts, "bin"), ["bin"], member, seed)
     allowed = F.greatest(F.lit(least), F.floor(F.col("_c") * F.lit(most / max(total, 1)))) if total > most else F.col("_c")
     return rows.where(F.col("_k") <= allowed).drop("_c", "_k")
 

@@ -406,13 +406,35 @@ def weighted_medoid(spark: SparkSession, d: str) -> DataFrame:
     return graph.references(_edges(spark, d), members)
 
 
-@query()
+_SUMS = "v AS (SELECT vec_id AS place, i AS key, embedding[i + 1] + embedding[(i + 1) % len(embedding) + 1] AS value FROM embeddings, (SELECT unnest(range((SELECT max(len(embedding)) FROM embeddings)))::INT AS i))"
+
+
+def _hits(top: int) -> str:
+    return (
+        f"o{top} AS (SELECT * FROM r WHERE k <= {top}), x{top} AS (SELECT a.key AS key_1, b.key AS key_2, count(*) AS m FROM o{top} a JOIN o{top} b ON a.place = b.place AND a.key < b.key GROUP BY ALL), "
+        f"h{top} AS (SELECT a.key AS key_1, b.key AS key_2, (coalesce(m, 0) - {top * top}.0 / a.n) / ({top} - {top * top}.0 / a.n) AS overlap FROM ks a JOIN ks b ON a.key < b.key LEFT JOIN x{top} x ON x.key_1 = a.key AND x.key_2 = b.key)"
+    )
+
+
+@query(
+    f"WITH RECURSIVE {_SUMS}, r AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY value DESC, place) AS k, count(*) OVER (PARTITION BY key) AS n, rank() OVER (PARTITION BY key ORDER BY value) + (count(*) OVER (PARTITION BY key, value) - 1) / 2 AS r FROM v), "
+    f"ks AS (SELECT DISTINCT key, n FROM r), {_hits(100)}, {_hits(20)}, rho AS (SELECT a.key AS key_1, b.key AS key_2, corr(a.r, b.r) AS rho FROM r a JOIN r b ON a.place = b.place AND a.key < b.key GROUP BY ALL), "
+    "c AS (SELECT vec_id AS place, key FROM embeddings JOIN ks ON vec_id % 4 = (key // 2) % 4), sz AS (SELECT key, count(*) AS n FROM c GROUP BY key), co AS (SELECT a.key AS key_1, b.key AS key_2, count(*) AS m FROM c a JOIN c b ON a.place = b.place AND a.key < b.key GROUP BY ALL), "
+    "al AS (SELECT rho.key_1 AS a, rho.key_2 AS b FROM rho JOIN h100 USING (key_1, key_2) JOIN h20 USING (key_1, key_2) JOIN co USING (key_1, key_2) JOIN sz x ON x.key = rho.key_1 JOIN sz y ON y.key = rho.key_2 WHERE (rho + h100.overlap + h20.overlap) / 3 > 0.2 AND m / least(x.n, y.n) > 0.2), "
+    "nb AS (SELECT a, list(b) AS near FROM (SELECT a, b FROM al UNION ALL SELECT b, a FROM al) GROUP BY a), p AS (SELECT key, row_number() OVER (ORDER BY key) AS p FROM ks), "
+    "w AS (SELECT 0::BIGINT AS p, []::INT[] AS kept UNION ALL SELECT p.p, CASE WHEN list_has_any(w.kept, coalesce(nb.near, []::INT[])) THEN w.kept ELSE list_append(w.kept, p.key) END FROM w JOIN p ON p.p = w.p + 1 LEFT JOIN nb ON nb.a = p.key) "
+    "SELECT key AS name, list_contains((SELECT kept FROM w ORDER BY p DESC LIMIT 1), key) AS kept FROM p"
+)
 def greedy_dedupe(spark: SparkSession, d: str) -> DataFrame:
-    v = _vectors(spark, d)
-    rho, top = stats.spearman(v), stats.top_overlap(v, 100)
-    pairs = rho.join(top, ["key_1", "key_2"]).select("key_1", "key_2", ((F.col("rho") + F.col("overlap")) / 2).alias("score"), F.lit(1.0).alias("share"))
+    """Rank correlation, two top overlaps, and the overlap of compounds decide who is alike; neighbours of these vectors share a part."""
+    e = table(spark, d, "embeddings")
+    v = e.select(F.col("vec_id").alias("place"), F.posexplode(F.zip_with("embedding", F.concat(F.slice("embedding", 2, F.size("embedding") - 1), F.slice("embedding", 1, 1)), lambda a, b: a + b)).alias("key", "value"))
+    members = v.select("key", "place").where("place % 4 = cast(floor(key / 2) as int) % 4")
+    shared = joins.overlaps(members, "key", "place").select("key_1", "key_2", "share")
+    pairs = stats.spearman(v).join(stats.top_overlap(v, 100).select("key_1", "key_2", F.col("overlap").alias("top_100")), ["key_1", "key_2"]).join(stats.top_overlap(v, 20).select("key_1", "key_2", F.col("overlap").alias("top_20")), ["key_1", "key_2"])
+    pairs = pairs.join(shared, ["key_1", "key_2"]).select("key_1", "key_2", ((F.col("rho") + F.col("top_100") + F.col("top_20")) / 3).alias("score"), "share")
     names = v.select(F.col("key").alias("name")).distinct().withColumn("place", F.col("name"))
-    return selection.greedy_distinct(names, pairs, selection.Limits(correlation=0.02))
+    return selection.greedy_distinct(names, pairs, selection.Limits(correlation=0.2))
 
 
 @query()
@@ -483,10 +505,18 @@ def strip_suffix(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "part").select("p_partkey", text.without_last_token(name).alias("base"), text.first_tokens(name, 2).alias("head"), text.species_code(F.col("p_name")).alias("code"))
 
 
-@query()
+_STRAIN = "CASE p_partkey % 7 WHEN 0 THEN 'ATCC ' || p_partkey WHEN 1 THEN ' dsm-' || p_partkey || ' ' WHEN 2 THEN 'H37Rv_' || p_size WHEN 3 THEN 'NaN' WHEN 4 THEN 'WHO.' || p_brand WHEN 5 THEN 'atcc' END"
+_COLLECTIONS = "|".join(text.NUMBERED_COLLECTIONS)
+
+
+@query(
+    f"WITH s AS (SELECT p_partkey, upper(trim(coalesce({_STRAIN}, ''))) AS up FROM part), k AS (SELECT p_partkey, up, regexp_replace(up, '[\\s\\-_./\\\\]', '', 'g') AS flat, "
+    f"regexp_replace(regexp_replace(up, '\\b(?:(?:{_COLLECTIONS})[\\s\\-_./\\\\]*((?:[A-Z]+[\\s\\-_./\\\\]*)?[0-9])|(?:WHO|FDA)[\\s\\-_./\\\\]*([A-Z0-9]))', '\\1\\2', 'g'), '[\\s\\-_./\\\\]', '', 'g') AS bare FROM s) "
+    "SELECT p_partkey, CASE WHEN up IN ('', 'NAN') THEN '' WHEN bare = '' THEN flat ELSE bare END AS key, CASE WHEN up IN ('', 'NAN') THEN '' ELSE flat END AS prefixed FROM k"
+)
 def strain_key_normalize(spark: SparkSession, d: str) -> DataFrame:
-    rows = [("BAA-1605",), ("ATCC BAA1605",), ("NCTC 25922",), ("WHO-X",), ("ATCC",), ("ccmfoo",), ("nan",), (None,), ("LMG 17978",)]
-    return spark.createDataFrame(rows, "strain string").select("strain", text.strain_key(F.col("strain")).alias("key"), text.prefix_key(F.col("strain")).alias("prefixed"))
+    rows = table(spark, d, "part").select("p_partkey", F.expr(_STRAIN).alias("strain"))
+    return rows.select("p_partkey", text.strain_key(F.col("strain")).alias("key"), text.prefix_key(F.col("strain")).alias("prefixed"))
 
 
 @query("SELECT text, bin, doc_id FROM (SELECT text, quality AS bin, doc_id, row_number() OVER (PARTITION BY text ORDER BY quality DESC, doc_id) AS n FROM documents JOIN labels USING (doc_id)) WHERE n = 1")
@@ -541,4 +571,4 @@ def merged_dataset_gates(spark: SparkSession, d: str) -> DataFrame:
     return g.withColumn("passes", selection.passes_gates(selection.Limits(merged_compounds=300)))
 
 
-from quantarium.plans import curation  # noqa: E402, F401  its queries join the catalog
+from quantarium.plans import curation, tables  # noqa: E402, F401  their queries join the catalog

@@ -25,7 +25,8 @@ def name_resolution(spark: SparkSession, d: str) -> DataFrame:
     return curation.resolve_names(part.select(name.alias("name")).distinct(), "name", index, brands).where("id IS NOT NULL").select("name", "id")
 
 
-@query()
+@query("""WITH k AS (SELECT p_brand, upper(p_brand) AS u FROM part), s AS (SELECT p_brand, CASE WHEN u = 'BRAND#25' THEN 'split' WHEN u = 'BRAND#1' THEN 'first' WHEN contains(u, 'BRAND#2') THEN 'twenties' ELSE u END AS strain FROM k),
+c AS (SELECT strain, p_brand, count(*) AS n FROM s GROUP BY ALL) SELECT strain, count(*) AS keys, sum(n)::BIGINT AS rows, arg_min(p_brand, (-n, p_brand)) AS dominant FROM c GROUP BY strain HAVING count(*) > 1""")
 def strain_aliases(spark: SparkSession, d: str) -> DataFrame:
     rules = spark.createDataFrame([(1, "exact", "Brand#1", "first"), (2, "contains", "Brand#2", "twenties"), (3, "prefixed", "Brand#25", "split")], "place int, kind string, word string, label string")
     rows = curation.strain_labels(table(spark, d, "part").withColumn("other", F.lit("")), "p_brand", "other", rules)
@@ -180,8 +181,11 @@ def agreement_rate(spark: SparkSession, d: str) -> DataFrame:
     return measurements(spark, d).groupBy("activity_type").agg(F.count("*").alias("n"), F.count_if(has & (F.col("text_flag") == 0)).alias("numeric_only"), F.count_if(has & (F.col("text_flag") != 0)).alias("numeric_flagged"), (100 * F.avg(near.cast("int"))).alias("agreeing"))
 
 
-@query(f"WITH {_EDGES} SELECT key_1, " + ", ".join(f"max(agreement) FILTER (key_2 = {k}) AS k{k}" for k in (12, 22, 31)) + " FROM e WHERE key_2 IN (12, 22, 31) GROUP BY key_1")
+@query(f"WITH {_EDGES}, n AS (SELECT DISTINCT key_2 FROM e) SELECT k.key_1, string_agg(coalesce(round(1000000 * agreement)::BIGINT::VARCHAR, ''), ';' ORDER BY n.key_2) AS row FROM (SELECT DISTINCT key_1 FROM e) k CROSS JOIN n LEFT JOIN e ON e.key_1 = k.key_1 AND e.key_2 = n.key_2 GROUP BY k.key_1")
 def square_matrix(spark: SparkSession, d: str) -> DataFrame:
-    names = [12, 22, 31]
-    wide = profile.square_matrix(_edges(spark, d).where(F.col("key_2").isin(names)), names, "agreement")
-    return wide.select("key_1", *(F.col(str(k)).alias(f"k{k}") for k in names))
+    """All endpoints against all; each row as one text, as the columns depend on the table."""
+    edges = _edges(spark, d)
+    names = [r["key_2"] for r in edges.select("key_2").distinct().orderBy("key_2").limit(10_001).collect()]  # endpoints; more are an error
+    wide = profile.square_matrix(edges, names, "agreement")
+    cells = (F.coalesce(F.round(1000000 * F.col(f"`{k}`")).cast("long").cast("string"), F.lit("")) for k in names)
+    return wide.select("key_1", F.concat_ws(";", *cells).alias("row"))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import gzip
 import io
+import urllib.request
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.errors import AnalysisException
@@ -56,6 +58,15 @@ def read_database(spark: SparkSession, url: str, relation: str, columns: list[st
 
 def read_archives(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Members (gzip CSV) of zip archives as one table with a `member` column; a broken member is empty."""
+    return _unzipped(spark.read.format("binaryFile").load(path).select("content"), schema)
+
+
+def read_zipped(archives: DataFrame, schema: T.StructType) -> DataFrame:
+    """Rows of archives kept in a table (a column content)."""
+    return _unzipped(archives.select("content"), schema)
+
+
+def _unzipped(contents: DataFrame, schema: T.StructType) -> DataFrame:
     names = [f.name for f in schema]
 
     def unpack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -70,10 +81,61 @@ def read_archives(spark: SparkSession, path: str, schema: T.StructType) -> DataF
                         yield part.reindex(columns=names).assign(member=member).astype(object).where(lambda x: x.notna(), None)
 
     text = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "member"]])
-    raw = spark.read.format("binaryFile").load(path).select("content").mapInPandas(unpack, text)
+    raw = contents.mapInPandas(unpack, text)
     return raw.select("member", *(F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema))
 
 
+def zipped(df: DataFrame, by: str, rows: int = 100_000) -> DataFrame:
+    """`by`, member and content: zip archives with one gzip CSV each, of at most about `rows` rows of one value.
+
+    Large values have several archives, so that no task holds a value whole; read_zipped reads them back.
+    """
+    order = [c for c in df.columns if c != by]
+    sizes = df.groupBy(by).agg(F.ceil(F.count("*") / rows).cast("int").alias("_parts"))
+    parts = df.join(sizes, by).withColumn("_part", F.pmod(F.xxhash64(*order), "_parts")).drop("_parts")
+
+    def pack(frame: pd.DataFrame) -> pd.DataFrame:
+        name = f"{frame[by].iloc[0]}-{frame['_part'].iloc[0]}.csv.gz"
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w") as archive:
+            archive.writestr(name, gzip.compress(frame[order].sort_values(order).to_csv(index=False).encode(), mtime=0))
+        return pd.DataFrame({by: [frame[by].iloc[0]], "member": [name], "content": [out.getvalue()]})
+
+    kind = df.schema[by].dataType.simpleString()
+    return parts.groupBy(by, "_part").applyInPandas(pack, f"`{by}` {kind}, member string, content binary")
+
+
+def read_pages(spark: SparkSession, pages: DataFrame, schema: str, fetch: Callable[[str], str] | None = None) -> DataFrame:
+    """Results of a paginated source: pages (url) are fetched by the tasks, each an answer with `results`.
+
+    fetch(url) gives the answer's text; by default urllib reads http, https and file addresses.
+    """
+
+    def read(url: str) -> str:
+        with urllib.request.urlopen(url, timeout=60) as answer:
+            return answer.read().decode()
+
+    get = fetch or read
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield pd.DataFrame({"url": frame["url"], "answer": [get(u) for u in frame["url"]]})
+
+    answers = pages.select("url").mapInPandas(run, "url string, answer string")
+    return answers.select("url", F.explode(records(F.col("answer"), schema)).alias("r")).select("url", "r.*")
+
+
+def json_schema(schema: T.DataType) -> dict:
+    """JSON schema of a Spark type: fields that may not be null are required."""
+    if isinstance(schema, T.StructType):
+        return {"type": "object", "properties": {f.name: json_schema(f.dataType) for f in schema}, "required": [f.name for f in schema if not f.nullable]}
+    if isinstance(schema, T.ArrayType):
+        return {"type": "array", "items": json_schema(schema.elementType)}
+    if isinstance(schema, T.MapType):
+        return {"type": "object", "additionalProperties": json_schema(schema.valueType)}
+    return {"type": "boolean" if isinstance(schema, T.BooleanType) else "integer" if isinstance(schema, T.IntegralType) else "number" if isinstance(schema, T.NumericType) else "string"}
+
+
 def nested_values(document: Column, key: str) -> Column:
     """All comma-separated values of a key anywhere in a JSON text: trimmed, distinct, in order."""
     found = F.regexp_extract_all(document, F.lit(rf'"{key}"\s*:\s*"((?:[^"\\]|\\.)*)"'), F.lit(1))

@@ -129,7 +129,12 @@ def test_samples(spark):
     folds = stats.folds(df, [], "id").groupBy("fold", "bin").count().collect()
     assert max(r["count"] for r in folds if r.bin == 1) == 1
     with pytest.raises(ValueError):
-        stats.decoys(df, "id", 1000, 0, 0.1)
+        stats.decoys(df, df.limit(0), "id", 1000, 0, 0.1)
+    few = stats.decoys(df, df.where("id < 90"), "id", 1, 2, 0.1).collect()
+    assert len(few) == 8 and min(r.id for r in few) >= 90
+    ranks = stats.hash_rank(df, ["bin"], "id", 42).orderBy("bin", "_k").collect()
+    by_hash = sorted(range(3, 100), key=lambda i: __import__("hashlib").md5(f"{i}#42".encode()).hexdigest())
+    assert [r.id for r in ranks if r.bin == 0] == by_hash and [r["_k"] for r in ranks if r.bin == 0] == list(range(1, 98))
     assert stats.capped(df, "id", 50).groupBy("bin").count().where("bin = 1").first()["count"] == 3
 
 
@@ -188,3 +193,33 @@ def test_registered_forests_are_whole(spark, folder, monkeypatch):
     catalog.rf_cross_validation(spark, folder)
     catalog.rf_score(spark, folder)
     assert seen == [(ml.TREES, ml.DEPTH)] * (ml.FOLDS + 1)
+
+
+def test_prune_policies(spark):
+    pairs = spark.createDataFrame([(1, 2, 0.1), (2, 3, 0.2), (4, 5, 0.3), (6, 7, 0.9)], "key_1 int, key_2 int, agreement double")
+    sizes = {1: 5, 2: 9, 3: 1, 4: 2, 5: 2, 6: 1, 7: 1}
+    assert graph.prune(pairs, sizes, lambda gone: 0.8, 0.5) == [1, 3, 4]
+    assert graph.prune(pairs, sizes, lambda gone: 0.8, 0.5, policy="medoid", agreement={1: 0.9, 2: 0.1, 3: 0.5, 4: 0.6, 5: 0.2}) == [2, 5]
+    assert graph.prune(pairs, sizes, lambda gone: None if 3 in gone else 0.8 - 0.1 * (1 in gone), 0.5) == [4]
+    assert graph.prune(pairs, sizes, lambda gone: 0.8, 0.5, checks=1) == [1]
+    with pytest.raises(ValueError):
+        graph.prune(pairs, sizes, lambda gone: 0.8, 0.5, policy="other")
+
+
+def test_database_source(spark, tmp_path):
+    """Written to and read from an embedded database; the columns asked for are all that is read."""
+    spark._jvm.System.setProperty("derby.stream.error.file", str(tmp_path / "derby.log"))
+    url, driver = f"jdbc:derby:{tmp_path}/db;create=true", "org.apache.derby.jdbc.EmbeddedDriver"
+    try:
+        spark.range(50).selectExpr("id", "id * 2 as twice", "'x' as rest").write.format("jdbc").options(url=url, dbtable="t", driver=driver, createTableColumnTypes="rest varchar(8)").save()
+    except Exception as missing:  # a Spark without the embedded database
+        pytest.skip(str(missing)[:80])
+    df = files.read_database(spark, url, "t", ["id", "twice"], key="id", low=0, high=50, parts=3, driver=driver)
+    assert df.columns == ["id", "twice"] and sorted(r.twice for r in df.collect()) == list(range(0, 100, 2)) and df.rdd.getNumPartitions() == 3
+
+
+def test_json_schema():
+    from pyspark.sql import types as T
+
+    s = files.json_schema(T.StructType([T.StructField("a", T.StructType([T.StructField("b", T.BooleanType(), False)])), T.StructField("c", T.ArrayType(T.DoubleType()), False)]))
+    assert s == {"type": "object", "properties": {"a": {"type": "object", "properties": {"b": {"type": "boolean"}}, "required": ["b"]}, "c": {"type": "array", "items": {"type": "number"}}}, "required": ["c"]}
