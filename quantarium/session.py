@@ -54,8 +54,21 @@ def _local_folder() -> str:
     return "file://" + _LOCAL[0].name
 
 
+_ROOTS: list[tuple] = []
+
+
+def _clean() -> None:
+    """Delete this driver's scratch tables as it ends; results may read them until then."""
+    for sc, root in _ROOTS:
+        try:
+            path = sc._jvm.org.apache.hadoop.fs.Path(root)
+            path.getFileSystem(sc._jsc.hadoopConfiguration() if sc._jsc else sc._jvm.org.apache.hadoop.conf.Configuration()).delete(path, True)
+        except Exception:  # the JVM went first; whoever owns the folder clears it
+            return
+
+
 class Scratch:
-    """Tables written to the shared folder, each under a name of its own.
+    """Tables written to the shared folder, each under a name of its own, until the driver ends.
 
     A table written here is read back from files, so a lost executor costs a reread and not
     a recomputation, and the plan above it starts anew.
@@ -64,6 +77,9 @@ class Scratch:
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.root = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+        if not _ROOTS:
+            atexit.register(_clean)
+        _ROOTS.append((spark.sparkContext, self.root))
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
