@@ -46,6 +46,7 @@ MISS = 1e-7
 #: Members of a group that are compared at once in the second turn.
 BLOCK = 1024
 BITMAP_BITS = 1 << 25
+PARTS = 64
 
 
 def bands_for(percent: int, rows: int = ROWS, miss: float = MISS) -> int:
@@ -300,7 +301,10 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, percent: int =
     placed = shared.join(centers, "band").select("center", "rep").distinct().join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     placed = scratch.keep(placed.select("center", "rep", F.coalesce("root", "rep").alias("root")), "placed")
     mixed = placed.groupBy("center").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).where("low <> high").select("center", "n")
-    members = scratch.keep(placed.join(mixed, "center"), "members")
+    # a group may hold any share of the rows: its members are dealt over PARTS tasks
+    dealt = placed.withColumn("part", F.pmod(F.xxhash64("rep"), F.lit(PARTS)))
+    copies = mixed.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long"))))
+    members = scratch.keep(dealt.join(copies, ["center", "part"]).drop("part"), "members")
     second = scratch.keep(_across(members, groups, _sets(texts, members.select("rep").distinct(), shingle), least, percent), "second")
     if not second.isEmpty():
         joined = roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(second)
