@@ -142,3 +142,50 @@ def suffix_dedup(docs, span=50):
         kept = bytes(x for x, g in zip(b, gone) if not g)
         out.append((d, len(b), sum(gone), runs, hashlib.sha256(kept).hexdigest()))
     return out
+
+
+def languages(rows, texts, longest=5):
+    """(language, score) of each text by word-first backoff, learnt from rows (text, label) with each word and n-gram that occurs twice."""
+    import math
+    from collections import Counter
+
+    def words(text):
+        return re.findall(r"[^\W\d_]+", (text or "").lower())
+
+    def grams(word):
+        padded = f"^{word}$"
+        return [padded[i : i + n] for n in range(1, longest + 1) for i in range(len(padded) - n + 1)]
+
+    labels = sorted({label for _, label in rows})
+    seen = {x: Counter(w for t, y in rows if y == x for w in words(t)) for x in labels}
+    parts = {x: Counter(g for w, n in seen[x].items() for g in grams(w) for _ in range(n)) for x in labels}
+
+    def logs(counts):
+        known = [k for k in set().union(*counts.values()) if sum(counts[x][k] for x in labels) > 1]
+        total = {x: sum(counts[x][k] + 0.5 for k in known) for x in labels}
+        return {k: [math.log((counts[x][k] + 0.5) / total[x]) for x in labels] for k in known}
+
+    by_word = logs(seen)
+    by_gram: dict = {}
+    for n in range(1, longest + 1):
+        by_gram |= logs({x: Counter({g: c for g, c in parts[x].items() if len(g) == n}) for x in labels})
+    out = []
+    for text in texts:
+        own = words(text)
+        if not own:
+            out.append(("und", 0.0))
+            continue
+        sums = [math.log(sum(y == x for _, y in rows) / len(rows)) for x in labels]
+        for w in own:
+            if w in by_word:
+                sums = [a + b for a, b in zip(sums, by_word[w])]
+                continue
+            padded, i = f"^{w}$", 0
+            while i < len(padded):
+                n = next((n for n in range(longest, 0, -1) if padded[i : i + n] in by_gram and i + n <= len(padded)), 0)
+                if n:
+                    sums = [a + b for a, b in zip(sums, by_gram[padded[i : i + n]])]
+                i += max(n, 1)
+        best = max(range(len(labels)), key=lambda i: sums[i])
+        out.append((labels[best], 1 / sum(math.exp((s - sums[best]) / max(1, len(own) / 8)) for s in sums)))
+    return out

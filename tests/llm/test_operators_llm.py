@@ -483,3 +483,18 @@ def test_bit_map_is_bounded(spark, monkeypatch):
     ids = near_duplicates._placed(spark.range(0, 6000).select("id", F.lit("t").alias("text"))).toArrow()
     kept = {x for b in ids.to_batches() for x in choose(b).column(0).to_pylist()}
     assert set(range(0, 3000, 3)) <= kept  # a full map keeps all and loses none
+
+
+def test_language_against_restatement(spark):
+    """Predictions and scores on texts with known, unseen and odd words; null ids, long texts, ties and extra columns among them."""
+    r = random.Random(11)
+    kinds = {"de": "haus wasser schiff und der die nicht".split(), "en": "house water ship and the not".split(), "fr": "maison eau bateau et le pas".split()}
+    rows = [(i, " ".join(r.choices(kinds[x], k=r.randrange(1, 9))), x, "clash") for i, x in ((i, r.choice(list(kinds))) for i in range(120))]
+    rows.append((None, "house house", "en", "clash"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, score string")
+    learnt = [(t, x) for d, t, x, _ in rows if d is None or zlib.crc32(str(d).encode()) % 4 != 2]
+    texts = ["haus", "häuser und schiffe", "houses of watering", "bateaux", "zzz qqq", "", None, "12 ...", "the " * 3000 + "haus", "q"]
+    asked = spark.createDataFrame([(None if i % 2 else i, t, str(i)) for i, t in enumerate(texts)], "doc_id long, text string, lang_pred string")
+    found = {x.row.lang_pred: (x.lang_pred, x.score) for x in language.identify(asked, language.train(df)).collect()}
+    for i, (lang, score) in enumerate(brute.languages(learnt, texts)):
+        assert found[str(i)][0] == lang and abs(found[str(i)][1] - score) < 1e-3
