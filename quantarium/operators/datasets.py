@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quantarium.functions.numeric import binarize
 from quantarium.operators.joins import nullsafe_join
+from quantarium.session import Scratch
 from quantarium.sources.measurements import TRIPLET
 
 #: Values censored on the active side can't be placed within the range.
@@ -33,10 +34,43 @@ def most_active(df: DataFrame, keys: list[str] = TRIPLET, member: str = "compoun
     return rows.select(*keys, member, "direction", "_best.value", "_best.smiles")
 
 
+def compounds(df: DataFrame, constants: list[str]) -> DataFrame:
+    """All that labels need of each (triplet, constants, direction, compound): a table written once.
+
+    low and high value, the best of the values that stay (`best`), the structure of the best of those
+    that fix_censored() moves (`moved`), both flags (`act`, `inact`) and the first structure.
+    """
+    used = F.col("value").isNotNull() & F.col("direction").isin(1, -1)
+    wrong = F.coalesce(((F.col("direction") == 1) & (F.col("relation") == "<")) | ((F.col("direction") == -1) & (F.col("relation") == ">")), F.lit(False))
+    stays, moves = F.when(used & ~wrong, F.struct("value", "smiles")), F.when(used & wrong, F.struct("smiles"))
+    up, value = F.col("direction") == 1, F.when(used, F.col("value"))
+    rows = df.groupBy(*TRIPLET, *constants, "compound_id", "direction").agg(
+        F.min(value).alias("low"), F.max(value).alias("high"), F.when(up, F.max(stays)).otherwise(F.min(stays)).alias("best"),
+        F.when(up, F.max(moves)).otherwise(F.min(moves)).alias("moved"), F.bool_or(F.col("text_flag") == 1).alias("act"), F.bool_or(F.col("text_flag") == -1).alias("inact"), F.min("smiles").alias("first"),
+    )
+    return Scratch(df.sparkSession, "compounds").keep(rows, "rows")
+
+
+def actives(table: DataFrame, constants: list[str]) -> DataFrame:
+    """The quantitative rows of compounds(): what most_active() gives behind fix_censored()."""
+    valued = table.where("low IS NOT NULL")
+    ends = valued.groupBy(*TRIPLET).agg(F.min("low").alias("_low"), F.max("high").alias("_high"))
+    rows = nullsafe_join(valued, ends, TRIPLET)
+    up = F.col("direction") == 1
+    moved = F.when(F.col("moved").isNotNull(), F.struct(F.when(up, F.col("_low")).otherwise(F.col("_high")).alias("value"), F.col("moved.smiles").alias("smiles")))
+    rows = rows.withColumn("best", F.when(up, F.greatest("best", moved)).otherwise(F.least("best", moved)))
+    return rows.select(*TRIPLET, *constants, "compound_id", "direction", "best.value", "best.smiles")
+
+
+def flagged(table: DataFrame, keys: list[str]) -> DataFrame:
+    """The qualitative() rows of compounds()."""
+    flags = table.groupBy(*keys, "compound_id").agg(F.bool_or("act").alias("act"), F.bool_or("inact").alias("inact"), F.min("first").alias("smiles"))
+    return flags.where("act <> inact").select(*keys, "compound_id", "smiles", F.col("act").cast("int").alias("bin"))
+
+
 def quantitative(df: DataFrame, constants: list[str]) -> DataFrame:
     """Placed, deduplicated values of triplets with a direction, and the constants."""
-    rows = df.where(F.col("value").isNotNull() & F.col("direction").isin(1, -1))
-    return most_active(fix_censored(rows), [*TRIPLET, *constants])
+    return actives(compounds(df, constants), constants)
 
 
 def with_thresholds(df: DataFrame, rules: DataFrame) -> DataFrame:
@@ -86,13 +120,14 @@ def classify(df: DataFrame, rules: DataFrame, constants: list[str]) -> DataFrame
     Triplets without a threshold have one row without cutoff: qualitative or none.
     """
     keys = [*TRIPLET, *constants]
-    triplets = df.select(*keys).distinct()
+    table = compounds(df, constants)
+    triplets = table.select(*keys).distinct()
     spots = nullsafe_join(triplets, rules.select("activity_type", "unit", "target_class", F.posexplode_outer("thresholds").alias("place", "cutoff")), ["activity_type", "unit", "target_class"], "left")
     spots = spots.withColumn("place", F.col("place") + 1)
-    numbers = labelled(quantitative(df, constants), rules).groupBy(*TRIPLET, "place").agg(F.count("*").alias("cpds_qt"), F.sum("bin").alias("pos_qt"))
-    flags = qualitative(df, TRIPLET)
+    numbers = labelled(actives(table, constants), rules).groupBy(*TRIPLET, "place").agg(F.count("*").alias("cpds_qt"), F.sum("bin").alias("pos_qt"))
+    flags = flagged(table, TRIPLET)
     texts = flags.groupBy(*TRIPLET).agg(F.count("*").alias("cpds_ql"), F.sum("bin").alias("pos_ql"))
-    own = quantitative(df, []).select(*TRIPLET, "compound_id")
+    own = table.where("low IS NOT NULL").select(*TRIPLET, "compound_id").distinct()
     extra = nullsafe_join(flags.where("bin = 0"), own, [*TRIPLET, "compound_id"], "left_anti").groupBy(*TRIPLET).agg(F.count("*").alias("added"))
     out = nullsafe_join(spots, numbers, [*TRIPLET, "place"], "left")
     out = nullsafe_join(nullsafe_join(out, texts, TRIPLET, "left"), extra, TRIPLET, "left").fillna(0, ["cpds_qt", "pos_qt", "cpds_ql", "pos_ql", "added"])

@@ -5,17 +5,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quantarium.session import Scratch
 from quantarium.sources.measurements import TRIPLET
 
 
+def running(df: DataFrame, order: list[Column], amount: str) -> DataFrame:
+    """Adds to each row its place (from 1) in a total order and the sum of `amount` up to it, itself included.
+
+    Rows are cut into ranges of the order, written with their range's number; the sums of these ranges,
+    as many as there are tasks, give each its start, so the windows run inside ranges.
+    """
+    ranged = Scratch(df.sparkSession, "ranges").keep(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "rows")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = ranged.groupBy("_part").agg(F.count("*").alias("_n"), F.sum(amount).alias("_s"))
+    starts = parts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n"), F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_s"))
+    inside = Window.partitionBy("_part").orderBy(*order)
+    up_to = inside.rowsBetween(Window.unboundedPreceding, 0)
+    rows = ranged.join(F.broadcast(starts), "_part")
+    return rows.select(*df.columns, (F.col("_n") + F.row_number().over(inside)).alias("place"), (F.col("_s") + F.sum(amount).over(up_to)).alias("up_to"))
+
+
 def value_counts(df: DataFrame, *keys: Column | str) -> DataFrame:
     """Keys (nulls are one), count, dense rank by count, and cumulative share in that order (ties by key)."""
     counts = df.groupBy(*keys).agg(F.count("*").alias("n"))
     names = [c for c in counts.columns if c != "n"]
-    # the counts are one row a key; only they meet in one place
-    order = Window.orderBy(F.desc("n"), *(F.asc_nulls_first(c) for c in names))
-    total = F.sum("n").over(Window.partitionBy())
-    return counts.select(*names, "n", F.dense_rank().over(Window.orderBy(F.desc("n"))).alias("rank"), (F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)) / total).alias("share"))
+    rows = running(counts, [F.desc("n"), *(F.asc_nulls_first(c) for c in names)], "n")
+    # different counts are fewer than the root of twice the rows, whatever the keys
+    levels = rows.groupBy("n").agg(F.max("up_to").alias("end"))
+    ranks = levels.select("n", F.dense_rank().over(Window.orderBy(F.desc("n"))).alias("rank"), F.max("end").over(Window.partitionBy()).alias("total"))
+    return rows.join(ranks, "n").select(*names, "n", "rank", (F.col("up_to") / F.col("total")).alias("share"))
 
 
 def only_one(c: str) -> Column:
@@ -74,11 +92,11 @@ def running_coverage(members: DataFrame, key: str, member: str) -> DataFrame:
     members = members.select(key, member).distinct()
     sizes = members.groupBy(key).agg(F.count("*").alias("size"))
     # one row a set; members count where they first appear
-    placed = sizes.withColumn("place", F.row_number().over(Window.orderBy(F.desc("size"), key)))
+    placed = running(sizes, [F.desc("size"), F.col(key)], "size").drop("up_to")
     first = members.join(placed, key).groupBy(member).agg(F.min("place").alias("place"))
     new = first.groupBy("place").agg(F.count("*").alias("new"))
-    out = placed.join(new, "place", "left").withColumn("new", F.coalesce("new", F.lit(0)))
-    return out.select(key, "place", "size", F.sum("new").over(Window.orderBy("place").rowsBetween(Window.unboundedPreceding, 0)).alias("covered"))
+    out = placed.join(new, "place", "left").select(key, "size", F.col("place").alias("at"), F.coalesce("new", F.lit(0)).alias("new"))
+    return running(out, [F.col("at")], "new").select(key, "place", "size", F.col("up_to").alias("covered"))
 
 
 def bucket_shares(members: DataFrame, bucket: str, member: str) -> DataFrame:

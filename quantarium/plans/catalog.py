@@ -48,15 +48,22 @@ QUALITATIVE = """ql AS (SELECT assay_id, activity_type, unit, compound_id, min(s
 STATS = "ds AS (SELECT assay_id, activity_type, unit, target_class, organism, region, place, cutoff, count(*) AS cpds_qt, sum(bin) AS pos_qt FROM b GROUP BY assay_id, activity_type, unit, target_class, organism, region, place, cutoff)"
 
 
+CONSTANTS = ["target_class", "organism", "region"]
+
+
 def _labelled(spark: SparkSession, d: str) -> DataFrame:
-    return datasets.labelled(datasets.quantitative(measurements(spark, d), ["target_class", "organism", "region"]), threshold_rules(spark))
+    return datasets.labelled(datasets.quantitative(measurements(spark, d), CONSTANTS), threshold_rules(spark))
 
 
-def _datasets(spark: SparkSession, d: str) -> DataFrame:
-    out = _labelled(spark, d).groupBy(*TRIPLET, "target_class", "organism", "region", "place", "cutoff").agg(F.count("*").alias("cpds_qt"), F.sum("bin").alias("pos_qt"))
+def _counted(rows: DataFrame) -> DataFrame:
+    out = rows.groupBy(*TRIPLET, *CONSTANTS, "place", "cutoff").agg(F.count("*").alias("cpds_qt"), F.sum("bin").alias("pos_qt"))
     return out.withColumn("kind", F.lit("quantitative"))
 
 
+def _datasets(spark: SparkSession, d: str) -> DataFrame:
+    return _counted(_labelled(spark, d))
+
+
 @query(f"WITH {LABELLED} SELECT assay_id, activity_type, unit, target_class, place, cutoff, count(*) AS cpds, sum(bin)::BIGINT AS positives, avg(bin) AS ratio FROM b GROUP BY assay_id, activity_type, unit, target_class, place, cutoff")
 def flagship_binarize_quantitative(spark: SparkSession, d: str) -> DataFrame:
     rows = datasets.labelled(datasets.quantitative(measurements(spark, d), ["target_class"]), threshold_rules(spark))
@@ -204,7 +211,8 @@ def qualitative_labels(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {LABELLED}, {QUALITATIVE}, s AS (SELECT DISTINCT assay_id, activity_type, unit, place, cutoff FROM b), x AS (SELECT s.*, ql.compound_id FROM s JOIN ql ON s.assay_id = ql.assay_id AND s.activity_type = ql.activity_type AND s.unit = ql.unit WHERE ql.bin = 0 AND NOT EXISTS (SELECT 1 FROM q WHERE q.assay_id = s.assay_id AND q.activity_type = s.activity_type AND q.unit = s.unit AND q.compound_id = ql.compound_id)) SELECT assay_id, activity_type, unit, place, cutoff, origin, count(*) AS cpds, sum(bin)::BIGINT AS positives FROM (SELECT assay_id, activity_type, unit, place, cutoff, bin, 'quantitative' AS origin FROM b UNION ALL SELECT assay_id, activity_type, unit, place, cutoff, 0, 'qualitative' FROM x) GROUP BY assay_id, activity_type, unit, place, cutoff, origin")
 def mixed_union(spark: SparkSession, d: str) -> DataFrame:
-    rows = datasets.mixed(_labelled(spark, d), datasets.qualitative(measurements(spark, d), TRIPLET), TRIPLET)
+    members = datasets.compounds(measurements(spark, d), CONSTANTS)
+    rows = datasets.mixed(datasets.labelled(datasets.actives(members, CONSTANTS), threshold_rules(spark)), datasets.flagged(members, TRIPLET), TRIPLET)
     return rows.groupBy(*TRIPLET, "place", "cutoff", "origin").agg(F.count("*").alias("cpds"), F.sum("bin").alias("positives"))
 
 
@@ -477,8 +485,9 @@ def report_rollup(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {LABELLED}, {STATS}, s0 AS (SELECT DISTINCT assay_id, activity_type, unit FROM m), s1 AS (SELECT DISTINCT assay_id, activity_type, unit FROM q), s2 AS (SELECT DISTINCT assay_id, activity_type, unit FROM b), s3 AS (SELECT DISTINCT assay_id, activity_type, unit FROM ds WHERE {_A}) SELECT 0 AS step, 'all' AS stage, count(*) AS n FROM s0 UNION ALL SELECT 1, 'with values', count(*) FROM s1 UNION ALL SELECT 2, 'with thresholds', count(*) FROM s2 UNION ALL SELECT 3, 'condition A', count(*) FROM s3")
 def funnel_counts(spark: SparkSession, d: str) -> DataFrame:
-    m = measurements(spark, d)
-    stages = [("all", m), ("with values", datasets.quantitative(m, [])), ("with thresholds", _labelled(spark, d)), ("condition A", _datasets(spark, d).where(selection.condition_a(SMALL)))]
+    members = datasets.compounds(measurements(spark, d), CONSTANTS)
+    rows = datasets.labelled(datasets.actives(members, CONSTANTS), threshold_rules(spark))
+    stages = [("all", members), ("with values", members.where("low IS NOT NULL")), ("with thresholds", rows), ("condition A", _counted(rows).where(selection.condition_a(SMALL)))]
     return profile.funnel(stages, TRIPLET)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quantarium.functions import chemistry, text
 from quantarium.operators import curation, datasets, graph, joins, profile, selection, stats
-from quantarium.plans.catalog import _EDGES, FIXED, LABELLED, SMALL, STATS, M, _datasets, _edges, _endpoints, _labelled, _A, query
+from quantarium.plans.catalog import _EDGES, CONSTANTS, FIXED, LABELLED, SMALL, STATS, M, _counted, _datasets, _edges, _endpoints, _labelled, _A, query
 from quantarium.sources.measurements import TRIPLET, measurements, table, threshold_rules
 from quantarium.streaming import incremental
 
@@ -76,10 +76,10 @@ def master_annotation(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {LABELLED}, {STATS}, a AS (SELECT DISTINCT ds.assay_id, ds.activity_type, ds.unit, CASE WHEN {_A} THEN 'A' ELSE 'rest' END AS label FROM ds), c AS (SELECT DISTINCT label, compound_id FROM q JOIN a ON q.assay_id = a.assay_id AND q.activity_type = a.activity_type AND q.unit = a.unit) SELECT coalesce(label, 'ALL') AS label, count(DISTINCT compound_id) AS cpds, count(DISTINCT compound_id) / (SELECT count(DISTINCT compound_id) FROM m) AS share FROM c GROUP BY ROLLUP (label)")
 def label_coverage(spark: SparkSession, d: str) -> DataFrame:
-    m = measurements(spark, d)
+    m = datasets.compounds(measurements(spark, d), CONSTANTS)
     label = F.when(selection.condition_a(SMALL), "A").otherwise("rest")
-    marked = _datasets(spark, d).select(*TRIPLET, label.alias("label")).distinct()
-    members = datasets.quantitative(m, []).select(*TRIPLET, "compound_id").distinct()
+    marked = _counted(datasets.labelled(datasets.actives(m, CONSTANTS), threshold_rules(spark))).select(*TRIPLET, label.alias("label")).distinct()
+    members = m.where("low IS NOT NULL").select(*TRIPLET, "compound_id").distinct()
     rows = joins.nullsafe_join(marked, members, TRIPLET).select("label", "compound_id").distinct()
     universe = m.agg(F.count_distinct("compound_id")).first()[0]
     return rows.rollup("label").agg(F.count_distinct("compound_id").alias("cpds")).withColumn("share", F.col("cpds") / universe).fillna("ALL", ["label"])

@@ -31,6 +31,32 @@ def test_most_active(spark, direction, value):
     assert [r.value for r in datasets.most_active(df).collect()] == [value]
 
 
+@pytest.mark.parametrize("direction", [-1, 1, None])
+def test_compounds_agree_with_rows(spark, direction):
+    """One table of compounds gives what rows give: censored on both sides, ties, nulls, both flags."""
+    found = [(i % 7 if i % 11 else None, (i * 37 % 5) * 1.5 if i % 4 else None, (None, "=", "<", ">")[i * 7 % 4], (0, 1, -1)[i % 3], "abc"[i * 5 % 3] if i % 6 else None) for i in range(90)]
+    df = rows(spark, *found, direction=direction)
+    keys = ["assay_id", "activity_type", "unit"]
+    table = datasets.compounds(df, [])
+    wanted = datasets.most_active(datasets.fix_censored(df.where("value IS NOT NULL AND direction IS NOT NULL")))
+    got = datasets.actives(table, [])
+    assert sorted(got.select(wanted.columns).collect(), key=repr) == sorted(wanted.collect(), key=repr)
+    assert (direction is None) == got.isEmpty()
+    wanted = datasets.qualitative(df, keys)
+    assert sorted(datasets.flagged(table, keys).select(wanted.columns).collect(), key=repr) == sorted(wanted.collect(), key=repr)
+
+
+@pytest.mark.parametrize("n", [0, 1, 500])
+def test_running(spark, n):
+    found = [(i * 7919 % 13, i, i % 3) for i in range(n)]
+    df = spark.createDataFrame(found, "a int, b int, v long").repartition(5)
+    wanted, total = [], 0
+    for place, (a, b, v) in enumerate(sorted(found, key=lambda r: (-r[0], r[1])), 1):
+        total += v
+        wanted.append((a, b, v, place, total))
+    assert [tuple(r) for r in profile.running(df, [F.desc("a"), F.col("b")], "v").orderBy("place").collect()] == wanted
+
+
 def test_qualitative_and_mixed(spark):
     df = rows(spark, (1, None, "=", 1, "a"), (1, None, "=", 0, "a"), (2, None, "=", -1, "b"), (2, None, "=", 0, "b"), (3, None, "=", 0, "c"), (4, None, "=", 1, "d"), (4, None, "=", -1, "d"))
     keys = ["assay_id", "activity_type", "unit"]
