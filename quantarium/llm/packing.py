@@ -17,6 +17,7 @@ text are ignored.
 
 from __future__ import annotations
 
+import warnings
 import zlib
 from dataclasses import dataclass
 
@@ -65,14 +66,18 @@ class Solution:
     uses: np.ndarray  # how often the linear program uses each
     bound: float  # no packing of the histogram has fewer sequences
     rounds: int
+    gap: float  # share of sequences above the bound that the program may have
 
 
 def solve(demand: np.ndarray, capacity: int, tolerance: float = 1e-3, rounds: int = 6_000) -> Solution:
-    """Column generation for the fewest sequences; demand[i] pieces weigh i + 1 of capacity."""
+    """Column generation for the fewest sequences; demand[i] pieces weigh i + 1 of capacity.
+
+    Warns with the gap that is left if the rounds run out before it is below the tolerance.
+    """
     classes = np.flatnonzero(demand)
     m = len(classes)
     if not m:
-        return Solution(np.zeros((len(demand), 0), dtype=np.int64), np.zeros(0), 0.0, 0)
+        return Solution(np.zeros((len(demand), 0), dtype=np.int64), np.zeros(0), 0.0, 0, 0.0)
     d = demand[classes].astype(float)
     single = capacity // (classes + 1)
     basis = np.diag(single).astype(float)
@@ -112,10 +117,13 @@ def solve(demand: np.ndarray, capacity: int, tolerance: float = 1e-3, rounds: in
         if done % 200 == 0 and np.abs(np.einsum("ij,j->i", basis, x) - d).max() > 1e-6 * (1 + d.max()):
             inverse = np.linalg.inv(basis)
             x = np.einsum("ij,j->i", inverse, d)
+    gap = max(0.0, float(cost @ x) / bound - 1)
+    if done == rounds and gap > tolerance:
+        warnings.warn(f"the packing program stopped after {rounds} rounds with a gap of {gap:.2%}", stacklevel=2)
     used = (cost > 0) & (x > 1e-9)
     patterns = np.zeros((len(demand), int(used.sum())), dtype=np.int64)
     patterns[classes] = np.rint(basis[:, used]).astype(np.int64)
-    return Solution(patterns, x[used], bound, done)
+    return Solution(patterns, x[used], bound, done, gap)
 
 
 def first_fit(demand: np.ndarray, capacity: int) -> list[dict[int, int]]:

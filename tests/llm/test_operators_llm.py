@@ -95,6 +95,13 @@ def test_linear_program():
     assert max(room.values()) <= 512 and len(room) <= s.bound + 8
 
 
+def test_packing_gap_is_told():
+    d = np.random.default_rng(5).integers(0, 90, 256)
+    with pytest.warns(UserWarning, match="after 3 rounds with a gap"):
+        assert packing.solve(d, 256, rounds=3).gap > 1e-3
+    assert packing.solve(d, 256).gap <= 1e-3
+
+
 def test_byte_pair(texts, path):
     e = encoder(path("byte_bpe_50k.json"))
     for t in [*texts, "a  b", "it's  'll \n\n\n", "é　 b  ", "\x1c x"]:
