@@ -102,9 +102,6 @@ def passes_gates(limits: Limits) -> Column:
     return (F.col("cpds") >= enough) & (F.col("positives") > limits.merged_positives)
 
 
-#: Later outcomes win over earlier ones of lower rank; a success stays.
-
-
 def resolved_reasons(events: DataFrame, key: str) -> DataFrame:
     """The reason of each assay from events (key, step, reason).
 
