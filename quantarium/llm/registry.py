@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from quantarium.llm import checks, decontaminate, html_text, language, lm_scoring, near_duplicates, packing, quality, quotation, suffix_dedup, token_prefix
+from quantarium.llm import checks, decontaminate, html_text, language, lm_scoring, near_duplicates, packing, prefix_trie, quality, quotation, spelling, suffix_dedup, token_prefix, toxicity
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
@@ -16,6 +16,9 @@ QUERIES = {
     "op8_lm_scoring": lm_scoring.op8_lm_scoring,
     "op9_token_counts": token_prefix.op9_token_counts,
     "op10_decontamination": decontaminate.op10_decontamination,
+    "op11_toxicity": toxicity.op11_toxicity,
+    "op12_prefix_trie": prefix_trie.op12_prefix_trie,
+    "op13_spelling": spelling.op13_spelling,
     "pipeline": corpus_pipeline.run,
 }
 

@@ -34,15 +34,17 @@ SAMPLE_ROWS = 12_000
 LABEL_ROWS = 3_000
 SIZES = (3, 4, 5, 6)
 #: Standard errors from 0 under which a log-count ratio counts as none.
-DEVIATIONS = 4.0
+DEVIATIONS = 3.0
 #: L2 penalty of the regression's weights, over the mean loss.
-PENALTY = 1e-3
+PENALTY = 1e-4
 STEPS = 400
 #: Values of the ids' hash that the sample tells apart.
 PLACES = 1 << 40
 #: Characters whose n-grams are hashed at once.
 PIECE = 1 << 18
-#: Entries of the table that tells most unknown n-grams apart before the search.
+#: N-grams of texts that a task counts together.
+HELD_GRAMS = 1 << 20
+#: Bits of a hash that place it in a table that tells most unknown n-grams before the search.
 SLOT_BITS = 20
 U = np.uint64
 _FACTORS = arrow_text.mix(np.arange(101, 101 + max(SIZES), dtype=np.uint64)) | U(1)
@@ -181,19 +183,29 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
 
 
 def gram_counts(sample: DataFrame) -> DataFrame:
-    """gram, toxic and clean texts that have it, of each batch of texts."""
+    """gram, toxic and clean texts that have it, of a few texts a row."""
+
+    def table(found: list[np.ndarray], marks: list[int]) -> Iterator[pa.RecordBatch]:
+        grams, place = np.unique(np.concatenate(found), return_inverse=True)
+        mark = np.repeat(np.array(marks, dtype=np.int64), [len(x) for x in found])
+        toxic = np.bincount(place, mark, minlength=len(grams)).astype(np.int64)
+        clean = np.bincount(place, minlength=len(grams)) - toxic
+        for at in range(0, len(grams), 100_000):
+            part = slice(at, at + 100_000)
+            yield pa.RecordBatch.from_arrays([pa.array(grams[part].view(np.int64)), pa.array(toxic[part]), pa.array(clean[part])], ["gram", "toxic", "clean"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[np.ndarray] = []
+        marks: list[int] = []
         for batch in batches:
-            marks = batch.column(1).to_pylist()
-            found = [features(x) for x in batch.column(0).to_pylist()]
-            grams, place = np.unique(np.concatenate([np.zeros(0, np.uint64), *found]), return_inverse=True)
-            mark = np.repeat(np.array(marks, dtype=np.int64), [len(x) for x in found])
-            toxic = np.bincount(place, mark, minlength=len(grams)).astype(np.int64)
-            clean = np.bincount(place, minlength=len(grams)) - toxic
-            for at in range(0, len(grams), 100_000):
-                part = slice(at, at + 100_000)
-                yield pa.RecordBatch.from_arrays([pa.array(grams[part].view(np.int64)), pa.array(toxic[part]), pa.array(clean[part])], ["gram", "toxic", "clean"])
+            for text, mark in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                found.append(features(text))
+                marks.append(mark)
+                if sum(map(len, found)) > HELD_GRAMS:
+                    yield from table(found, marks)
+                    found, marks = [], []
+        if found:
+            yield from table(found, marks)
 
     return sample.select("text", "toxic").mapInArrow(arrow_text.tidied(count), "gram long, toxic long, clean long")
 
