@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
@@ -34,10 +35,12 @@ SAMPLE_ROWS = 12_000
 LABEL_ROWS = 3_000
 SIZES = (3, 4, 5, 6)
 #: Standard errors from 0 under which a log-count ratio counts as none.
-DEVIATIONS = 3.0
+DEVIATIONS = 4.0
 #: L2 penalty of the regression's weights, over the mean loss.
 PENALTY = 1e-4
-STEPS = 400
+STEPS = 200
+#: Rows, or features, that a step sums at once.
+FIT_ROWS = 1 << 10
 #: Values of the ids' hash that the sample tells apart.
 PLACES = 1 << 40
 #: Characters whose n-grams are hashed at once.
@@ -117,19 +120,31 @@ def probability(x):
     return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
 
 
-def fit(rows: list[np.ndarray], toxic: np.ndarray, weight: np.ndarray, ratios: np.ndarray) -> tuple[np.ndarray, float]:
-    """Logistic regression over features (places in `ratios`) times their ratios, by accelerated gradient steps; weights of the bare features and the intercept."""
-    lengths = np.array([len(r) for r in rows], dtype=np.int64)
-    at = np.concatenate(rows) if len(rows) else np.zeros(0, dtype=np.int64)
-    row = np.repeat(np.arange(len(rows)), lengths)
-    values, share = ratios[at], weight / weight.sum()
+def fit(starts: np.ndarray, at: np.ndarray, toxic: np.ndarray, weight: np.ndarray, ratios: np.ndarray) -> tuple[np.ndarray, float]:
+    """Logistic regression over features times their ratios, by accelerated gradient steps; weights of the bare features and the intercept.
+
+    Row i has the features at[starts[i]:starts[i + 1]], places in `ratios`.
+    """
+    share = weight / weight.sum()
+    columns = np.argsort(at, kind="stable").astype(np.int32)
+    row = np.repeat(np.arange(len(toxic), dtype=np.int32), np.diff(starts))[columns]
+    firsts = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=len(ratios)))])
+
+    def sums(values: np.ndarray, places: np.ndarray, edges: np.ndarray) -> np.ndarray:
+        """Of values[places] between each two edges."""
+        out, some = np.zeros(len(edges) - 1), np.flatnonzero(np.diff(edges))
+        for lo in range(0, len(some), FIT_ROWS):
+            part = some[lo : lo + FIT_ROWS]
+            out[part] = np.add.reduceat(values[places[edges[part[0]] : edges[part[-1] + 1]]], edges[part] - edges[part[0]])
+        return out
+
     # the mean loss curves by a quarter of the weighted mean of the rows' squared lengths at most
-    curve = 0.25 * float((share * (1 + np.bincount(row, values**2, minlength=len(rows)))).sum()) + PENALTY
+    curve = 0.25 * float((share * (1 + sums(ratios**2, at, starts))).sum()) + PENALTY
     w, b = np.zeros(len(ratios)), float(np.log((share @ toxic) / (share @ (1 - toxic))))
     w_ahead, b_ahead, t = w, b, 1.0
     for _ in range(STEPS):
-        off = share * (probability(b_ahead + np.bincount(row, values * w_ahead[at], minlength=len(rows))) - toxic)
-        slope = np.bincount(at, values * off[row], minlength=len(ratios)) + PENALTY * w_ahead
+        off = share * (probability(b_ahead + sums(ratios * w_ahead, at, starts)) - toxic)
+        slope = ratios * sums(off, row, firsts) + PENALTY * w_ahead
         w_next, b_next, t_next = w_ahead - slope / curve, b_ahead - off.sum() / curve, (1 + np.sqrt(1 + 4 * t * t)) / 2
         ahead = (t - 1) / t_next
         w_ahead, b_ahead = w_next + ahead * (w_next - w), b_next + ahead * (b_next - b)
@@ -175,10 +190,11 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     order = np.argsort(grams)
     grams, ratios = grams[order], known["ratio"].to_numpy()[order]
     rows = known_grams(sample, ToxicityModel(grams, ratios, 0.0))
-    places = [np.array(r, dtype=np.int64) for r in rows["places"].to_pylist()]
+    starts = np.concatenate([[0], np.cumsum(pc.list_value_length(rows["places"]).to_numpy())])
+    places = pc.list_flatten(rows["places"]).to_numpy()
     toxic = rows["toxic"].to_numpy().astype(float)
     weight = np.where(toxic == 1, count[1] / size[1], count[0] / size[0])
-    weights, intercept = fit(places, toxic, weight, ratios)
+    weights, intercept = fit(starts, places, toxic, weight, ratios)
     return ToxicityModel(grams, weights, intercept)
 
 
@@ -197,13 +213,15 @@ def gram_counts(sample: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[np.ndarray] = []
         marks: list[int] = []
+        held = 0
         for batch in batches:
             for text, mark in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 found.append(features(text))
                 marks.append(mark)
-                if sum(map(len, found)) > HELD_GRAMS:
+                held += len(found[-1])
+                if held > HELD_GRAMS:
                     yield from table(found, marks)
-                    found, marks = [], []
+                    found, marks, held = [], [], 0
         if found:
             yield from table(found, marks)
 
@@ -217,9 +235,9 @@ def known_grams(sample: DataFrame, model: ToxicityModel) -> pa.Table:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             places = [shared.value.known(x) for x in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(places, pa.list_(pa.int64())), batch.column(1)], ["places", "toxic"])
+            yield pa.RecordBatch.from_arrays([pa.array(places, pa.list_(pa.int32())), batch.column(1)], ["places", "toxic"])
 
-    return sample.select("text", "toxic").mapInArrow(arrow_text.tidied(find), "places array<long>, toxic int").toArrow()
+    return sample.select("text", "toxic").mapInArrow(arrow_text.tidied(find), "places array<int>, toxic int").toArrow()
 
 
 def score(documents: DataFrame, model: ToxicityModel, carry: list[str] | None = None, text_col: str = "text") -> DataFrame:
