@@ -83,25 +83,27 @@ def prune(pairs: DataFrame, sizes: dict, score, least: float, loss: float = 0.02
     """Keys dropped from a pool: discordant pairs in ascending agreement lose a member while the score holds.
 
     The policy `largest` keeps a pair's larger member, `medoid` the one with the higher mean agreement
-    with its pool (then the larger). score(dropped) is the pool's score without these keys, or None if
-    it can't be had: then the member stays. Each check fits a model, so a pool gets at most `checks` of
-    them, those of the least agreement; the loop is the driver's.
+    with its pool; ties keep key_2. score(dropped) is the pool's score without these keys, or None if it can't
+    be had: a member goes if its trial, or the pool before it, has no score. Each check fits a model, so a pool
+    gets at most `checks` of them; pairs of which a member is gone cost none. Pairs come to the driver a partition at a time.
     """
     if policy not in ("largest", "medoid"):
         raise ValueError(f"unknown policy {policy}")
-    rank = (lambda k: ((agreement or {}).get(k, -1.0), sizes[k], k)) if policy == "medoid" else (lambda k: (sizes[k], k))
+    rank = (lambda k: (agreement or {}).get(k) or -1.0) if policy == "medoid" else sizes.__getitem__
     dropped: list = []
     base, done = score(dropped), 0
-    for r in pairs.where(F.col("agreement") < least).orderBy("agreement", "key_1", "key_2").limit(checks).collect():
+    for r in pairs.where(F.col("agreement") < least).orderBy("agreement", "key_1", "key_2").toLocalIterator():
         a, b = r["key_1"], r["key_2"]
-        if a in dropped or b in dropped or done >= checks:
+        if a in dropped or b in dropped:
             continue
+        if done >= checks:
+            break
         done += 1
-        loser = min((a, b), key=rank)
+        loser = a if rank(a) <= rank(b) else b
         now = score([*dropped, loser])
-        if now is not None and (base is None or base - now <= loss):
+        if base is None or now is None or now >= base - loss:
             dropped.append(loser)
-            base = now
+            base = base if now is None else now
     return dropped
 
 

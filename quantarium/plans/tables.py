@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quantarium.functions import numeric, text
-from quantarium.operators import graph, profile, stats
+from quantarium.operators import diversity, graph, profile, stats
 from quantarium.plans.catalog import _EDGES, LABELLED, M, _edges, _endpoints, _labelled, query
 from quantarium.session import Scratch
 from quantarium.sources import files
@@ -238,3 +238,10 @@ def type_schema(spark: SparkSession, d: str) -> DataFrame:
     schema = files.json_schema(T.StructType([T.StructField("a", T.LongType(), False), T.StructField("b", T.ArrayType(T.StringType())), T.StructField("c", T.MapType(T.StringType(), T.DoubleType()))]))
     row = (",".join(schema), len(schema["properties"]), ",".join(schema["required"]), json.loads(json.dumps(schema))["properties"]["a"]["type"])
     return spark.createDataFrame([row], "keys string, fields int, required string, kind string")
+
+
+@query(None)
+def diversity_clusters(spark: SparkSession, d: str) -> DataFrame:
+    """Clusters of like vectors (by their signs) in each class, at three thresholds; tests hold it against a recursive restatement."""
+    rows = table(spark, d, "embeddings").select("label", diversity.fingerprint(F.col("embedding")).alias("words"))
+    return diversity.cluster_counts(rows, ["label"], "words")

@@ -226,8 +226,12 @@ def test_prune_policies(spark):
     sizes = {1: 5, 2: 9, 3: 1, 4: 2, 5: 2, 6: 1, 7: 1}
     assert graph.prune(pairs, sizes, lambda gone: 0.8, 0.5) == [1, 3, 4]
     assert graph.prune(pairs, sizes, lambda gone: 0.8, 0.5, policy="medoid", agreement={1: 0.9, 2: 0.1, 3: 0.5, 4: 0.6, 5: 0.2}) == [2, 5]
-    assert graph.prune(pairs, sizes, lambda gone: None if 3 in gone else 0.8 - 0.1 * (1 in gone), 0.5) == [4]
+    assert graph.prune(pairs, sizes, lambda gone: None if 3 in gone else 0.8 - 0.1 * (1 in gone), 0.5) == [3, 4]
+    assert graph.prune(pairs, sizes, lambda gone: None if not gone else 0.1, 0.5) == [1, 3, 4]  # no score to lose
     assert graph.prune(pairs, sizes, lambda gone: 0.8, 0.5, checks=1) == [1]
+    # a pair that lost a member costs no check
+    more = pairs.union(spark.createDataFrame([(1, 6, 0.15)], pairs.schema))
+    assert graph.prune(more, sizes, lambda gone: 0.8, 0.5, checks=2) == [1, 3]
     with pytest.raises(ValueError):
         graph.prune(pairs, sizes, lambda gone: 0.8, 0.5, policy="other")
 
