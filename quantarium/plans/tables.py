@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,7 +12,7 @@ from quantarium.functions import numeric, text
 from quantarium.operators import diversity, graph, profile, stats
 from quantarium.plans.catalog import _EDGES, LABELLED, M, _edges, _endpoints, _labelled, query
 from quantarium.session import Scratch
-from quantarium.sources import files
+from quantarium.sources import archives, files, pages
 from quantarium.sources.measurements import measurements, table
 
 
@@ -245,3 +245,38 @@ def diversity_clusters(spark: SparkSession, d: str) -> DataFrame:
     """Clusters of like vectors (by their signs) in each class, at three thresholds; tests hold it against a recursive restatement."""
     rows = table(spark, d, "embeddings").select("label", diversity.fingerprint(F.col("embedding")).alias("words"))
     return diversity.cluster_counts(rows, ["label"], "words")
+
+
+@query("""SELECT 'chain-' || n_regionkey || '-' || i // 2 || '.json' AS page_file, i // 2 AS page, n_nationkey, n_name FROM (SELECT *, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) - 1 AS i FROM nation)""")
+def linked_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Nations written as pages of two, a chain for each region; only first pages are told, links lead to the rest."""
+    folder = _folder(spark, "pages")
+    w = Window.partitionBy("n_regionkey").orderBy("n_nationkey")
+    nations = table(spark, d, "nation").withColumn("page", F.floor((F.row_number().over(w) - 1) / 2).cast("int"))
+    made = nations.groupBy("n_regionkey", "page").agg(F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name"))).alias("results"))
+    name = lambda page: F.concat(F.lit("chain-"), F.col("n_regionkey"), F.lit("-"), page, F.lit(".json"))
+    last = F.max("page").over(Window.partitionBy("n_regionkey"))
+    following = F.when(F.col("page") < last, F.concat(F.lit(f"{folder}/"), name(F.col("page") + 1)))
+    made = made.select(name(F.col("page")).alias("file"), F.lit(None).cast("string").alias("member"), F.lit(0).alias("part"), F.encode(F.to_json(F.struct("results", following.alias("next"))), "UTF-8").alias("content"))
+    archives.write_files(made, folder, zipped=False)
+    first = [f"{folder}/chain-{r.n_regionkey}-0.json" for r in nations.select("n_regionkey").distinct().collect()]  # a chain each
+    read = pages.read_linked(spark, first, "n_nationkey int, n_name string", pause="0.01")
+    return read.select(F.substring_index("address", "/", -1).alias("page_file"), F.col("page").cast("long").alias("page"), "n_nationkey", "n_name")
+
+
+
+@query("""WITH o AS (SELECT CASE WHEN o_orderkey % 3 = 0 THEN 'high' ELSE 'middle' END AS level, o_orderstatus AS dataset, o_orderkey, o_totalprice FROM orders), g AS (SELECT level, dataset, count(*) AS n, sum(o_orderkey)::BIGINT AS keys, count(o_totalprice) AS priced FROM o GROUP BY ALL)
+SELECT level || '.zip' AS file, dataset || '.csv.gz' AS member, n, n AS told, keys, priced, 0 AS malformed FROM g UNION ALL SELECT 'low.zip', NULL, 0, 0, 0, 0, 0""")
+def archives_with_metadata(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as archives by level, a member for each status and one of metadata; the level without orders is there too. Read back and counted."""
+    folder = f"{_folder(spark, 'archives')}/exports"
+    level = F.when(F.col("o_orderkey") % 3 == 0, "high").otherwise("middle").alias("level")
+    orders = table(spark, d, "orders").select(level, F.col("o_orderstatus").alias("dataset"), "o_orderkey", "o_totalprice")
+    archives.write_archives(orders, folder, "level", "dataset", always=["low", "middle", "high"])
+    read = archives.read_members(spark, folder, T._parse_datatype_string("o_orderkey long, o_totalprice double"))
+    rows = read.groupBy("file", "member").agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"), F.count("o_totalprice").alias("priced"), F.count("malformed").alias("malformed"))
+    told = archives.read_members(spark, folder, T._parse_datatype_string("dataset string, rows long"), archives.METADATA)
+    told = told.select("file", F.concat("dataset", F.lit(".csv.gz")).alias("member"), F.col("rows").alias("told"))
+    files_ = archives.list_members(spark, folder).select("file").distinct()
+    zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
+    return files_.join(rows.join(told, ["file", "member"], "full"), "file", "left").select("file", "member", *map(zero, ("n", "told", "keys", "priced", "malformed")))
