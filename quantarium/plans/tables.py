@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quantarium.functions import numeric, text
-from quantarium.operators import diversity, graph, profile, stats
+from quantarium.operators import diversity, graph, joins, linkage, profile, stats
 from quantarium.plans.catalog import _EDGES, LABELLED, M, _edges, _endpoints, _labelled, query
 from quantarium.session import Scratch
-from quantarium.sources import archives, files, pages
+from quantarium.sources import archives, files, keyed, pages
 from quantarium.sources.measurements import measurements, table
 
 
@@ -280,3 +280,35 @@ def archives_with_metadata(spark: SparkSession, d: str) -> DataFrame:
     files_ = archives.list_members(spark, folder).select("file").distinct()
     zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
     return files_.join(rows.join(told, ["file", "member"], "full"), "file", "left").select("file", "member", *map(zero, ("n", "told", "keys", "priced", "malformed")))
+
+
+@query("SELECT vec_id, label, round(embedding[1]::DOUBLE, 6) AS first FROM embeddings WHERE vec_id IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 45)")
+def keyed_subset(spark: SparkSession, d: str) -> DataFrame:
+    """Vectors in a keyed store, read for the keys of another table."""
+    path = f"{_folder(spark, 'keyed')}/vectors"
+    keyed.write_keyed(table(spark, d, "embeddings"), path, "vec_id", buckets=16)
+    keys = table(spark, d, "lineitem").where("l_quantity > 45").select(F.col("l_orderkey").alias("vec_id"))
+    return keyed.read_keyed(spark, path, "vec_id", keys).select("vec_id", "label", F.round(F.get("embedding", F.lit(0)).cast("double"), 6).alias("first"))
+
+
+@query("""WITH k AS (SELECT CASE WHEN o_orderkey % 11 = 0 THEN 'short' WHEN o_orderkey % 13 = 0 THEN 'long' WHEN o_orderkey % 7 = 0 THEN 'no number' ELSE 'good' END AS kind, o_orderkey, o_totalprice FROM orders)
+SELECT count(*) AS lines, count(*) FILTER (kind IN ('short', 'long')) AS malformed, count(*) FILTER (kind = 'no number') AS without_price, sum(o_orderkey) FILTER (kind IN ('good', 'no number'))::BIGINT AS keys FROM k""")
+def malformed_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Lines with too few or too many cells are told, cells of another type are null, and all lines add up."""
+    path = f"{_folder(spark, 'lines')}/orders"
+    k = F.col("o_orderkey")
+    price = F.when(k % 7 == 0, F.lit("dear")).otherwise(F.col("o_totalprice").cast("string"))
+    line = F.when(k % 11 == 0, k.cast("string")).when(k % 13 == 0, F.concat_ws(",", k, "o_totalprice", F.lit("x"))).otherwise(F.concat_ws(",", k, price))
+    table(spark, d, "orders").select(line.alias("value")).unionByName(spark.createDataFrame([("o_orderkey,o_totalprice",)], "value string")).write.text(path)
+    read = files.read_lines(spark, path, T._parse_datatype_string("o_orderkey long, o_totalprice double"))
+    good = F.col("malformed").isNull()
+    return read.agg(F.count("*").alias("lines"), F.count("malformed").alias("malformed"), F.count_if(good & F.col("o_totalprice").isNull()).alias("without_price"), F.sum("o_orderkey").alias("keys"))
+
+
+@query(None)
+def leaf_order(spark: SparkSession, d: str) -> DataFrame:
+    """Assays (of 50 compounds at least) in the order of average linkage by their overlaps; tests hold it against one-at-a-time linkage."""
+    sets = measurements(spark, d)
+    shares = joins.overlaps(sets, "assay_id", "compound_id", least=50)
+    pairs = shares.where("key_1 < key_2").select(F.col("key_1").alias("a"), F.col("key_2").alias("b"), F.col("share").alias("similarity"))
+    return linkage.leaf_order(pairs, shares.where("key_1 = key_2").select(F.col("key_1").alias("leaf")))

@@ -18,15 +18,32 @@ from pyspark.sql import types as T
 MISSING = ["", "NA", "N/A", "NaN", "nan", "null", "NULL", "None", "<NA>"]
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, separator: str = ",", comment: str | None = None, header: bool = True) -> DataFrame:
-    """CSV (gzip by its ending) with an explicit schema; all spellings of a missing cell are null."""
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, separator: str = ",", comment: str | None = None, header: bool = True, multi_line: bool = False) -> DataFrame:
+    """CSV (gzip by its ending) with an explicit schema; all spellings of a missing cell are null.
+
+    Line breaks inside cells need multi_line, with which a file is one task's however large it is.
+    """
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
-    reader = spark.read.schema(text).option("header", header).option("sep", separator).option("multiLine", True).option("escape", '"')
+    reader = spark.read.schema(text).option("header", header).option("sep", separator).option("multiLine", multi_line).option("escape", '"')
     raw = (reader.option("comment", comment) if comment else reader).csv(path)
     cells = (F.when(~F.trim(F.col(f"`{f.name}`")).isin(MISSING), F.col(f"`{f.name}`")).try_cast(f.dataType).alias(f.name) for f in schema)
     return raw.select(*cells)
 
 
+def read_lines(spark: SparkSession, path: str, schema: T.StructType, separator: str = ",") -> DataFrame:
+    """Lines of CSV files with a header, cut anywhere for the tasks: typed columns, and `malformed`, the line itself if it hasn't the schema's cells.
+
+    No line is lost: good and malformed ones add up to the files' lines less the headers. A cell that isn't of its type is null.
+    """
+    names = [f"c{i}" for i in range(len(schema))]
+    cells = ", ".join(f"{n} string" for n in names) + ", malformed string"
+    lines = spark.read.text(path).where(F.col("value") != separator.join(schema.names))
+    read = lines.select("value", F.from_csv("value", cells, {"sep": separator, "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "malformed"}).alias("r"))
+    whole = F.col("r.malformed").isNull()
+    columns = (F.when(whole & ~F.trim(F.col(f"r.{n}")).isin(MISSING), F.col(f"r.{n}")).try_cast(f.dataType).alias(f.name) for n, f in zip(names, schema))
+    return read.select(*columns, F.when(~whole, F.col("value")).alias("malformed"))
+
+
 def read_optional(spark: SparkSession, path: str, schema: T.StructType, form: str = "parquet") -> DataFrame:
     """The table at path, or an empty one if nothing is there."""
     try:
