@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quantarium.functions import numeric, text
-from quantarium.operators import diversity, graph, joins, linkage, profile, stats
+from quantarium.operators import components, diversity, graph, joins, linkage, profile, stats
 from quantarium.plans.catalog import _EDGES, LABELLED, M, _edges, _endpoints, _labelled, query
 from quantarium.session import Scratch
 from quantarium.sources import archives, files, keyed, pages
 from quantarium.sources.measurements import measurements, table
+from quantarium.streaming import latest
 
 
 def _folder(spark: SparkSession, label: str) -> str:
@@ -312,3 +313,38 @@ def leaf_order(spark: SparkSession, d: str) -> DataFrame:
     shares = joins.overlaps(sets, "assay_id", "compound_id", least=50)
     pairs = shares.where("key_1 < key_2").select(F.col("key_1").alias("a"), F.col("key_2").alias("b"), F.col("share").alias("similarity"))
     return linkage.leaf_order(pairs, shares.where("key_1 = key_2").select(F.col("key_1").alias("leaf")))
+
+
+@query("""WITH e AS (SELECT user_id, event_type, epoch_us(ts) AS micros, event_id, value FROM events), old AS (SELECT user_id, event_type, max((micros, event_id)) AS top FROM e WHERE event_id % 3 <> 0 GROUP BY ALL)
+SELECT e.user_id, e.event_type, max(micros) AS micros, arg_max(event_id, (micros, event_id)) AS event_id, arg_max(value, (micros, event_id)) AS value, count(*) FILTER (event_id % 3 = 0 AND (micros, event_id) <= top) AS late_rows FROM e LEFT JOIN old USING (user_id, event_type) GROUP BY ALL""")
+def stream_latest(spark: SparkSession, d: str) -> DataFrame:
+    """Events as a stream of files in two runs, the second from the first's checkpoint: each user's latest of each type, and rows that came late."""
+    folder = _folder(spark, "latest")
+    events = table(spark, d, "events").select("user_id", "event_type", F.unix_micros(F.col("ts").cast("timestamp")).alias("micros"), "event_id", "value")
+    for rows in (events.where("event_id % 3 <> 0"), events.where("event_id % 3 = 0")):
+        rows.repartition(3).write.mode("append").parquet(f"{folder}/in")
+        latest.run_latest(f"{folder}/in", events.schema, f"{folder}/out", f"{folder}/checkpoint", ["user_id", "event_type"], ["micros", "event_id"], ["value"], spark)
+    return latest.as_of_now(spark, f"{folder}/out", ["user_id", "event_type"])
+
+
+_BINS = 12
+
+
+@query(f"""WITH p AS (SELECT embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y FROM embeddings), w AS (SELECT count(*) AS n, min(x) AS lx, (max(x) - min(x)) / {_BINS} AS sx, min(y) AS ly, (max(y) - min(y)) / {_BINS} AS sy, stddev_samp(x) * pow(count(*), -1.0 / 6) AS hx, stddev_samp(y) * pow(count(*), -1.0 / 6) AS hy FROM p),
+c AS (SELECT least(floor((x - lx) / sx), {_BINS - 1})::INT AS i, least(floor((y - ly) / sy), {_BINS - 1})::INT AS j, count(*) AS n FROM p, w GROUP BY 1, 2), g AS (SELECT a.i::INT AS i, b.i::INT AS j FROM range({_BINS}) a(i), range({_BINS}) b(i))
+SELECT g.i, g.j, coalesce(any_value(c.n) FILTER (c.i = g.i AND c.j = g.j), 0) AS n, round(sum(c.n * exp(-0.5 * pow((g.i - c.i) * sx / hx, 2)) * exp(-0.5 * pow((g.j - c.j) * sy / hy, 2))) / any_value(2 * pi() * w.n * hx * hy), 9) AS density FROM g, c, w GROUP BY g.i, g.j""")
+def density_grid(spark: SparkSession, d: str) -> DataFrame:
+    """Density of the vectors over their first two dimensions."""
+    e = table(spark, d, "embeddings").select(F.get("embedding", F.lit(0)).alias("x"), F.get("embedding", F.lit(1)).alias("y"))
+    return components.density(e, "x", "y", _BINS).select("i", "j", "n", F.round("density", 9).alias("density"))
+
+
+@query(None)
+def principal_components(spark: SparkSession, d: str) -> DataFrame:
+    """Each vector's coordinates along the first two principal components, with these components' shares of the variance; tests hold it against a whole decomposition."""
+    e = table(spark, d, "embeddings")
+    _, mean, covariance = components.moments(e, "embedding")
+    values, directions = components.principal(covariance, 2)
+    shares = values / covariance.trace()
+    at = components.projected(e, "embedding", mean, directions)
+    return e.select("vec_id", "label", at.alias("at")).select("vec_id", "label", *(F.get("at", F.lit(i)).alias(f"pc{i + 1}") for i in range(2)), *(F.lit(float(s)).alias(f"share{i + 1}") for i, s in enumerate(shares)))
