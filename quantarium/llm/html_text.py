@@ -48,6 +48,8 @@ _SETS = {k: frozenset(v.split()) for k, v in STOP_WORDS.items()}
 
 #: A block below this many characters is short; a longer one with enough stop words is text.
 SHORT = 70
+#: Short links in a row from which they are a menu, even inside an article.
+MENU_BLOCKS = 3
 LOW_DENSITY, HIGH_DENSITY = 0.20, 0.30
 LINK_DENSITY = 0.35
 #: A list of stop words fits if so many of the words are in it.
@@ -265,6 +267,21 @@ def _density(words: list[str]) -> float:
     return max(sum(w in s for w in words) for s in _SETS.values()) / max(1, len(words))
 
 
+def _menus(blocks: list[Block]) -> set[int]:
+    """Blocks of articles that lie in runs of short links, MENU_BLOCKS at least, without a heading right before them: menus, not lists of references."""
+    out: set[int] = set()
+    i = 0
+    while i < len(blocks):
+        j = i
+        while j < len(blocks) and blocks[j].region == blocks[i].region and blocks[j].place == GOOD and not blocks[j].heading and len(blocks[j].text) < SHORT and blocks[j].linked() > 0.9:
+            j += 1
+        headed = i > 0 and blocks[i - 1].heading and blocks[i - 1].region == blocks[i].region
+        if j - i >= MENU_BLOCKS and not headed:
+            out.update(range(i, j))
+        i = max(j, i + 1)
+    return out
+
+
 def classify(blocks: list[Block], cards: set[int]) -> None:
     """Both passes over placed blocks; sets each block's label to GOOD or BAD."""
     words = [[w.lower() for w in _LETTERS.findall(b.text)] for b in blocks]
@@ -277,9 +294,10 @@ def classify(blocks: list[Block], cards: set[int]) -> None:
     article = any(held) and inside >= held.get(0, 0)
     prose = [(len(ws), x * len(ws)) for b, ws, x in zip(blocks, words, density) if b.place != BAD and b.prose()]
     fits = sum(x for _, x in prose) >= FIT_DENSITY * sum(n for n, _ in prose)
-    for b, ws, x in zip(blocks, words, density):
+    menus = _menus(blocks)
+    for i, (b, ws, x) in enumerate(zip(blocks, words, density)):
         linked, long = b.linked(), len(b.text) >= SHORT
-        if b.place == BAD or (not article and b.region in cards) or (b.place == OPEN and article):
+        if b.place == BAD or (not article and b.region in cards) or (b.place == OPEN and article) or i in menus:
             b.label = BAD
         elif b.place == GOOD:
             if x >= LOW_DENSITY or b.heading or linked > 0.9:
@@ -296,7 +314,9 @@ def classify(blocks: list[Block], cards: set[int]) -> None:
     for i, b in enumerate(blocks):
         if b.label == OPEN:
             sides = [(abs(i - j), j, label) for j, label in filter(None, (before[i], after[i]))]
-            if b.place == GOOD:
+            if b.place == GOOD and not b.links:  # a menu beside it is no reason to drop an article's short line
+                b.label = GOOD if not sides or any(label == GOOD for _, _, label in sides) else BAD
+            elif b.place == GOOD:
                 b.label = min(sides)[2] if sides else GOOD
             elif b.heading and after[i]:  # a heading goes with what it heads
                 b.label = after[i][1]

@@ -18,7 +18,16 @@ MENU = '<nav><ul><li><a href="/">Home</a></li><li><a href="/about">About us</a><
 STORY = f"<h1>Title</h1><p>{A}</p><p>Short.</p><p>{B}</p>"
 TEXT = f"Title\n\n{A}\n\nShort.\n\n{B}"
 
+LINKS = "<ul>" + "".join(f'<li><a href="/{i}">Topic {i}</a></li>' for i in range(8)) + "</ul>"
+SOURCES = "<h2>References</h2><ul>" + "".join(f'<li><a href="/{i}">Source {i}</a></li>' for i in range(4)) + "</ul>"
+
 PAGES = {
+    "menu without a name before the title": (f"<main>{LINKS}{STORY}</main>", TEXT),
+    "menu without a name after the text": (f"<article>{STORY}{LINKS}</article>", TEXT),
+    "menu without a name amid the text": (f"<article><h1>Title</h1><p>{A}</p>{LINKS}<p>Short.</p><p>{B}</p></article>", TEXT),
+    "menu of divisions": (f"<main><div>{LINKS.replace('li>', 'div>').replace('ul>', 'div>')}</div>{STORY}</main>", TEXT),
+    "references stay": (f"<article>{STORY}{SOURCES}</article>", TEXT + "\n\nReferences\n\nSource 0\n\nSource 1\n\nSource 2\n\nSource 3"),
+    "one link stays": (f'<article>{STORY}<p><a href="/x">Read the report</a></p></article>', TEXT + "\n\nRead the report"),
     "class tells what the page has": (f'{MENU}<main class="layout with-sidebar">{STORY}</main>', TEXT),
     "open comments": (f'{MENU}<article class="post comments-open">{STORY}</article>', TEXT),
     "page has header": (f'<div class="page has-header"><article>{STORY}</article></div>', TEXT),
