@@ -1,49 +1,10 @@
-"""Structure keys, fingerprints and similarity; the parts that need RDKit say so when it is missing."""
+"""Similarity of dense vectors of fragments; structures.py makes them."""
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-try:
-    from rdkit import Chem
-    from rdkit.Chem import Descriptors, rdFingerprintGenerator
-except ImportError:  # optional: no operator below is used by the queries
-    Chem = None
-
-BITS, RADIUS = 2048, 3
-
-
-def _need() -> None:
-    if Chem is None:
-        raise RuntimeError("this function needs RDKit")
-
-
-def molecular_weight(smiles: Column) -> Column:
-    """Weight of a structure; null where it can't be read."""
-    _need()
-
-    @F.pandas_udf("double")
-    def weigh(s: pd.Series) -> pd.Series:
-        mols = s.map(lambda x: Chem.MolFromSmiles(x) if x else None)
-        return mols.map(lambda m: Descriptors.MolWt(m) if m is not None else None)
-
-    return weigh(smiles)
-
-
-def count_fingerprint(smiles: Column, bits: int = BITS, radius: int = RADIUS) -> Column:
-    """Counts of circular fragments, at most 127 each; null where the structure can't be read."""
-    _need()
-
-    @F.pandas_udf("array<tinyint>")
-    def vectors(s: pd.Series) -> pd.Series:
-        generator = rdFingerprintGenerator.GetMorganGenerator(radius=radius, fpSize=bits)
-        mols = s.map(lambda x: Chem.MolFromSmiles(x) if x else None)
-        return mols.map(lambda m: generator.GetCountFingerprintAsNumPy(m).clip(max=127).astype("int8") if m is not None else None)
-
-    return vectors(smiles)
-
 
 def tanimoto(a: Column, b: Column) -> Column:
     """Shared over all places that are set in two vectors."""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quantarium.functions import numeric, text
+from quantarium.functions import numeric, structures, text
 from quantarium.operators import components, diversity, graph, joins, linkage, profile, stats
 from quantarium.plans.catalog import _EDGES, LABELLED, M, _edges, _endpoints, _labelled, query
 from quantarium.session import Scratch
@@ -348,3 +348,34 @@ def principal_components(spark: SparkSession, d: str) -> DataFrame:
     shares = values / covariance.trace()
     at = components.projected(e, "embedding", mean, directions)
     return e.select("vec_id", "label", at.alias("at")).select("vec_id", "label", *(F.get("at", F.lit(i)).alias(f"pc{i + 1}") for i in range(2)), *(F.lit(float(s)).alias(f"share{i + 1}") for i, s in enumerate(shares)))
+
+
+#: Links that read the same from both ends: letter, spelling, other spelling, atoms, weight.
+_LINKS = [
+    ("a", "C", "[CH2]", 1, 14.027), ("b", "N", "[NH]", 1, 15.015), ("c", "O", "[O]", 1, 15.999), ("d", "C(=O)", "C(=[O])", 2, 28.01),
+    ("e", "c1ccc(cc1)", "c7ccc(cc7)", 6, 76.098), ("f", "C(C)(C)", "C([CH3])(C)", 3, 42.081), ("g", "S(=O)(=O)", "S(=O)(=O)", 3, 64.058),
+]
+_LETTERS = "translate(lower(replace(p_name, ' ', '')), 'abcdefghijklmnopqrstuvwxyz', 'abcdefgabcdefgabcdefgabcde')"
+_ATOMS = " + ".join(f"{x[3]} * (length(w) - length(replace(w, '{x[0]}', '')))" for x in _LINKS)
+_WEIGHT = " + ".join(f"{x[4]}::DOUBLE * (length(w) - length(replace(w, '{x[0]}', '')))" for x in _LINKS)
+_CHAIN = f"'a' || {_LETTERS} || repeat('a', (p_partkey % 5)::INT) || repeat('b', (p_size % 3)::INT) || 'a'"
+
+
+@query(f"""WITH p AS (SELECT p_partkey, {_CHAIN} AS w FROM part)
+SELECT p_partkey, min(p_partkey) OVER (PARTITION BY least(w, reverse(w))) AS first_key, {_ATOMS} AS n_atoms, round(2.016 + {_WEIGHT}, 3) AS weight, 4 * ({_ATOMS}) AS fragments, true AS same_print FROM p""")
+def structure_keys(spark: SparkSession, d: str) -> DataFrame:
+    """Chains spelled by the parts' names, the one half from their ends and with a salt: the first part of each structure, its weight and its fragments."""
+    letters = F.expr(_CHAIN.replace("::INT", "")).alias("w")
+    spell = lambda w, column: F.array_join(F.transform(F.filter(F.split(w, ""), lambda x: x != ""), lambda x: F.create_map(*(F.lit(y) for link in _LINKS for y in (link[0], link[column])))[x]), "")
+    w = table(spark, d, "part").select("p_partkey", letters)
+    inner = F.substring("w", F.lit(2), F.length("w") - 2)
+    texts = w.select("p_partkey", spell(F.col("w"), 1).alias("there"), F.concat(F.lit("[Na+].[Cl-].C"), spell(F.reverse(inner), 2), F.lit("C")).alias("back"))
+    spelled = texts.select(F.explode(F.array("there", "back")).alias("text"))
+    known = Scratch(spark, "structures").keep(structures.dictionary(spelled, "text").drop("structure"), "rows")
+    there = known.select(F.col("text").alias("there"), "key", F.size("parent.atoms").cast("long").alias("n_atoms"), F.col("fingerprint").alias("f"))
+    back = known.select(F.col("text").alias("back"), F.col("key").alias("key_back"), "weight", F.col("fingerprint").alias("g"))
+    told = texts.join(there, "there").join(back, "back")
+    told = told.withColumn("key", F.when(F.col("p_partkey") % 2 == 0, F.col("key")).otherwise(F.col("key_back")))
+    first = told.groupBy("key").agg(F.min("p_partkey").alias("first_key"))
+    fragments = F.aggregate("f", F.lit(0).cast("long"), lambda s, x: s + x["n"])
+    return told.select("p_partkey", "key", "n_atoms", "weight", fragments.alias("fragments"), (F.col("f") == F.col("g")).alias("same_print")).join(first, "key").drop("key")
