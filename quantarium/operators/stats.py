@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quantarium.session import Scratch
+
 
 def average_rank(value: str, within: list[str]) -> Column:
     """Ranks where equals share their mean."""
@@ -48,22 +50,31 @@ def shuffled(key: Column, seed: int) -> Column:
     return F.md5(F.concat(key.cast("string"), F.lit(f"#{seed}")))
 
 
-def hash_rank(df: DataFrame, within: list[str], member: str, seed: int, name: str = "_k") -> DataFrame:
-    """Number of each row in hash order in its group, from 1.
+def _ranked(df: DataFrame, within: list[str], member: str, seed: int) -> DataFrame:
+    """row (a struct of all columns) and k, the row's number in hash order in its group, from 1.
 
     Groups are cut by the hash's first digits: counts of these pieces give each its offset, so that
-    a group of any size is numbered by many tasks.
+    a group of any size is numbered by many tasks. The input is used twice, so it should be a table.
     """
-    rows = df.withColumn("_h", shuffled(F.col(member), seed)).withColumn("_piece", F.substring("_h", 1, 2))
-    pieces = rows.groupBy(*within, "_piece").agg(F.count("*").alias("_n"))
-    before = F.sum("_n").over(Window.partitionBy(*within).orderBy("_piece")) - F.col("_n")
-    pieces = pieces.select(*(F.col(c).alias(f"_w_{i}") for i, c in enumerate(within)), F.col("_piece").alias("_w"), before.alias("_before"))
-    match = F.col("_piece") == F.col("_w")
-    for i, c in enumerate(within):
-        match = match & F.col(c).eqNullSafe(F.col(f"_w_{i}"))
-    inside = F.row_number().over(Window.partitionBy(*within, "_piece").orderBy("_h", member))
-    rows = rows.join(pieces, match).withColumn(name, F.col("_before") + inside)
-    return rows.drop("_h", "_piece", "_before", "_w", *(f"_w_{i}" for i in range(len(within))))
+    group = F.struct(F.lit(0).alias("all"), *(df[c].alias(f"w{i}") for i, c in enumerate(within)))
+    rows = df.select(F.struct(*(df[f"`{c}`"] for c in df.columns)).alias("row"), group.alias("g"), df[member].alias("member"))
+    rows = rows.withColumn("h", shuffled(F.col("member"), seed)).withColumn("piece", F.substring("h", 1, 2))
+    pieces = rows.groupBy("g", "piece").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("g").orderBy("piece")) - F.col("n")
+    # members that are null have no hash; their piece is one of its own
+    pieces = pieces.select(F.col("g").alias("of"), F.col("piece").alias("at"), before.alias("before"))
+    inside = F.row_number().over(Window.partitionBy("g", "piece").orderBy("h", "member"))
+    return rows.join(pieces, (F.col("g") == F.col("of")) & F.col("piece").eqNullSafe(F.col("at"))).select("row", (F.col("before") + inside).alias("k"))
+
+
+def hash_rank(df: DataFrame, within: list[str], member: str, seed: int, name: str = "_k") -> DataFrame:
+    """The rows with their numbers in hash order in their groups, from 1."""
+    return _ranked(df, within, member, seed).select("row.*", F.col("k").alias(name))
+
+
+def _once(df: DataFrame, label: str) -> DataFrame:
+    """A table of rows that are used more than once."""
+    return Scratch(df.sparkSession, label).keep(df, "rows")
 
 
 def sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
@@ -81,25 +92,31 @@ def decoys(pool: DataFrame, tested: DataFrame, key: str, positives: int, rows: i
 
 
 def downsampled(df: DataFrame, keys: list[str], member: str, trigger: float = 0.05, ratio: float = 0.10, seed: int = 42) -> DataFrame:
-    """Where positives are rarer than trigger, only as many negatives as bring them to ratio."""
-    totals = df.groupBy(*keys).agg(F.sum("bin").alias("_p"), F.count("*").alias("_n"))
-    rows = hash_rank(df.join(totals, keys), [*keys, "bin"], member, seed)
-    keep = (F.col("bin") == 1) | (F.col("_p") >= trigger * F.col("_n")) | (F.col("_k") <= F.floor(F.col("_p") / F.lit(ratio)) - F.col("_p"))
-    return rows.where(keep).drop("_p", "_n", "_k")
+    """Where positives are rarer than trigger, only as many negatives as bring them to ratio.
+
+    Only the negatives of such groups are ranked; null keys are a group like any other.
+    """
+    rows = _once(df, "downsample").select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"), F.struct(*keys).alias("g"))
+    totals = rows.groupBy("g").agg(F.sum("row.bin").alias("p"), F.count("*").alias("n"))
+    rows = rows.join(totals, "g").withColumn("free", F.coalesce((F.col("row.bin") == 1) | (F.col("p") >= trigger * F.col("n")), F.lit(False)))
+    ranked = _ranked(rows.where("NOT free"), ["g"], f"row.`{member}`", seed)
+    p = F.col("row.p")
+    return rows.where("free").select("row.*").unionByName(ranked.where(F.col("k") <= F.floor(p / F.lit(ratio)) - p).select("row.row.*"))
 
 
 def folds(df: DataFrame, keys: list[str], member: str, n: int = 4, seed: int = 42) -> DataFrame:
     """A stratified fold number: rows of a class are dealt in hash order."""
-    return hash_rank(df, [*keys, "bin"], member, seed).withColumn("fold", ((F.col("_k") - 1) % n).cast("int")).drop("_k")
+    return _ranked(_once(df, "folds"), [*keys, "bin"], member, seed).select("row.*", ((F.col("k") - 1) % n).cast("int").alias("fold"))
 
 
 def capped(df: DataFrame, member: str, most: int, least: int = 4, seed: int = 42) -> DataFrame:
     """At most about `most` rows, each class in proportion and with `least` rows at least."""
-    counts = df.groupBy("bin").agg(F.count("*").alias("_c"))
-    total = df.count()
-    rows = hash_rank(df.join(counts, "bin"), ["bin"], member, seed)
-    allowed = F.greatest(F.lit(least), F.floor(F.col("_c") * F.lit(most / max(total, 1)))) if total > most else F.col("_c")
-    return rows.where(F.col("_k") <= allowed).drop("_c", "_k")
+    rows = _once(df, "capped")
+    counts = rows.groupBy("bin").agg(F.count("*").alias("c")).select(F.col("bin").alias("class"), "c")
+    ranked = _ranked(rows, ["bin"], member, seed)
+    total = rows.count()
+    allowed = F.greatest(F.lit(least), F.floor(F.col("c") * F.lit(most / max(total, 1)))) if total > most else F.col("c")
+    return ranked.join(counts, F.col("row.bin").eqNullSafe(F.col("class"))).where(F.col("k") <= allowed).select("row.*")
 
 
 def ends(df: DataFrame, order: str, n: int) -> DataFrame:
