@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quantarium.operators.stats import auroc, folds
+from quantarium.session import Scratch
 
 #: Fixed values of the published models, but for the depth: Spark's trees have at most 30 levels.
 TREES, DEPTH, FOLDS, SEED = 100, 30, 4, 42
@@ -29,7 +30,7 @@ def predict(model: RandomForestClassificationModel, rows: DataFrame) -> DataFram
 
 def cross_validated(rows: DataFrame, member: str, n: int = FOLDS, trees: int = TREES, depth: int = DEPTH, seed: int = SEED) -> DataFrame:
     """fold, auroc of a stratified cross-validation; rows: member, features, bin."""
-    dealt = folds(rows, [], member, n, seed).persist()
+    dealt = Scratch(rows.sparkSession, "dealt").keep(folds(rows, [], member, n, seed), "rows")  # every fold reads it twice
     out = None
     for k in range(n):
         scored = predict(fit(dealt.where(F.col("fold") != k), trees, depth, seed), dealt.where(F.col("fold") == k))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quantarium.operators.joins import nullsafe_join
 from quantarium.session import Scratch
 from quantarium.sources.measurements import TRIPLET
 
@@ -55,11 +58,52 @@ def relation_counts(df: DataFrame, keys: list[str] = TRIPLET) -> DataFrame:
     return df.groupBy(*keys).agg(*(F.count_if(F.col("relation") == r).alias(n) for r, n in (("=", "equal"), ("<", "lower"), (">", "higher"))))
 
 
+def cumulative(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """k0, k1, ... (the keys), v, n, before, total: each group's values in order, the rows with this one, with lesser ones, and in all.
+
+    Null values are left out; null keys are keys. Equal values are one row before anything is ordered. The
+    values are cut into ranges over all groups, so that a group of any size is counted by many tasks: sums
+    of its ranges, at most one a task, give each range its start.
+    """
+    group = [f"k{i}" for i in range(len(keys))]
+    rows = df.select(*(df[f"`{c}`"].alias(k) for c, k in zip(keys, group)), df[f"`{value}`"].alias("v")).where("v IS NOT NULL")
+    counts = rows.groupBy(*group, "v").agg(F.count("*").alias("n"))
+    ranged = Scratch(df.sparkSession, "cumulative").keep(counts.repartitionByRange(*group, "v").withColumn("part", F.spark_partition_id()), "values")
+    sums = ranged.groupBy(*group, "part").agg(F.sum("n").alias("n"))
+    each = Window.partitionBy(*group)
+    starts = sums.select(*group, "part", (F.sum("n").over(each.orderBy("part")) - F.col("n")).alias("start"), F.sum("n").over(each).alias("total"))
+    up_to = F.sum("n").over(Window.partitionBy(*group, "part").orderBy("v"))
+    inside = ranged.select(*group, "part", "v", "n", (up_to - F.col("n")).alias("inside"))
+    return nullsafe_join(inside, starts, [*group, "part"]).select(*group, "v", "n", (F.col("start") + F.col("inside")).alias("before"), "total")
+
+
+def quantiles(df: DataFrame, keys: list[str], value: str, shares: dict[str, float]) -> DataFrame:
+    """Keys and, under each name, the exact quantile at its share (0 to 1), by linear interpolation.
+
+    NaN is above all numbers, as Spark orders it; groups without values have no row.
+    """
+    rows = cumulative(df, keys, value)
+    group = [f"k{i}" for i in range(len(keys))]
+
+    def at(place: Column) -> Column:
+        return F.max(F.when((F.col("before") <= place) & (place < F.col("before") + F.col("n")), F.col("v")))
+
+    places = {name: F.lit(float(share)) * (F.col("total") - 1) for name, share in shares.items()}
+    ends = [e for i, x in enumerate(places.values()) for e in (at(F.floor(x)).alias(f"below{i}"), at(F.ceil(x)).alias(f"above{i}"))]
+    # only values that a quantile lies at or next to are gathered, at most two a quantile
+    near = [(x > F.col("before") - 1) & (x < F.col("before") + F.col("n")) for x in places.values()]
+    out = rows.where(reduce(lambda a, b: a | b, near)).groupBy(*group).agg(F.max("total").alias("total"), *ends)
+
+    def between(i: int, x: Column) -> Column:
+        low, high = F.col(f"below{i}"), F.col(f"above{i}")
+        return F.when(low == high, low.cast("double")).otherwise((F.ceil(x) - x) * low + (x - F.floor(x)) * high)
+
+    return out.select(*(F.col(k).alias(c) for c, k in zip(keys, group)), *(between(i, x).alias(name) for i, (name, x) in enumerate(places.items())))
+
+
 def percentiles(df: DataFrame, keys: list[str] = TRIPLET, value: str = "value") -> DataFrame:
     """Least, 1, 25, 50, 75, 99 % and largest value, by linear interpolation."""
-    p = F.percentile(value, F.array(*map(F.lit, (0.01, 0.25, 0.5, 0.75, 0.99)))).alias("p")
-    out = df.where(F.col(value).isNotNull()).groupBy(*keys).agg(F.min(value).alias("low"), p, F.max(value).alias("high"))
-    return out.select(*keys, "low", *(F.get("p", i).alias(n) for i, n in enumerate(("p01", "p25", "p50", "p75", "p99"))), "high")
+    return quantiles(df, keys, value, {"low": 0, "p01": 0.01, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p99": 0.99, "high": 1})
 
 
 def null_share(df: DataFrame, key: str, value: str = "value") -> DataFrame:

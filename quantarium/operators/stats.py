@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quantarium.session import Scratch
+from quantarium.session import Scratch, ship_package
 
 
 def average_rank(value: str, within: list[str]) -> Column:
@@ -14,14 +16,54 @@ def average_rank(value: str, within: list[str]) -> Column:
     return F.rank().over(w.orderBy(value)) + (F.count("*").over(w.partitionBy(*within, value)) - 1) / 2
 
 
-def spearman(vectors: DataFrame) -> DataFrame:
-    """key_1, key_2 (key_1 < key_2), rho over the places both have; vectors: (key, place, value).
-
-    Vectors of one reference set have the same places, so ranks within each vector serve all its pairs.
+#: Vectors and places in one block of a product: two blocks are at most 16 MB.
+VECTOR_BLOCK, PLACE_BLOCK = 512, 2048
+_SUMS = ["n", "a", "b", "aa", "bb", "ab"]
+
+
+def _products(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    """Of each pair of vectors in two blocks: common places, and sums of ranks, squares and products over them."""
+    places = np.intersect1d(left["place"].unique(), right["place"].unique())
+    keys, values, there = [], [], []
+    for rows in (left, right):
+        rows = rows[rows["place"].isin(places)]
+        own, at = np.unique(rows["key"], return_inverse=True)
+        x, has = np.zeros((len(own), len(places))), np.zeros((len(own), len(places)))
+        column = np.searchsorted(places, rows["place"])
+        x[at, column], has[at, column] = rows["r"], 1
+        keys.append(own)
+        values.append(x)
+        there.append(has)
+    (x, y), (p, q) = values, there
+    sums = dict(zip(_SUMS, (p @ q.T, x @ q.T, p @ y.T, (x * x) @ q.T, p @ (y * y).T, x @ y.T)))
+    i, j = np.nonzero((sums["n"] > 0) & (keys[0][:, None] < keys[1][None, :]))
+    return pd.DataFrame({"key_1": keys[0][i], "key_2": keys[1][j]} | {c: m[i, j] for c, m in sums.items()})
+
+
+def spearman(vectors: DataFrame, vector_block: int = VECTOR_BLOCK, place_block: int = PLACE_BLOCK) -> DataFrame:
+    """key_1, key_2 (key_1 < key_2), rho over the places both have; vectors: (key, place, value), one row a place.
+
+    Vectors of one reference set have the same places, so ranks within each vector serve all its pairs. Keys
+    and places are dealt to blocks by number, in their order; a task takes two blocks of vectors at one block of
+    places and gives six sums a pair, so a vector is sent once for each block of vectors and pairs are never
+    joined place by place. Ranks are taken from their mean, which keeps sums exact. Pairs without a common
+    place have no row, those where one side does not vary a null; rows with a null value are no places.
     """
-    ranked = vectors.withColumn("r", average_rank("value", ["key"]))
-    a, b = ranked.select(F.col("key").alias("key_1"), "place", F.col("r").alias("a")), ranked.select(F.col("key").alias("key_2"), "place", F.col("r").alias("b"))
-    return a.join(b, "place").where("key_1 < key_2").groupBy("key_1", "key_2").agg(F.corr("a", "b").alias("rho"))
+    vectors = vectors.select("key", "place", "value").where("key IS NOT NULL AND place IS NOT NULL AND value IS NOT NULL")
+    size = F.count("*").over(Window.partitionBy("key"))
+    ranked = vectors.select("key", "place", (average_rank("value", ["key"]) - (size + 1) / 2).alias("r"))
+    # hashes deal keys and places evenly; twice the blocks that would do keep them under their sizes
+    n = vectors.agg(F.approx_count_distinct("key").alias("keys"), F.approx_count_distinct("place").alias("places")).first()
+    k, p = (1 if x <= 0.9 * b else -(-2 * x // b) for x, b in ((n["keys"], vector_block), (n["places"], place_block)))
+    ranked = ranked.select("*", F.pmod(F.xxhash64("key"), F.lit(k)).cast("int").alias("own"), F.pmod(F.xxhash64("place"), F.lit(p)).cast("int").alias("at"))
+    left = ranked.select("at", F.col("own").alias("i"), F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("j"), "key", "place", "r")
+    right = ranked.select("at", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("i"), F.col("own").alias("j"), "key", "place", "r")
+    kind = vectors.schema["key"].dataType.simpleString()
+    ship_package(vectors.sparkSession)
+    sums = left.groupBy("at", "i", "j").cogroup(right.groupBy("at", "i", "j")).applyInPandas(_products, f"key_1 {kind}, key_2 {kind}, " + ", ".join(f"{c} double" for c in _SUMS))
+    sums = sums.groupBy("key_1", "key_2").agg(*(F.sum(c).alias(c) for c in _SUMS))
+    spread = F.sqrt((F.col("aa") - F.col("a") * F.col("a") / F.col("n")) * (F.col("bb") - F.col("b") * F.col("b") / F.col("n")))
+    return sums.select("key_1", "key_2", F.try_divide(F.col("ab") - F.col("a") * F.col("b") / F.col("n"), spread).alias("rho"))
 
 
 def top_overlap(vectors: DataFrame, top: int) -> DataFrame:
@@ -77,9 +119,15 @@ def _once(df: DataFrame, label: str) -> DataFrame:
     return Scratch(df.sparkSession, label).keep(df, "rows")
 
 
-def sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """n rows, the same ones for the same seed."""
-    return df.orderBy(shuffled(F.col(key), seed), key).limit(n)
+#: Rows that one task may pick at the end of an ordered limit.
+ONE_TASK = 10_000
+
+
+def sample(df: DataFrame, key: str, n: int, seed: int = 42, one_task: int = ONE_TASK) -> DataFrame:
+    """n rows, the same ones for the same seed; a large n is numbered by many tasks, not gathered by one."""
+    if n <= one_task:
+        return df.orderBy(shuffled(F.col(key), seed), key).limit(n)
+    return _ranked(_once(df, "sample"), [], key, seed).where(F.col("k") <= n).select("row.*")
 
 
 def decoys(pool: DataFrame, tested: DataFrame, key: str, positives: int, rows: int, ratio: float, seed: int = 42) -> DataFrame:

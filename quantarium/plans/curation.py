@@ -163,8 +163,8 @@ def distinct_non_blank(spark: SparkSession, d: str) -> DataFrame:
 def reference_similarity(spark: SparkSession, d: str) -> DataFrame:
     """Every vector against the first one of each class (one row a class)."""
     e = table(spark, d, "embeddings")
-    first = e.groupBy("label").agg(F.min_by("embedding", "vec_id").alias("v"))
-    return e.select("vec_id", "embedding").join(F.broadcast(first)).select("vec_id", "label", chemistry.tanimoto(F.col("embedding"), F.col("v")).alias("similarity"))
+    first = e.groupBy("label").agg(F.min_by("embedding", "vec_id").alias("embedding"))
+    return chemistry.to_references(e.select("vec_id", "embedding"), "embedding", first, "label")
 
 
 @query("WITH x AS (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM events), y AS (SELECT *, sum((before IS NULL OR ts - before >= INTERVAL 6 HOUR)::INT) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s FROM x) SELECT min(ts) AS start, max(ts) + INTERVAL 6 HOUR AS \"end\", user_id, count(*) AS n FROM y GROUP BY user_id, s")
