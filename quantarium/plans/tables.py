@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -233,12 +231,20 @@ def entity_report(spark: SparkSession, d: str) -> DataFrame:
     return out.withColumn("space_share", F.col("cpds") / F.lit(universe))
 
 
-@query("SELECT 'type,properties,required' AS keys, 3 AS fields, 'a' AS required, 'integer' AS kind")
+_CONFORMING = "c_custkey long NOT NULL, c_name string NOT NULL, c_acctbal double NOT NULL, c_note string"
+
+
+@query("""WITH r AS (SELECT c_custkey, c_name, CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_acctbal END AS c_acctbal, CASE WHEN c_custkey % 11 = 0 THEN c_nationkey END AS c_note FROM customer)
+SELECT 'c_custkey' AS field, 'integer' AS kind, true AS required, count(*) AS present, 0::BIGINT AS missing, 0::BIGINT AS mistyped FROM r
+UNION ALL SELECT 'c_name', 'string', true, count(*), 0, 0 FROM r
+UNION ALL SELECT 'c_acctbal', 'number', true, count(c_acctbal), count(*) - count(c_acctbal), 0 FROM r
+UNION ALL SELECT 'c_note', 'string', false, count(c_note), count(*) - count(c_note), count(c_note) FROM r""")
 def type_schema(spark: SparkSession, d: str) -> DataFrame:
-    """JSON schema of a type; one row about it."""
-    schema = files.json_schema(T.StructType([T.StructField("a", T.LongType(), False), T.StructField("b", T.ArrayType(T.StringType())), T.StructField("c", T.MapType(T.StringType(), T.DoubleType()))]))
-    row = (",".join(schema), len(schema["properties"]), ",".join(schema["required"]), json.loads(json.dumps(schema))["properties"]["a"]["type"])
-    return spark.createDataFrame([row], "keys string, fields int, required string, kind string")
+    """Customers as JSON answers, some without a required field, some with a number for a text, held against the JSON schema of a type."""
+    schema = files.json_schema(spark.createDataFrame([], _CONFORMING).schema)
+    key = F.col("c_custkey")
+    answers = table(spark, d, "customer").select(F.to_json(F.struct("c_custkey", "c_name", F.when(key % 7 != 0, F.col("c_acctbal")).alias("c_acctbal"), F.when(key % 11 == 0, F.col("c_nationkey")).alias("c_note"))).alias("answer"))
+    return files.conformance(answers, "answer", schema)
 
 
 @query(None)

@@ -153,6 +153,24 @@ def json_schema(schema: T.DataType) -> dict:
     return {"type": "boolean" if isinstance(schema, T.BooleanType) else "integer" if isinstance(schema, T.IntegralType) else "number" if isinstance(schema, T.NumericType) else "string"}
 
 
+def conformance(df: DataFrame, answer: str, schema: dict) -> DataFrame:
+    """field, kind, required, present, missing, mistyped: how JSON texts meet the fields of an object's schema.
+
+    One pass with a few counts a field. A field is missing if the text lacks it, holds null there or is no object;
+    an integer is a number too. Kinds are looked at one level deep.
+    """
+    value = F.try_parse_json(df[f"`{answer}`"])
+    sorts = {"integer": ["BIGINT"], "number": ["BIGINT", "DOUBLE", "FLOAT", "DECIMAL"], "string": ["STRING"], "boolean": ["BOOLEAN"], "array": ["ARRAY"], "object": ["OBJECT"]}
+    # the sort of a value without what it is made of: DECIMAL(3,1) is DECIMAL
+    sort = lambda name: F.regexp_extract(F.schema_of_variant(F.col(f"`{name}`")), "^[A-Z]+", 0)
+    names = list(schema["properties"])
+    fields = df.select(*(F.try_variant_get(value, f'$["{n}"]', "variant").alias(n) for n in names))
+    there = {n: F.coalesce(~F.is_variant_null(F.col(f"`{n}`")) & F.col(f"`{n}`").isNotNull(), F.lit(False)) for n in names}
+    counts = [F.struct(F.count_if(there[n]).alias("present"), F.count_if(~there[n]).alias("missing"), F.count_if(there[n] & ~sort(n).isin(sorts[schema["properties"][n]["type"]])).alias("mistyped")) for n in names]
+    told = [F.struct(F.lit(n).alias("field"), F.lit(schema["properties"][n]["type"]).alias("kind"), F.lit(n in schema["required"]).alias("required"), c.alias("c")) for n, c in zip(names, counts)]
+    return fields.agg(F.array(*told).alias("told")).select(F.explode("told").alias("t")).select("t.field", "t.kind", "t.required", "t.c.*")
+
+
 def nested_values(document: Column, key: str) -> Column:
     """All comma-separated values of a key anywhere in a JSON text: trimmed, distinct, in order."""
     found = F.regexp_extract_all(document, F.lit(rf'"{key}"\s*:\s*"((?:[^"\\]|\\.)*)"'), F.lit(1))

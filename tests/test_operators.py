@@ -253,3 +253,11 @@ def test_json_schema():
 
     s = files.json_schema(T.StructType([T.StructField("a", T.StructType([T.StructField("b", T.BooleanType(), False)])), T.StructField("c", T.ArrayType(T.DoubleType()), False)]))
     assert s == {"type": "object", "properties": {"a": {"type": "object", "properties": {"b": {"type": "boolean"}}, "required": ["b"]}, "c": {"type": "array", "items": {"type": "number"}}}, "required": ["c"]}
+
+
+def test_conformance(spark):
+    schema = {"properties": {"a": {"type": "integer"}, "b c": {"type": "number"}, "d": {"type": "array"}}, "required": ["a"]}
+    texts = ['{"a": 1, "b c": 2, "d": [1]}', '{"a": 1.5, "b c": 2.25}', '{"a": null, "d": {"x": 1}}', "[1]", "no json", None, '{"a": "1", "b c": true}']
+    got = {x.field: (x.kind, x.required, x.present, x.missing, x.mistyped) for x in files.conformance(spark.createDataFrame([(t,) for t in texts], "answer string"), "answer", schema).collect()}
+    assert got == {"a": ("integer", True, 3, 4, 2), "b c": ("number", False, 3, 4, 1), "d": ("array", False, 2, 5, 1)}
+    assert [x.present for x in files.conformance(spark.createDataFrame([], "answer string"), "answer", schema).collect()] == [0, 0, 0]
