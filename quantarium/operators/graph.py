@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -107,6 +109,49 @@ def prune(pairs: DataFrame, sizes: dict, score, least: float, loss: float = 0.02
     return dropped
 
 
+def prune_pools(
+    pairs: DataFrame, members: DataFrame, score: Callable[[DataFrame], DataFrame], scratch: Scratch, least: float, loss: float = 0.02, checks: int = 200, policy: str = "largest",
+) -> DataFrame:
+    """group, key, kept: `prune` of all pools at once, in rounds. members: (key, group, size); pairs: (key_1, key_2, agreement, n).
+
+    In each round every pool tries its next discordant pair whose members are both still there, and one call of
+    score, on (group, key) of all these trials, gives (group, score) of each; a pool without a row, or with a
+    null, has no score. There are as many rounds as the longest pool has checks, `checks` at most, and between them only
+    tables: members left, and each pool's score and place. Pairs across pools are none of theirs; null keys are no members.
+    """
+    if policy not in ("largest", "medoid"):
+        raise ValueError(f"unknown policy {policy}")
+    if policy == "medoid":
+        rank = F.coalesce(F.nullif("mean_agreement", F.lit(0.0)), F.lit(-1.0))
+        ranked = neighbour_agreement(pairs, members).select("group", "key", rank.alias("rank"))
+    else:
+        ranked = members.select("group", "key", F.col("size").alias("rank"))
+    ranked = scratch.keep(ranked.where("key IS NOT NULL"), "ranked")
+    side = lambda i: ranked.select(F.col("group").alias(f"group_{i}"), F.col("key").alias(f"key_{i}"), F.col("rank").alias(f"rank_{i}"))
+    open_pairs = pairs.where(F.col("agreement") < least).join(side(1), "key_1").join(side(2), "key_2").where("group_1 = group_2")
+    loser = F.when(F.col("rank_1") <= F.col("rank_2"), F.col("key_1")).otherwise(F.col("key_2"))
+    open_pairs = scratch.keep(open_pairs.select(F.col("group_1").alias("group"), F.struct("agreement", "key_1", "key_2").alias("pair"), loser.alias("loser")), "open")
+    kept = ranked.select("group", "key")
+    none = F.lit(None).cast(open_pairs.schema["pair"].dataType)
+    # a pool without any discordant pair needs no score
+    asked = open_pairs.select("group").distinct()
+    state = scratch.keep(asked.join(score(kept.join(asked, "group", "left_semi")), "group", "left").select("group", F.col("score").cast("double").alias("base"), none.alias("last")), "state")
+    for turn in range(checks):
+        there = open_pairs.join(state, "group").where("last IS NULL OR pair > last").select("*", "pair.key_1", "pair.key_2")
+        for one in ("key_1", "key_2"):
+            there = there.join(kept.toDF("group", one), ["group", one], "left_semi")
+        tried = scratch.keep(there.groupBy("group").agg(F.min("pair").alias("pair"), F.min_by("loser", "pair").alias("loser"), F.first("base").alias("base")), f"tried{turn}")
+        if tried.isEmpty():
+            break
+        now = score(kept.join(tried.select("group", "loser"), "group").where("key <> loser").select("group", "key")).select("group", F.col("score").cast("double").alias("now"))
+        goes = F.col("base").isNull() | F.col("now").isNull() | (F.col("now") >= F.col("base") - loss)
+        moved = scratch.keep(tried.join(now, "group", "left").select("group", "pair", "loser", goes.alias("goes"), F.when(goes, F.coalesce("now", "base")).otherwise(F.col("base")).alias("next")), f"moved{turn}")
+        # pools that had nothing left to try stay out
+        state = moved.select("group", F.col("next").alias("base"), F.col("pair").alias("last"))
+        kept = scratch.keep(kept.join(moved.where("goes").select("group", F.col("loser").alias("key")), ["group", "key"], "left_anti"), f"kept{turn}")
+    return ranked.select("group", "key").join(kept.withColumn("kept", F.lit(True)), ["group", "key"], "left").select("group", "key", F.coalesce("kept", F.lit(False)).alias("kept"))
+
+
 #: Ways to pool endpoints: by bucket, by family of a bucket, by component of agreement.
 def pool_by_bucket(endpoints: DataFrame) -> DataFrame:
     return endpoints.withColumn("pool", F.col("bucket"))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quantarium.functions import chemistry, text
 from quantarium.operators import curation, datasets, graph, joins, profile, selection, stats
 from quantarium.plans.catalog import _EDGES, CONSTANTS, FIXED, LABELLED, SMALL, STATS, M, _counted, _datasets, _edges, _endpoints, _labelled, _A, query
+from quantarium.session import Scratch
 from quantarium.sources.measurements import TRIPLET, measurements, table, threshold_rules
 from quantarium.streaming import incremental
 
@@ -172,6 +175,33 @@ def session_windows(spark: SparkSession, d: str) -> DataFrame:
     return incremental.sessions(table(spark, d, "events"), "ts", "user_id", "6 hours", "1 day")
 
 
+_LEAST, _LOSS, _CHECKS = 0.62, 0.004, 5
+
+
+@query(f"""WITH RECURSIVE {_EDGES}, g AS (SELECT k AS key, (k // 10) % 6 AS grp, count(*) AS n, sum(l) AS pos FROM r GROUP BY k),
+s AS (SELECT key_1 AS key, key_2 AS other, agreement, n FROM e UNION ALL SELECT key_2, key_1, agreement, n FROM e),
+x AS (SELECT s.key, sum(agreement * s.n) / sum(s.n) AS mean FROM s JOIN g a ON s.key = a.key JOIN g o ON s.other = o.key AND a.grp = o.grp GROUP BY s.key),
+k AS (SELECT policy, g.*, CASE policy WHEN 'largest' THEN n::DOUBLE ELSE coalesce(nullif(mean, 0), -1) END AS place FROM g LEFT JOIN x USING (key), (SELECT unnest(['largest', 'medoid']) AS policy)),
+o AS (SELECT a.policy, a.grp, key_1, key_2, row_number() OVER (PARTITION BY a.policy, a.grp ORDER BY agreement, key_1, key_2) AS p, CASE WHEN a.place <= b.place THEN key_1 ELSE key_2 END AS loser
+ FROM e JOIN k a ON key_1 = a.key JOIN k b ON key_2 = b.key AND a.policy = b.policy AND a.grp = b.grp WHERE agreement < {_LEAST}),
+w AS (SELECT policy, grp, 0::BIGINT AS p, []::BIGINT[] AS gone, 0 AS done, sum(n)::BIGINT AS n, sum(pos)::BIGINT AS pos FROM k GROUP BY policy, grp UNION ALL
+ SELECT policy, grp, p, CASE WHEN goes THEN list_append(gone, loser) ELSE gone END, done + tried::INT, CASE WHEN goes THEN n - ln ELSE n END, CASE WHEN goes THEN pos - lp ELSE pos END FROM (SELECT *, tried AND (pos - lp) / (n - ln) >= pos / n - {_LOSS} AS goes FROM (
+  SELECT w.policy, w.grp, o.p, w.gone, w.done, w.n, w.pos, o.loser, g.n::BIGINT AS ln, g.pos::BIGINT AS lp, w.done < {_CHECKS} AND NOT list_contains(w.gone, o.key_1) AND NOT list_contains(w.gone, o.key_2) AS tried
+  FROM w JOIN o ON o.policy = w.policy AND o.grp = w.grp AND o.p = w.p + 1 JOIN g ON g.key = o.loser)))
+SELECT k.policy, k.grp AS "group", k.key, NOT list_contains(z.gone, k.key) AS kept FROM k JOIN (SELECT policy, grp, arg_max(gone, p) AS gone FROM w GROUP BY policy, grp) z ON z.policy = k.policy AND z.grp = k.grp""")
+def guarded_pruning(spark: SparkSession, d: str) -> DataFrame:
+    """Pools of endpoints lose members of discordant pairs while their score (here the share of actives) holds, by both policies."""
+    scratch = Scratch(spark, "pruning")
+    sizes = _endpoints(spark, d).groupBy("key", (F.floor(F.col("key") / 10) % 6).cast("long").alias("group")).agg(F.count("*").alias("size"), F.sum("bin").alias("positives"))
+    members, pairs = scratch.keep(sizes, "members"), scratch.keep(_edges(spark, d), "pairs")
+
+    def score(trials: DataFrame) -> DataFrame:
+        return trials.join(members, ["group", "key"]).groupBy("group").agg((F.sum("positives") / F.sum("size")).alias("score"))
+
+    by = (graph.prune_pools(pairs, members.select("key", "group", "size"), score, Scratch(spark, policy), _LEAST, _LOSS, _CHECKS, policy).select(F.lit(policy).alias("policy"), "*") for policy in ("largest", "medoid"))
+    return reduce(DataFrame.unionByName, by)
+
+
 @query(f"WITH {M} SELECT activity_type, count(*) AS n, count(*) FILTER (value IS NOT NULL AND text_flag = 0) AS numeric_only, count(*) FILTER (value IS NOT NULL AND text_flag <> 0) AS numeric_flagged, 100 * avg((abs(coalesce(greatest(1, least(9, value / 10)), 1) - greatest(1, least(9, mw / 300))) < 1)::INT) AS agreeing FROM m GROUP BY activity_type")
 def agreement_rate(spark: SparkSession, d: str) -> DataFrame:
     from quantarium.functions.numeric import clip

@@ -236,6 +236,42 @@ def test_prune_policies(spark):
         graph.prune(pairs, sizes, lambda gone: 0.8, 0.5, policy="other")
 
 
+def test_prune_pools_is_prune_of_each(spark):
+    """Many pools with ties, missing scores and pairs across pools, held against the walk of one pool after the other."""
+    import random
+
+    from quantarium.session import Scratch
+
+    r = random.Random(4)
+    rows = [(k, k % 5, r.randrange(1, 4)) for k in range(40)]
+    pairs = [(a, b, r.choice([0.1, 0.2, 0.3, 0.6]), 5 + a) for a in range(40) for b in range(a + 1, 40) if r.random() < 0.35]
+    worth = {k: r.choice([0, 1, 2]) for k, _, _ in rows}
+    value = lambda left: None if sum(left) % 13 == 0 else sum(worth[k] for k in left) / len(left)
+    members = spark.createDataFrame([*rows, (None, 1, 1)], "key long, group int, size int")
+    edges = spark.createDataFrame(pairs, "key_1 long, key_2 long, agreement double, n long").repartition(4)
+    calls = []
+
+    def score(trials):
+        calls.append(1)
+        left = {}
+        for x in trials.collect():
+            left.setdefault(x.group, []).append(x.key)
+        return spark.createDataFrame([(g, value(ks)) for g, ks in left.items() if value(ks) is not None], "group int, score double")
+
+    for policy, checks in (("largest", 200), ("medoid", 3)):
+        calls.clear()
+        got = graph.prune_pools(edges, members, score, Scratch(spark, "prune"), 0.5, 0.1, checks, policy).collect()
+        assert len(calls) <= checks + 1
+        for g in range(5):
+            keys = [k for k, h, _ in rows if h == g]
+            own = [p for p in pairs if p[0] in keys and p[1] in keys]
+            near = {k: [(c, n) for a, b, c, n in own if k in (a, b)] for k in keys}
+            mean = {k: sum(c * n for c, n in v) / sum(n for _, n in v) for k, v in near.items() if v}
+            gone = graph.prune(spark.createDataFrame(own, edges.schema), {k: s for k, _, s in rows}, lambda x: value([k for k in keys if k not in x]), 0.5, 0.1, checks, policy, mean)
+            assert sorted(x.key for x in got if x.group == g and not x.kept) == sorted(gone) and sum(x.group == g for x in got) == len(keys)
+    assert graph.prune_pools(edges.limit(0), members, score, Scratch(spark, "prune"), 0.5).where("kept").count() == 40
+
+
 def test_database_source(spark, tmp_path):
     """Written to and read from an embedded database; the columns asked for are all that is read."""
     spark._jvm.System.setProperty("derby.stream.error.file", str(tmp_path / "derby.log"))
