@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quantarium.functions import numeric, structures, text
-from quantarium.operators import components, diversity, graph, joins, linkage, profile, stats
+from quantarium.operators import components, diversity, graph, joins, linkage, profile, selection, stats
 from quantarium.plans.catalog import _EDGES, LABELLED, M, _edges, _endpoints, _labelled, query
 from quantarium.session import Scratch
 from quantarium.sources import archives, files, keyed, pages
 from quantarium.sources.measurements import measurements, table
-from quantarium.streaming import latest
+from quantarium.streaming import incremental, latest
 
 
 def _folder(spark: SparkSession, label: str) -> str:
@@ -69,6 +69,45 @@ def archive_round_trip(spark: SparkSession, d: str) -> DataFrame:
     return out.select("n_nationkey", "n_name", F.regexp_extract("member", r"^(.*)-\d+\.csv\.gz$", 1).alias("r_name"))
 
 
+@query("SELECT c_custkey, c_name, c_acctbal FROM customer")
+def tabbed_source(spark: SparkSession, d: str) -> DataFrame:
+    """Customers as tab-separated lines without a header, each file's first line a comment."""
+    path = f"{_folder(spark, 'tabbed')}/customers"
+    line = F.concat_ws("\t", "c_custkey", "c_name", "c_acctbal")
+    note = F.when(F.col("c_custkey") % 50 == 1, F.array(F.lit("# customers"), line)).otherwise(F.array(line))
+    table(spark, d, "customer").select(F.explode(note).alias("value")).write.text(path)
+    return files.read_csv(spark, path, T._parse_datatype_string(_CUSTOMERS), separator="\t", comment="#", header=False)
+
+
+@query("SELECT p_partkey, list_aggregate(list_sort(list_distinct([p_brand, p_type, p_name])), 'string_agg', ';') AS codes FROM part")
+def nested_key_search(spark: SparkSession, d: str) -> DataFrame:
+    """The values of one key wherever it stands in a JSON text, split at commas; other keys and levels are around it."""
+    inner = F.struct(F.lit("x").alias("note"), F.concat("p_type", F.lit(" , "), "p_brand").alias("codes no."))
+    deep = F.struct(F.array(inner, inner).alias("list"), F.col("p_name").alias("codes no."), F.lit("w").alias("codes"))
+    return table(spark, d, "part").select("p_partkey", F.array_join(files.nested_values(F.to_json(F.struct(deep.alias("top"))), "codes no."), ";").alias("codes"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 50 <> 0 THEN event_id * 2 END AS answer FROM events")
+def batched_answers(spark: SparkSession, d: str) -> DataFrame:
+    """Events sent to a service six at a time; it refuses every batch with an item that it can't answer, so the others go alone."""
+
+    def service(items: list[int]) -> list[int]:
+        if any(i % 50 == 0 for i in items):
+            raise ValueError("one of these has no answer")
+        return [2 * i for i in items]
+
+    return incremental.answered(table(spark, d, "events").select("event_id"), "event_id", service, "long")
+
+
+@query(f"""WITH {_EDGES}, s AS (SELECT key_1 AS name, key_2 AS other, agreement FROM e UNION ALL SELECT key_2, key_1, agreement FROM e)
+SELECT name, arg_max(other, (agreement, other)) AS cause, max(agreement) AS score FROM s WHERE (name // 10) % 3 <> 0 AND (other // 10) % 3 = 0 GROUP BY name""")
+def best_correlated_cause(spark: SparkSession, d: str) -> DataFrame:
+    """For endpoints that a rule drops, the kept one each agrees with best."""
+    pairs = Scratch(spark, "causes").keep(_edges(spark, d).withColumnRenamed("agreement", "score"), "pairs")
+    names = pairs.select(F.explode(F.array("key_1", "key_2")).alias("name")).distinct()
+    return selection.causes(names.select("name", (F.floor(F.col("name") / 10) % 3 == 0).alias("kept")), pairs)
+
+
 @query("SELECT n_nationkey, n_name FROM nation")
 def paginated_source(spark: SparkSession, d: str) -> DataFrame:
     """Pages of five nations each as JSON answers, fetched by their addresses."""

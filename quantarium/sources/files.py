@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gzip
 import io
+import re
 import urllib.request
 import zipfile
 from collections.abc import Callable, Iterator
@@ -172,9 +173,10 @@ def conformance(df: DataFrame, answer: str, schema: dict) -> DataFrame:
 
 
 def nested_values(document: Column, key: str) -> Column:
-    """All comma-separated values of a key anywhere in a JSON text: trimmed, distinct, in order."""
-    found = F.regexp_extract_all(document, F.lit(rf'"{key}"\s*:\s*"((?:[^"\\]|\\.)*)"'), F.lit(1))
-    parts = F.flatten(F.transform(found, lambda x: F.split(x, ",")))
+    """All comma-separated values of a key anywhere in a JSON text, escapes read: trimmed, distinct, in order; none for a null."""
+    found = F.regexp_extract_all(F.coalesce(document, F.lit("")), F.lit(rf'"{re.escape(key)}"\s*:\s*"((?:[^"\\]|\\.)*)"'), F.lit(1))
+    read = F.transform(found, lambda x: F.from_json(F.concat(F.lit('{"v":"'), x, F.lit('"}')), "v string")["v"])
+    parts = F.flatten(F.transform(F.filter(read, lambda x: x.isNotNull()), lambda x: F.split(x, ",")))
     return F.array_sort(F.array_distinct(F.filter(F.transform(parts, lambda x: F.trim(x)), lambda x: x != "")))
 
 

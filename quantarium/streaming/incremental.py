@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from quantarium.operators.joins import nullsafe_join
+from quantarium.session import ship_package
 
 
 def remaining(source: DataFrame, committed: DataFrame, keys: list[str]) -> DataFrame:
@@ -59,3 +62,22 @@ def retried(step: Callable[[list], list], items: list, size: int = 6, tries: int
             found = [None] if len(batch) == 1 else [x for item in batch for x in retried(step, [item], 1, tries)]
         out += found
     return out
+
+
+def answered(df: DataFrame, item: str, step: Callable[[list], list], kind: str = "string", size: int = 6, tries: int = 3) -> DataFrame:
+    """The rows and step's `answer` to each item, asked by the tasks in batches of `size` with retries, then item by item; null if it fails.
+
+    A task that is lost asks its rows again, so step should not count its calls. Null items are not asked.
+    """
+    if "answer" in df.columns:
+        raise ValueError("the rows have an answer already")
+
+    def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            there = frame[item].notna().to_numpy()
+            answers = pd.Series([None] * len(frame), index=frame.index, dtype=object)
+            answers[there] = retried(step, frame.loc[there, item].tolist(), size, tries)
+            yield frame.assign(answer=answers)
+
+    ship_package(df.sparkSession)
+    return df.mapInPandas(ask, T.StructType([*df.schema.fields, *T._parse_datatype_string(f"answer {kind}").fields]))

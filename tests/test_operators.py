@@ -198,6 +198,27 @@ def test_streaming(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
 
 
+def test_nested_values_escapes_and_edges(spark):
+    rows = [('{"a": {"no.": "x\\"y, z"}, "b": [{"no.": "z"}], "noo": "w"}',), (None,), ("no json",), ('{"no.": 5}',), ('{"no.": " , "}',)]
+    out = [r.v for r in spark.createDataFrame(rows, "t string").select(files.nested_values(F.col("t"), "no.").alias("v")).collect()]
+    assert out == [['x"y', "z"], [], [], [], []]
+
+
+def test_answered_keeps_every_row(spark):
+    def step(items):
+        if 3.0 in items:
+            raise OSError
+        return [f"{i:.0f}" for i in items]
+
+    rows = [(None,), *((float(i),) for i in range(20)), (5.0,)]
+    df = spark.createDataFrame(rows, "id double").repartition(3)
+    got = sorted(((r.id, r.answer) for r in incremental.answered(df, "id", step, size=4, tries=2).collect()), key=str)
+    assert got == sorted(((i, None if i is None or i == 3 else f"{i:.0f}") for (i,) in rows), key=str)
+    assert incremental.answered(df.limit(0), "id", step).collect() == []
+    with pytest.raises(ValueError):
+        incremental.answered(df.withColumn("answer", F.lit(1)), "id", step)
+
+
 def test_retried():
     calls = []
 
