@@ -109,23 +109,28 @@ def prune(pairs: DataFrame, sizes: dict, score, least: float, loss: float = 0.02
     return dropped
 
 
-def prune_pools(
-    pairs: DataFrame, members: DataFrame, score: Callable[[DataFrame], DataFrame], scratch: Scratch, least: float, loss: float = 0.02, checks: int = 200, policy: str = "largest",
-) -> DataFrame:
-    """group, key, kept: `prune` of all pools at once, in rounds. members: (key, group, size); pairs: (key_1, key_2, agreement, n).
+def ranks(pairs: DataFrame, members: DataFrame, policy: str = "largest") -> DataFrame:
+    """group, key, rank: which of a discordant pair stays, by size (`largest`) or by mean agreement with the pool (`medoid`).
+
+    members: (key, group, size); pairs: (key_1, key_2, agreement, n). No agreement, or none but 0, ranks below all.
+    """
+    if policy not in ("largest", "medoid"):
+        raise ValueError(f"unknown policy {policy}")
+    if policy == "largest":
+        return members.select("group", "key", F.col("size").cast("double").alias("rank"))
+    rank = F.coalesce(F.nullif("mean_agreement", F.lit(0.0)), F.lit(-1.0))
+    return neighbour_agreement(pairs, members).select("group", "key", rank.alias("rank"))
+
+
+def prune_pools(pairs: DataFrame, ranked: DataFrame, score: Callable[[DataFrame], DataFrame], scratch: Scratch, least: float, loss: float = 0.02, checks: int = 200) -> DataFrame:
+    """group, key, kept: `prune` of all pools at once, in rounds; ranked: group, key, rank, as of `ranks`.
 
     In each round every pool tries its next discordant pair whose members are both still there, and one call of
     score, on (group, key) of all these trials, gives (group, score) of each; a pool without a row, or with a
     null, has no score. There are as many rounds as the longest pool has checks, `checks` at most, and between them only
     tables: members left, and each pool's score and place. Pairs across pools are none of theirs; null keys are no members.
+    A key may be in several pools, one for each policy say.
     """
-    if policy not in ("largest", "medoid"):
-        raise ValueError(f"unknown policy {policy}")
-    if policy == "medoid":
-        rank = F.coalesce(F.nullif("mean_agreement", F.lit(0.0)), F.lit(-1.0))
-        ranked = neighbour_agreement(pairs, members).select("group", "key", rank.alias("rank"))
-    else:
-        ranked = members.select("group", "key", F.col("size").alias("rank"))
     ranked = scratch.keep(ranked.where("key IS NOT NULL"), "ranked")
     side = lambda i: ranked.select(F.col("group").alias(f"group_{i}"), F.col("key").alias(f"key_{i}"), F.col("rank").alias(f"rank_{i}"))
     open_pairs = pairs.where(F.col("agreement") < least).join(side(1), "key_1").join(side(2), "key_2").where("group_1 = group_2")

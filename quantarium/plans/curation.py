@@ -196,10 +196,12 @@ def guarded_pruning(spark: SparkSession, d: str) -> DataFrame:
     members, pairs = scratch.keep(sizes, "members"), scratch.keep(_edges(spark, d), "pairs")
 
     def score(trials: DataFrame) -> DataFrame:
-        return trials.join(members, ["group", "key"]).groupBy("group").agg((F.sum("positives") / F.sum("size")).alias("score"))
+        return trials.join(members.select("key", "positives", "size"), "key").groupBy("group").agg((F.sum("positives") / F.sum("size")).alias("score"))
 
-    by = (graph.prune_pools(pairs, members.select("key", "group", "size"), score, Scratch(spark, policy), _LEAST, _LOSS, _CHECKS, policy).select(F.lit(policy).alias("policy"), "*") for policy in ("largest", "medoid"))
-    return reduce(DataFrame.unionByName, by)
+    # each policy has pools of its own, so both go through the same rounds
+    pools = (graph.ranks(pairs, members, policy).withColumn("group", F.struct(F.lit(policy).alias("policy"), "group")) for policy in ("largest", "medoid"))
+    out = graph.prune_pools(pairs, reduce(DataFrame.unionByName, pools), score, scratch, _LEAST, _LOSS, _CHECKS)
+    return out.select("group.policy", "group.group", "key", "kept")
 
 
 @query(f"WITH {M} SELECT activity_type, count(*) AS n, count(*) FILTER (value IS NOT NULL AND text_flag = 0) AS numeric_only, count(*) FILTER (value IS NOT NULL AND text_flag <> 0) AS numeric_flagged, 100 * avg((abs(coalesce(greatest(1, least(9, value / 10)), 1) - greatest(1, least(9, mw / 300))) < 1)::INT) AS agreeing FROM m GROUP BY activity_type")

@@ -281,7 +281,7 @@ def test_prune_pools_is_prune_of_each(spark):
 
     for policy, checks in (("largest", 200), ("medoid", 3)):
         calls.clear()
-        got = graph.prune_pools(edges, members, score, Scratch(spark, "prune"), 0.5, 0.1, checks, policy).collect()
+        got = graph.prune_pools(edges, graph.ranks(edges, members, policy), score, Scratch(spark, "prune"), 0.5, 0.1, checks).collect()
         assert len(calls) <= checks + 1
         for g in range(5):
             keys = [k for k, h, _ in rows if h == g]
@@ -290,7 +290,7 @@ def test_prune_pools_is_prune_of_each(spark):
             mean = {k: sum(c * n for c, n in v) / sum(n for _, n in v) for k, v in near.items() if v}
             gone = graph.prune(spark.createDataFrame(own, edges.schema), {k: s for k, _, s in rows}, lambda x: value([k for k in keys if k not in x]), 0.5, 0.1, checks, policy, mean)
             assert sorted(x.key for x in got if x.group == g and not x.kept) == sorted(gone) and sum(x.group == g for x in got) == len(keys)
-    assert graph.prune_pools(edges.limit(0), members, score, Scratch(spark, "prune"), 0.5).where("kept").count() == 40
+    assert graph.prune_pools(edges.limit(0), graph.ranks(edges, members), score, Scratch(spark, "prune"), 0.5).where("kept").count() == 40
 
 
 def test_database_source(spark, tmp_path):
