@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from quantarium.llm import arrow_text
-from quantarium.session import ship_package
+from quantarium.session import ship_package, small_reads
 
 SAMPLE_ROWS = 6_000
 LABEL_ROWS = 1_000
@@ -135,14 +135,16 @@ def in_holdout(id_column: Column, parts: int, part: int) -> Column:
 def train(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = SAMPLE_ROWS, label_rows: int = LABEL_ROWS) -> LanguageModel:
     """Fit on labelled rows outside the holdout (crc32 of the id's text, mod 4, is 2)."""
     ship_package(documents.sparkSession)
+    small_reads(documents.sparkSession)
     rows = documents.select(documents[id_col].alias("id"), documents[text_col].alias("text"), documents[lang_col].cast("string").alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~in_holdout(F.col("id"), 4, 2))
     documents_ = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row a language
     total = sum(documents_.values())
     sample = rows
     if total > sample_rows:
-        bounds = [(x, int(min(1.0, max(label_rows / n, sample_rows / total)) * PLACES)) for x, n in documents_.items()]
-        bounds = documents.sparkSession.createDataFrame(bounds, "lang string, bound long")
+        bounds = [int(min(1.0, max(label_rows / n, sample_rows / total)) * PLACES) for n in documents_.values()]
+        # an Arrow table needs no Python workers, of which a list of rows would start more on each executor
+        bounds = documents.sparkSession.createDataFrame(pa.table({"lang": pa.array(list(documents_), pa.string()), "bound": pa.array(bounds, pa.int64())}))
         sample = rows.join(F.broadcast(bounds), "lang").where(F.pmod(F.xxhash64("id"), F.lit(PLACES)) < F.col("bound"))
 
     def count(batches):
@@ -177,6 +179,7 @@ def train(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def identify(documents: DataFrame, model: LanguageModel, carry: list[str] | None = None, text_col: str = "text") -> DataFrame:
     """row (a struct of the carried columns), lang_pred and score of each document."""
     ship_package(documents.sparkSession)
+    small_reads(documents.sparkSession)
     carry = documents.columns if carry is None else carry
     shared = documents.sparkSession.sparkContext.broadcast(model)  # bounded as the sample is
 

@@ -191,6 +191,29 @@ def test_language_samples_every_label(spark):
     assert language.SAMPLE_ROWS >= 6000
 
 
+def test_language_reads_small_batches(spark, tmp_path, monkeypatch):
+    """The check's executors' heaps grew with read batches of 4096 texts, and held Python workers for a table of one row a label."""
+    other, made = spark.newSession(), []  # with Spark's defaults
+    other.range(5000).selectExpr("id AS doc_id", "concat('the cat ', id) AS text", "'en' AS lang").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    df = other.read.parquet(str(tmp_path / "documents.parquet"))
+    create = type(other).createDataFrame
+    monkeypatch.setattr(type(other), "createDataFrame", lambda self, *a, **k: made.append(create(self, *a, **k)) or made[-1])
+    found = language.identify(df, language.train(df, sample_rows=40, label_rows=10), carry=["doc_id"])
+    assert len(made) == 1 and "ExistingRDD" not in made[0]._jdf.queryExecution().toString()
+    plan = found._jdf.queryExecution().executedPlan()
+    assert plan.execute().count() == 5000
+    nodes, batches = [plan], []
+    while nodes:
+        node = nodes.pop()
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+        if node.metrics().contains("numInputBatches"):
+            batches.append(node.metrics().apply("numInputBatches").value())
+    assert batches and min(batches) >= 5000 / 256
+    other.conf.set("spark.sql.parquet.columnarReaderBatchSize", "1000")
+    language.identify(df, language.LanguageModel.of([], [], [], np.zeros((0, 0)), [], np.zeros((0, 0))))
+    assert other.conf.get("spark.sql.parquet.columnarReaderBatchSize") == "1000"  # the user's own stays
+
+
 def test_language_ignores_holdout_labels(spark):
     rows = [(i, prose(i, 20), "en") for i in range(200)]
     wrong = [(d, t, "zz" if zlib.crc32(str(d).encode()) % 4 == 2 else lang) for d, t, lang in rows]
