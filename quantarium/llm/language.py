@@ -21,10 +21,12 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
@@ -58,40 +60,52 @@ def ngrams(word: str, longest: int = LONGEST) -> list[str]:
 
 @dataclass
 class LanguageModel:
-    """Log frequencies: words and n-grams to rows of one value a language."""
+    """Log frequencies: words and n-grams, each with a row of one value a language. The driver holds arrays only; a worker that looks words up makes the dictionaries."""
 
     languages: list[str]
     prior: np.ndarray
-    words: dict[str, int]
+    words: pa.Array
     word_logs: np.ndarray
-    grams: dict[str, int]
+    grams: pa.Array
     gram_logs: np.ndarray
 
     @staticmethod
-    def of(languages: list[str], documents: list[int], words: list[str], word_counts: np.ndarray, grams: list[str], gram_counts: np.ndarray) -> LanguageModel:
+    def of(languages: list[str], documents: list[int], words: pa.Array | list[str], word_counts: np.ndarray, grams: pa.Array | list[str], gram_counts: np.ndarray) -> LanguageModel:
         """From counts a language (columns) of words and n-grams (rows)."""
+        words, grams = (x if isinstance(x, pa.Array) else pa.array(x, pa.string()) for x in (words, grams))
         prior = np.log(np.array(documents, dtype=float) / max(1, sum(documents)))
         logs = np.zeros(gram_counts.shape, dtype=np.float32)
-        sizes = np.array(list(map(len, grams)), dtype=np.int64)
+        sizes = pc.utf8_length(grams).to_numpy(zero_copy_only=False)
         for size in np.unique(sizes):
             logs[sizes == size] = LanguageModel._logs(gram_counts[sizes == size])
-        return LanguageModel(languages, prior, {w: i for i, w in enumerate(words)}, LanguageModel._logs(word_counts), {g: i for i, g in enumerate(grams)}, logs)
+        return LanguageModel(languages, prior, words, LanguageModel._logs(word_counts), grams, logs)
 
     @staticmethod
     def _logs(counts: np.ndarray) -> np.ndarray:
-        """Add-half smoothed log relative frequencies."""
-        table = counts + 0.5
-        return np.log(table / np.maximum(table.sum(axis=0), 1)).astype(np.float32)
+        """Add-half smoothed log relative frequencies, a language at a time."""
+        logs = np.zeros(counts.shape, dtype=np.float32)
+        for i in range(counts.shape[1]):
+            column = counts[:, i] + 0.5
+            logs[:, i] = np.log(column / max(column.sum(), 1))
+        return logs
+
+    @cached_property
+    def word_rows(self) -> dict[str, int]:
+        return {w: i for i, w in enumerate(self.words.to_pylist())}
+
+    @cached_property
+    def gram_rows(self) -> dict[str, int]:
+        return {g: i for i, g in enumerate(self.grams.to_pylist())}
 
     def score(self, word: str) -> np.ndarray:
-        found = self.words.get(word)
+        found = self.word_rows.get(word)
         if found is not None:
             return self.word_logs[found]
         padded, i = f"^{word}$", 0
         total = np.zeros(len(self.languages), dtype=np.float32)
         while i < len(padded):
             for n in range(min(LONGEST, len(padded) - i), 0, -1):
-                found = self.grams.get(padded[i : i + n])
+                found = self.gram_rows.get(padded[i : i + n])
                 if found is not None:
                     total = total + self.gram_logs[found]
                     break
@@ -139,7 +153,8 @@ def train(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = documents.select(documents[id_col].alias("id"), documents[text_col].alias("text"), documents[lang_col].cast("string").alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~in_holdout(F.col("id"), 4, 2))
     documents_ = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row a language
-    total = sum(documents_.values())
+    total, languages = sum(documents_.values()), sorted(documents_)
+    places = {x: i for i, x in enumerate(languages)}
     sample = rows
     if total > sample_rows:
         bounds = [int(min(1.0, max(label_rows / n, sample_rows / total)) * PLACES) for n in documents_.values()]
@@ -161,19 +176,26 @@ def train(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 out = list(found.items())
                 for at in range(0, len(out), 100_000):
                     tokens, n = zip(*out[at : at + 100_000])
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n)), pa.array([kind] * len(n)), pa.array(tokens, pa.string()), pa.array(n, pa.int64())], ["lang", "kind", "token", "n"])
+                    yield pa.RecordBatch.from_arrays([pa.array([places[lang]] * len(n), pa.int32()), pa.array([kind] * len(n)), pa.array(tokens, pa.string()), pa.array(n, pa.int64())], ["lang", "kind", "token", "n"])
 
-    counted = sample.select("text", "lang").mapInArrow(arrow_text.tidied(count), "lang string, kind string, token string, n long")
+    counted = sample.select("text", "lang").mapInArrow(arrow_text.tidied(count), "lang int, kind string, token string, n long")
     counted = counted.groupBy("kind", "token", "lang").agg(F.sum("n").alias("n"))
-    kept = counted.groupBy("kind", "token").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("n"), F.sum("n").alias("total"))
-    kept = kept.where("total > 1").orderBy("kind", "token").select("kind", "token", "n").collect()  # the sample's words and n-grams, bounded as it is
-    rows_: dict[str, list] = {k: [r for r in kept if r["kind"] == k] for k in "wg"}
-    languages = sorted(documents_)
-
-    def table(kind: str) -> np.ndarray:
-        return np.array([[r["n"].get(x, 0) for x in languages] for r in rows_[kind]], dtype=float).reshape(len(rows_[kind]), len(languages))
-
-    return LanguageModel.of(languages, [documents_[x] for x in languages], [r["token"] for r in rows_["w"]], table("w"), [r["token"] for r in rows_["g"]], table("g"))
+    kept = counted.groupBy("kind", "token").agg(F.collect_list(F.struct("lang", "n")).alias("n"), F.sum("n").alias("total"))
+    # the sample's words and n-grams, bounded as it is, as arrays: as rows of Python they took 958 bytes each
+    kept = kept.where("total > 1").orderBy("kind", "token").select("kind", "token", "n").toArrow()
+
+    def table(kind: str) -> tuple[pa.Array, np.ndarray]:
+        found = kept.filter(pc.equal(kept["kind"], kind))
+        row = np.repeat(np.arange(len(found)), pc.list_value_length(found["n"]).to_numpy())
+        each = pc.list_flatten(found["n"])
+        counts = np.zeros((len(found), len(languages)), dtype=np.int64)
+        counts[row, pc.struct_field(each, "lang").to_numpy()] = pc.struct_field(each, "n").to_numpy()
+        return found["token"].combine_chunks(), counts
+
+    model = LanguageModel.of(languages, [documents_[x] for x in languages], *table("w"), *table("g"))
+    del kept
+    arrow_text.tidy()
+    return model
 
 
 def identify(documents: DataFrame, model: LanguageModel, carry: list[str] | None = None, text_col: str = "text") -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 import zlib
 
 import brute
@@ -214,6 +215,30 @@ def test_language_reads_small_batches(spark, tmp_path, monkeypatch):
     assert other.conf.get("spark.sql.parquet.columnarReaderBatchSize") == "1000"  # the user's own stays
 
 
+def test_language_trains_in_little_memory_of_the_driver(spark):
+    """The words and n-grams came to the driver as rows of Python, 958 bytes each, and passed the check's limit."""
+    r = random.Random(3)
+    words = ["".join(r.choices("abcdefghijklmnop", k=8)) for _ in range(6000)]
+    rows = [(i, " ".join(words[i % 500 * 12 : i % 500 * 12 + 12]), ["en", "fr", "de"][i % 3]) for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    language.train(df.limit(10))  # what is made once is not counted
+    arrow = pa.total_allocated_bytes()
+    tracemalloc.start()
+    try:
+        model = language.train(df)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    known = len(model.words) + len(model.grams)
+    assert known > 30_000
+    assert (most + pa.total_allocated_bytes() - arrow) / known < 250
+    learnt = [(t, x) for d, t, x in rows if zlib.crc32(str(d).encode()) % 4 != 2]
+    asked = [rows[5][1], words[7] + "s", "abc"]
+    for text, (lang, score) in zip(asked, brute.languages(learnt, asked)):
+        found = language.Predictor(model).predict(text)
+        assert found[0] == lang and abs(found[1] - score) < 1e-3
+
+
 def test_language_ignores_holdout_labels(spark):
     rows = [(i, prose(i, 20), "en") for i in range(200)]
     wrong = [(d, t, "zz" if zlib.crc32(str(d).encode()) % 4 == 2 else lang) for d, t, lang in rows]
