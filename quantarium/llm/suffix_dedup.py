@@ -487,8 +487,10 @@ def drop_repeats(documents: DataFrame, carry: list[str] | None = None, id_col: s
     carry = documents.columns if carry is None else carry
     found = repeated_spans(documents, id_col, text_col)
     text = F.coalesce(documents[text_col].cast("string"), F.lit(""))
-    rows = documents.select(F.struct(*(documents[f"`{c}`"] for c in carry)).alias("row"), documents[id_col].cast("long").alias("id"), F.xxhash64(text).alias("h"), text.alias("text"))
-    rows = rows.join(found, ["id", "h"], "left").select("row", "text", "spans")
+    rows = documents.select(F.struct(*(documents[f"`{c}`"] for c in carry)).alias("row"), documents[id_col].cast("long").alias("id"), F.xxhash64(text).alias("h"), *([] if text_col in carry else [text.alias("text")]))
+    # a text that the row carries goes through the join once, in it
+    text = F.coalesce(F.col("row").getField(text_col).cast("string"), F.lit("")) if text_col in carry else F.col("text")
+    rows = rows.join(found, ["id", "h"], "left").select("row", text.alias("text"), "spans")
 
     kind = "string" if as_text else "binary"
 

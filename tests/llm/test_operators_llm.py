@@ -254,6 +254,23 @@ def test_suffix_dedup(docs, pairs, empty):
     assert suffix_dedup.drop_repeats(empty).count() == 0
 
 
+def test_suffix_dedup_joins_a_carried_text_once(spark, docs):
+    """Beside the row that holds it, the text was a column of its own in the join's shuffle and sort."""
+
+    def joined(plan):
+        below = [plan.children().apply(i) for i in range(plan.children().size())]
+        if plan.nodeName() == "Join":
+            return {below[0].output().apply(i).name() for i in range(below[0].output().size())}
+        return joined(below[0])
+
+    carried = suffix_dedup.drop_repeats(docs)
+    assert joined(carried._jdf.queryExecution().optimizedPlan()) == {"row", "id", "h"}
+    plain = suffix_dedup.drop_repeats(docs, carry=["doc_id"])
+    assert joined(plain._jdf.queryExecution().optimizedPlan()) == {"row", "id", "h", "text"}
+    columns = ["row.doc_id", "kept", "n_bytes", "n_removed", "spans"]
+    assert sorted(map(repr, carried.select(*columns).collect())) == sorted(map(repr, plain.select(*columns).collect()))
+
+
 def test_suffix_dedup_long_text(spark, monkeypatch):
     base = prose(7, 3000)
     rows = [(2, base), (1, prose(8, 50) + base[5000:9000]), (3, base[100:149]), (4, base[100:150]), (5, base[:3000] + base[2950:])]
