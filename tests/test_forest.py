@@ -24,6 +24,21 @@ def test_where_trees_are_cut_changes_no_result(rows, monkeypatch):
     assert max(abs(whole[k] - cut[k]) for k in whole) < 1e-12
 
 
+def test_forest_learns(rows):
+    """Held-out areas are those of Spark's own forest, but for chance; single trees grow until leaves are pure or can't be cut."""
+    own = ml.summary(ml.cross_validated(rows, "vec_id", 2, trees=30)).first()["mean"]
+    dealt = ml.folds(rows, [], "vec_id", 2).withColumn("vector", ml.F.col("features")).cache()
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    dealt = dealt.withColumn("vector", array_to_vector("features"))
+    other = []
+    for k in range(2):
+        fitted = RandomForestClassifier(featuresCol="vector", labelCol="bin", numTrees=30, maxDepth=30, featureSubsetStrategy="sqrt", seed=1).fit(dealt.where(ml.F.col("fold") != k))
+        scored = fitted.transform(dealt.where(ml.F.col("fold") == k)).withColumn("score", ml.F.get(vector_to_array("probability"), 1))
+        other.append(ml.auroc(scored, ["fold"]).first()["auroc"])
+    assert own > 0.85 and abs(own - np.mean(other)) < 0.03
+
+
 def test_one_tree_by_hand():
     """Without weights' chance: a column that tells the classes is split at the first bin that does."""
     bins = np.array([[0, 5], [1, 5], [2, 5], [3, 5]], np.uint8)
