@@ -30,7 +30,7 @@ def test_counts_of_pairs_in_many_tiles(spark, monkeypatch, kind):
 
 
 def test_pairs_take_few_bytes():
-    """What is written of a pair: a joined row took 20 bytes and more."""
+    """What is written of a pair: few bytes, where a joined row held two keys, two sizes and a count."""
     codes = np.sort(np.random.default_rng(1).integers(0, 1 << 34, 50_000))
     packed = pairs._packed(codes)
     assert (pairs._unpacked(packed, len(codes)) == codes).all() and len(packed) < 4 * len(codes)
